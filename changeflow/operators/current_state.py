@@ -4,21 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.sources.envelope import event_key
 
 
-def newest_first(extra: Sequence[str | Column] = ()) -> list[Column]:
-    """Event time, then log position. ``extra`` columns break what ties are left."""
-    return [
-        F.desc_nulls_last("ts_ms"),
-        F.desc_nulls_last("lsn"),
-        *[F.desc_nulls_last(c) for c in extra],
-    ]
-
-
 def latest_events(bronze: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """The newest event of every key, deletes included.
 
@@ -26,15 +17,16 @@ def latest_events(bronze: DataFrame, key: str, fields: Sequence[str]) -> DataFra
     before the shuffle, so a map task sends one event per key it saw, however hot the key is. Events
     that no position tells apart are ordered by content, so a rerun gives the same row.
     """
-    flat = bronze.select(
-        event_key(key).alias(key),
-        *[F.col(f"after.{f}").alias(f) for f in fields],
+    flat = bronze.selectExpr(
+        f"coalesce(after.{key}, before.{key}) AS {key}",
+        *[f"after.{f} AS {f}" for f in fields],
         "op",
         "ts_ms",
-        F.col("source.lsn").alias("lsn"),
+        "source.lsn AS lsn",
     )
-    newest = Window.partitionBy(key).orderBy(*newest_first(["op", *fields]))
-    return flat.withColumn("rn", F.row_number().over(newest)).where("rn = 1").drop("rn")
+    newest = ", ".join(f"{c} DESC NULLS LAST" for c in ("ts_ms", "lsn", "op", *fields))
+    rank = f"row_number() OVER (PARTITION BY {key} ORDER BY {newest})"
+    return flat.withColumn("rn", F.expr(rank)).where("rn = 1").drop("rn")
 
 
 def current_state(bronze: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
@@ -53,11 +45,11 @@ def current_state_by_max(bronze: DataFrame, key: str, fields: Sequence[str]) ->
     Ranking is refused on streams, this form is not. NULL times lose against any time because the
     ordering struct compares NULL as smallest.
     """
-    row = F.struct("op", *[F.col(f"after.{f}").alias(f) for f in fields])
-    order = F.struct("ts_ms", F.col("source.lsn").alias("lsn"), "op", *[F.col(f"after.{f}").alias(f) for f in fields])
+    content = ", ".join(["op", *[f"after.{f} AS {f}" for f in fields]])
+    newest = f"max_by(struct({content}), struct(ts_ms, source.lsn AS lsn, {content}))"
     return (
         bronze.groupBy(event_key(key).alias(key))
-        .agg(F.max_by(row, order).alias("e"))
+        .agg(F.expr(newest).alias("e"))
         .where("e.op <> 'd'")
-        .select(key, *[f"e.{f}" for f in fields])
+        .selectExpr(key, *[f"e.{f} AS {f}" for f in fields])
     )

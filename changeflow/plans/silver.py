@@ -12,14 +12,14 @@ from changeflow.plans.shop import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, Shop
 
 def silver(bronze: DataFrame, table: ShopTable) -> DataFrame:
     """Times are parsed on the surviving rows only."""
-    return _with_times(current_state(bronze, table.key, table.columns), table)
+    return with_times(current_state(bronze, table.key, table.columns), table)
 
 
 def silver_by_max(bronze: DataFrame, table: ShopTable) -> DataFrame:
-    return _with_times(current_state_by_max(bronze, table.key, table.columns), table)
+    return with_times(current_state_by_max(bronze, table.key, table.columns), table)
 
 
-def _with_times(rows: DataFrame, table: ShopTable) -> DataFrame:
+def with_times(rows: DataFrame, table: ShopTable) -> DataFrame:
     return rows.withColumns({t: parse_iso8601(F.col(t)) for t in table.times})
 
 

@@ -27,9 +27,8 @@ def decode_envelopes(messages: DataFrame, image: str, fail_fast: bool = True) ->
     By default a record that does not parse stops the job rather than being skipped. Otherwise its
     unreadable parts come out NULL.
     """
-    mode = "FAILFAST" if fail_fast else "PERMISSIVE"
-    return (
-        drop_tombstones(messages)
-        .select(F.from_json("value", envelope_schema(image), {"mode": mode}).alias("e"))
-        .select("e.*")
-    )
+    parsed = F.from_json("value", envelope_schema(image), {"mode": "FAILFAST" if fail_fast else "PERMISSIVE"})
+    if fail_fast:
+        # the parser takes blank text for a missing value
+        parsed = F.when(F.trim("value") == "", F.raise_error(F.lit("MALFORMED_RECORD: blank message"))).otherwise(parsed)
+    return drop_tombstones(messages).select(parsed.alias("e")).select("e.*")

@@ -5,156 +5,135 @@ Each log is one narrow pass over its table: a row is exploded into its events, n
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from functools import lru_cache
 
-from changeflow.plans.shop import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, TABLES, ShopTable
-from changeflow.sources.envelope import source_struct
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-EPOCH_2023 = 1_700_000_000_000
+from changeflow.plans.shop import TABLES
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def millis(wall_clock: Column | str) -> Column:
-    return F.unix_millis(F.col(wall_clock).cast("timestamp") if isinstance(wall_clock, str) else wall_clock)
-
-
-def iso(ms: Column) -> Column:
-    return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+@lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    return spark.read.parquet(path).schema
 
 
-def cents(amount: str) -> Column:
-    return F.round(F.col(amount) * 100).cast("bigint")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; its footers are only read for the schema once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
+def iso(ms: str) -> str:
+    return f"date_format(timestamp_millis({ms}), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+
+
+# Row images as SQL expressions over the driver table, with the time of a row's first event.
+SOURCE_TABLE = {"customers": "customer", "products": "part", "orders": "orders", "order_items": "lineitem"}
+BASE_ROWS = {
+    "customers": (
+        "c_custkey AS customer_id",
+        "concat(lower(replace(c_name, '#', '.')), '@example.com') AS email",
+        "c_name AS full_name",
+        "lpad(cast(c_nationkey AS string), 2, '0') AS country",
+        f"{iso('1700000000000 + c_custkey * 1000')} AS signup_at",
+        "1700000000000 + c_custkey * 1000 AS base_ms",
+    ),
+    "products": (
+        "p_partkey AS product_id",
+        "concat('SKU-', cast(p_partkey AS string)) AS sku",
+        "p_name AS name",
+        "cast(rint(p_retailprice * 100) AS bigint) AS price_cents",
+        "p_type AS category",
+        "1700000000000 + p_partkey * 1000 AS base_ms",
+    ),
+    "orders": (
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'placed' ELSE 'shipped' END AS status",
+        f"{iso('unix_millis(cast(o_orderdate AS timestamp))')} AS placed_at",
+        f"{iso('unix_millis(cast(o_orderdate AS timestamp))')} AS updated_at",
+        "unix_millis(cast(o_orderdate AS timestamp)) AS base_ms",
+    ),
+}
+UPDATES = {
+    "customers": {"full_name": "concat(full_name, ' (renamed)')"},
+    "products": {"price_cents": "price_cents + 100"},
+    "orders": {
+        "status": "if(order_id % 97 = 0, 'shpped', 'cancelled')",
+        "updated_at": iso("base_ms + 60000"),
+    },
+}
+# When an event happens, and its op, shift in ms, step in the log, and images.
+EVENTS = (
+    ("true", "if(k % 2 = 0, 'r', 'c')", 0, 0, "", "row"),
+    ("k % 5 = 0", "if(k % 2 = 0, 'r', 'c')", 0, 0, "", "row"),
+    ("k % 3 = 0", "'u'", 60000, 1, "row", "updated"),
+    ("k % 10 = 0", "'d'", 120000, 2, "row", ""),
+    ("k % 20 = 0", "'c'", 180000, 3, "", "row"),
+    ("k % 13 = 0", "'u'", -60000, 9, "row", "updated"),
+)
 
 
 def base_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Row images (times as text) with ``base_ms``, the time of a row's first event."""
-    if name == "customers":
-        key = F.col("c_custkey")
-        base_ms = F.lit(EPOCH_2023) + key * 1000
-        return table(spark, sf_dir, "customer").select(
-            key.alias("customer_id"),
-            F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com")).alias("email"),
-            F.col("c_name").alias("full_name"),
-            F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("country"),
-            iso(base_ms).alias("signup_at"),
-            base_ms.alias("base_ms"),
-        )
-    if name == "products":
-        key = F.col("p_partkey")
-        return table(spark, sf_dir, "part").select(
-            key.alias("product_id"),
-            F.concat(F.lit("SKU-"), key.cast("string")).alias("sku"),
-            F.col("p_name").alias("name"),
-            cents("p_retailprice").alias("price_cents"),
-            F.col("p_type").alias("category"),
-            (F.lit(EPOCH_2023) + key * 1000).alias("base_ms"),
-        )
-    base_ms = millis("o_orderdate")
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.when(F.col("o_orderstatus") == "F", "delivered")
-        .when(F.col("o_orderstatus") == "O", "placed")
-        .otherwise("shipped")
-        .alias("status"),
-        iso(base_ms).alias("placed_at"),
-        iso(base_ms).alias("updated_at"),
-        base_ms.alias("base_ms"),
-    )
-
-
-def _image(shop: ShopTable, changed: dict[str, Column] | None = None) -> Column:
-    changed = changed or {}
-    return F.struct(*[changed.get(c, F.col(c)).alias(c) for c in (shop.key, *shop.columns)])
-
-
-def _updates(shop: ShopTable) -> dict[str, Column]:
-    if shop is CUSTOMERS:
-        return {"full_name": F.concat("full_name", F.lit(" (renamed)"))}
-    if shop is PRODUCTS:
-        return {"price_cents": F.col("price_cents") + 100}
-    return {
-        "status": F.when(F.col("order_id") % 97 == 0, "shpped").otherwise("cancelled"),
-        "updated_at": iso(F.col("base_ms") + 60_000),
-    }
+    """Row images (times as text) with ``base_ms``."""
+    return table(spark, sf_dir, SOURCE_TABLE[name]).selectExpr(*BASE_ROWS[name])
 
 
 def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The raw change log of one shop table."""
     if name == "order_items":
-        return _bronze_order_items(spark, sf_dir)
-    shop = TABLES[name]
-    k = F.col(shop.key)
-
-    def event(op: Column | str, shift_ms: int, step: int, before: str, after: str) -> Column:
-        return F.struct(
-            (F.lit(op) if isinstance(op, str) else op).alias("op"),
-            F.lit(shift_ms).alias("shift_ms"),
-            F.lit(step).alias("step"),
-            F.lit(before).alias("has_before"),
-            F.lit(after).alias("has_after"),
-        )
+        return order_item_events(table(spark, sf_dir, "lineitem"))
+    shop, changes = TABLES[name], UPDATES[name]
+
+    def image(updated: bool) -> str:
+        fields = [f"'{c}', {changes.get(c, c) if updated else c}" for c in (shop.key, *shop.columns)]
+        return f"named_struct({', '.join(fields)})"
 
-    first = event(F.when(k % 2 == 0, "r").otherwise("c"), 0, 0, "", "row")
-    events = F.array(
-        first,
-        F.when(k % 5 == 0, first),
-        F.when(k % 3 == 0, event("u", 60_000, 1, "row", "updated")),
-        F.when(k % 10 == 0, event("d", 120_000, 2, "row", "")),
-        F.when(k % 20 == 0, event("c", 180_000, 3, "", "row")),
-        F.when(k % 13 == 0, event("u", -60_000, 9, "row", "updated")),
+    events = ", ".join(
+        f"if({when.replace('k', shop.key)}, struct({op.replace('k', shop.key)} AS op, {shift} AS shift_ms, "
+        f"{step} AS step, '{before}' AS old, '{after}' AS new), null)"
+        for when, op, shift, step, before, after in EVENTS
     )
-    row, updated = _image(shop), _image(shop, _updates(shop))
-    ts_ms = F.col("base_ms") + F.col("shift_ms")
     return (
         base_rows(spark, sf_dir, name)
-        .select("*", F.inline(events))
-        .where(F.col("op").isNotNull())
-        .select(
-            F.when(F.col("has_before") == "row", row).alias("before"),
-            F.when(F.col("has_after") == "row", row)
-            .when(F.col("has_after") == "updated", updated)
-            .alias("after"),
+        .selectExpr("*", f"inline(array({events}))")
+        .where("op IS NOT NULL")
+        .selectExpr(
+            f"if(old = 'row', {image(False)}, null) AS before",
+            f"CASE new WHEN 'row' THEN {image(False)} WHEN 'updated' THEN {image(True)} END AS after",
             "op",
-            ts_ms.alias("ts_ms"),
-            source_struct(name, k * 10 + F.col("step"), ts_ms).alias("source"),
+            "base_ms + shift_ms AS ts_ms",
+            f"named_struct('schema', 'shop', 'table', '{name}', 'lsn', {shop.key} * 10 + step, "
+            "'ts_ms', base_ms + shift_ms) AS source",
         )
     )
 
 
-def _bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as a stream of its files; the pattern fits a file as well as a folder."""
+    schema = _schema(spark, f"{sf_dir}/{name}.parquet")
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
+def order_item_events(lineitem: DataFrame) -> DataFrame:
     """``lineitem`` as it is: repeated (order, line) pairs are successive versions of an item."""
-    ts_ms = millis("l_shipdate")
-    items = table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        cents("l_extendedprice").alias("unit_price_cents"),
-        F.when(F.col("l_returnflag") == "R", "d").otherwise("u").alias("op"),
-        ts_ms.alias("ts_ms"),
-        (F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")).alias("lsn"),
+    row = (
+        "named_struct('order_item_id', l_orderkey * 10 + l_linenumber, 'order_id', l_orderkey, "
+        "'product_id', l_partkey, 'quantity', cast(l_quantity AS int), "
+        "'unit_price_cents', cast(rint(l_extendedprice * 100) AS bigint))"
     )
-    row = _image(ORDER_ITEMS)
-    return items.select(
-        row.alias("before"),
-        F.when(F.col("op") != "d", row).alias("after"),
-        "op",
-        "ts_ms",
-        source_struct("order_items", F.col("lsn"), F.col("ts_ms")).alias("source"),
+    ts_ms = "unix_millis(cast(l_shipdate AS timestamp))"
+    return lineitem.selectExpr(
+        f"{row} AS before",
+        f"if(l_returnflag = 'R', null, {row}) AS after",
+        "if(l_returnflag = 'R', 'd', 'u') AS op",
+        f"{ts_ms} AS ts_ms",
+        "named_struct('schema', 'shop', 'table', 'order_items', 'lsn', l_partkey * 1000000 + l_suppkey, "
+        f"'ts_ms', {ts_ms}) AS source",
     )
 
 
 def hot_customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer keys as they occur in the raw order log."""
-    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer_id"))
-
-
-__all__ = [
-    "CUSTOMERS", "ORDERS", "ORDER_ITEMS", "PRODUCTS", "TABLES",
-    "base_rows", "bronze", "cents", "hot_customer_log", "iso", "millis", "table",
-]
+    return table(spark, sf_dir, "orders").selectExpr("o_custkey AS customer_id")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.operators import runs
-from changeflow.workload.derive import millis, table
+from changeflow.workload.derive import table
 from changeflow.workload.registry import query
 
 METRICS_SQL = """
@@ -88,7 +88,7 @@ def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def cdc_latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The value of an event, in hundredths, taken as its way to the raw table in milliseconds."""
-    source_ms = millis("ts")
+    source_ms = F.unix_millis(F.col("ts").cast("timestamp"))
     return runs.latency_percentiles(
         table(spark, sf_dir, "events").select(
             source_ms.alias("source_ms"),

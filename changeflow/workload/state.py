@@ -83,7 +83,7 @@ def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reset capture sends the current rows again, later than anything before."""
     log = bronze(spark, sf_dir, "orders")
     rows = silver.silver_orders(log)
-    as_text = rows.withColumns({c: iso(F.unix_millis(c)) for c in ORDERS.times})
+    as_text = rows.withColumns({c: F.expr(iso(f"unix_millis({c})")) for c in ORDERS.times})
     later = F.lit(4_000_000_000_000)
     replay = snapshot_envelopes(as_text, "orders", later, F.lit(9_000_000_000_000_000))
     return in_millis(silver.silver_orders(log.unionByName(replay)))

@@ -1,0 +1,113 @@
+"""Namespaces, publishing, gates, evolution and run metrics on a local catalog."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from changeflow.operators.evolve import union_versions
+from changeflow.plans import jobs, tables
+from changeflow.plans.shop import TABLES
+from shopdata import NOON, T0, event, seed
+
+
+@pytest.fixture
+def shop(spark):
+    tables.create_namespaces(spark)
+    yield spark
+    for name in tables.NAMESPACES:
+        spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
+
+
+def write_bronze(spark, **extra):
+    for name in TABLES:
+        seed(spark, name, extra.get(name, ())).write.mode("overwrite").saveAsTable(f"bronze.{name}")
+
+
+TYPO = event("orders", "u", (2, 2, "shipped", NOON, NOON), (2, 2, "shpped", NOON, NOON), T0 + 5, 90)
+
+
+def test_namespace_must_exist(spark):
+    missing = f"ns_{uuid.uuid4().hex}"
+    with pytest.raises(Exception, match="SCHEMA_NOT_FOUND"):
+        spark.range(1).write.saveAsTable(f"{missing}.t")
+    tables.create_namespaces(spark, [missing])
+    tables.create_namespaces(spark, [missing])
+    spark.range(1).write.saveAsTable(f"{missing}.t")
+    spark.sql(f"DROP SCHEMA {missing} CASCADE")
+
+
+def test_model_names():
+    assert tables.model_name("m", "gold") == "gold.m"
+    assert tables.model_name("m", " gold ") == "gold.m"
+    assert tables.model_name("m", None) == "silver.m"
+
+
+def test_build_and_breaking_change(shop):
+    """A typo in a status passes the shape contract, fails the checks, and never reaches readers."""
+    write_bronze(shop)
+    first = jobs.build(shop, "001")
+    assert first.rows == 3
+    assert jobs.check_mart(shop, "001")
+
+    write_bronze(shop, orders=[TYPO])
+    with pytest.raises(tables.PublishBlocked, match="in_set") as blocked:
+        jobs.build(shop, "002")
+    assert [(r.column, r.unexpected) for r in blocked.value.results] == [("status", 1)]
+    assert shop.table("gold.gold_order_summary").where("status = 'shpped'").isEmpty()
+    assert shop.table("gold.gold_order_summary__002").where("status = 'shpped'").count() == 1
+    assert jobs.check_mart(shop, "002")
+
+    write_bronze(shop)
+    jobs.build(shop, "003")
+    runs = {(r.run, r.metric): r.value for r in jobs.recorded_metrics(shop).where("job = 'build'").collect()}
+    assert [runs[r, "success"] for r in ("001", "002", "003")] == [1.0, 0.0, 1.0]
+    assert runs["001", "rows"] == 3 and runs["001", "test_failures"] == 0 and ("002", "rows") not in runs
+    assert all(runs[r, "duration_seconds"] > 0 for r in ("001", "002", "003"))
+
+
+def test_contract_stops_before_writing(shop):
+    bad = shop.range(3).withColumnRenamed("id", "n")
+    with pytest.raises(ValueError, match="missing id"):
+        tables.publish(bad, "gold.m", "001", contract="id bigint")
+    assert tables.versions(shop, "gold.m") == []
+
+
+def test_publish_swaps_and_prunes(shop):
+    for run in ("001", "002", "003"):
+        tables.publish(shop.range(int(run)), "gold.m", run)
+        assert shop.table("gold.m").count() == int(run)
+    assert tables.versions(shop, "gold.m") == ["gold.m__003", "gold.m__002"]
+    grown = shop.table("gold.m").union(shop.range(10, 12))
+    tables.publish(grown, "gold.m", "004")
+    assert shop.table("gold.m").count() == 5
+
+
+def test_raw_append_creates_and_evolves(shop):
+    v1 = shop.createDataFrame([(1, 10)], "id bigint, price int")
+    tables.append_raw(v1, "bronze.raw")
+    tables.append_raw(v1, "bronze.raw")
+    tables.append_raw(shop.createDataFrame([(2, "x", 20)], "id bigint, note string, price int"), "bronze.raw")
+    tables.append_raw(v1, "bronze.raw")
+    got = sorted(map(tuple, shop.table("bronze.raw").collect()))
+    assert got == [(1, 10, None)] * 3 + [(2, 20, "x")]
+    wide = shop.createDataFrame([(3, 2**40)], "id bigint, price bigint")
+    with pytest.raises(ValueError, match="widen price"):
+        tables.append_raw(wide, "bronze.raw")
+    tables.publish(union_versions(shop.table("bronze.raw"), wide), "bronze.raw_all", "001")
+    assert shop.table("bronze.raw_all").where("price = 1099511627776").count() == 1
+
+
+def test_metrics_never_fail_a_run(shop, monkeypatch):
+    monkeypatch.setattr(jobs, "RUN_METRICS", "nowhere.at_all.table_name.x")
+    with jobs.recorded(shop, "build", "009"):
+        pass
+    with pytest.raises(ZeroDivisionError), jobs.recorded(shop, "build", "010"):
+        1 / 0
+
+
+def test_repeated_metric_rows_count_once(shop):
+    for _ in range(2):
+        jobs.record_metrics(shop, "build", "001", {"success": 1})
+    assert jobs.recorded_metrics(shop).count() == 1
+    assert jobs.recorded_metrics(shop).select(F.sum("value")).first()[0] == 1.0
