@@ -22,7 +22,9 @@ def exact_percentiles(df: DataFrame, value: str, wanted: dict[str, float]) -> Da
     holds more than 65,536 counters per rank) and the digit where the running count passes the rank
     is kept. NULLs are ignored; no rows give NULLs.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
+    # typed as never NULL, so that no level adds a null test of its own below the shared count
+    known = F.coalesce(F.col(value), F.lit(0)).alias("v")
+    counts = df.where(F.col(value).isNotNull()).groupBy(known).agg(F.count("*").alias("n"))
     position = F.struct(
         *[(F.lit(p) * (F.col("total") - 1)).alias(name) for name, p in wanted.items()]
     )

@@ -61,57 +61,57 @@ def measure(df: DataFrame, checks: Sequence[Expectation]) -> DataFrame:
     row_wise = [c for c in checks if c.bad is not None]
     unique_columns = list(dict.fromkeys(c.column for c in checks if c.bad is None))
     counters = {f"bad_{i}": F.count_if(c.unexpected()) for i, c in enumerate(row_wise)}
-    counters |= {f"seen_{c}": F.count(c) for c in dict.fromkeys(c.column for c in row_wise)}
-
-    first, *others = unique_columns or [None]
-    if first is None:
-        totals = df.agg(F.count("*").alias("rows"), *[v.alias(n) for n, v in counters.items()])
-    else:
-        totals = (
-            df.groupBy(first)
-            .agg(F.count("*").alias("copies"), *[v.alias(n) for n, v in counters.items()])
-            .agg(
-                F.sum("copies").alias("rows"),
-                *_repeats(first),
-                *[F.sum(n).alias(n) for n in counters],
-            )
-        )
-
-    parts = [totals.select(F.inline(F.array(*_rows_of(row_wise, [c for c in checks if c.column == first and c.bad is None]))))]
-    for column in others:
-        counted = df.groupBy(column).agg(F.count("*").alias("copies")).agg(*_repeats(column))
-        mine = [c for c in checks if c.column == column and c.bad is None]
-        parts.append(counted.select(F.inline(F.array(*_rows_of([], mine)))))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _repeats(column: str) -> list[Column]:
-    repeated = F.col(column).isNotNull() & (F.col("copies") > 1)
-    return [
-        F.sum(F.when(F.col(column).isNotNull(), F.col("copies"))).alias("present"),
-        F.sum(F.when(repeated, F.col("copies"))).alias("repeated_rows"),
-        F.count_if(repeated).alias("repeated_values"),
+    counters |= {f"seen_{c}": F.count(c) for c in dict.fromkeys(c.column for c in row_wise if c.ignores_null)}
+    named = [v.alias(n) for n, v in counters.items()]
+    rows = [
+        _row(c, f"seen_{c.column}" if c.ignores_null else "`rows`", f"bad_{i}", f"bad_{i}")
+        for i, c in enumerate(row_wise)
+    ]
+
+    if not unique_columns:
+        return df.agg(F.count("*").alias("rows"), *named).selectExpr(_as_rows(rows))
+    first, *others = unique_columns
+    totals = (
+        df.groupBy(first)
+        .agg(F.count("*").alias("copies"), *named)
+        .selectExpr("sum(copies) AS `rows`", *_repeats(first), *[f"sum({n}) AS {n}" for n in counters])
+        .selectExpr(_as_rows(rows + _repeat_rows(checks, first)))
+    )
+    more = [
+        df.groupBy(c)
+        .agg(F.count("*").alias("copies"))
+        .selectExpr(*_repeats(c))
+        .selectExpr(_as_rows(_repeat_rows(checks, c)))
+        for c in others
     ]
+    return reduce(DataFrame.unionByName, more, totals)
 
 
-def _rows_of(row_wise: Sequence[Expectation], uniques: Sequence[Expectation]) -> list[Column]:
-    def row(c: Expectation, evaluated: Column, unexpected: Column, values: Column) -> Column:
-        def whole(n: Column) -> Column:
-            return F.coalesce(n, F.lit(0)).cast("bigint")
+def _repeats(column: str) -> list[str]:
+    repeated = f"{column} IS NOT NULL AND copies > 1"
+    return [
+        f"sum(copies) FILTER (WHERE {column} IS NOT NULL) AS present",
+        f"sum(copies) FILTER (WHERE {repeated}) AS repeated_rows",
+        f"count(*) FILTER (WHERE {repeated}) AS repeated_values",
+    ]
 
-        return F.struct(
-            F.lit(c.name).alias("expectation"),
-            F.lit(c.column).alias("column"),
-            F.lit(c.severity).alias("severity"),
-            whole(evaluated).alias("evaluated"),
-            whole(unexpected).alias("unexpected"),
-            whole(values).alias("unexpected_values"),
-        )
 
+def _repeat_rows(checks: Sequence[Expectation], column: str) -> list[str]:
     return [
-        row(c, F.col(f"seen_{c.column}") if c.ignores_null else F.col("rows"), F.col(f"bad_{i}"), F.col(f"bad_{i}"))
-        for i, c in enumerate(row_wise)
-    ] + [row(c, F.col("present"), F.col("repeated_rows"), F.col("repeated_values")) for c in uniques]
+        _row(c, "present", "repeated_rows", "repeated_values") for c in checks if c.bad is None and c.column == column
+    ]
+
+
+def _row(c: Expectation, evaluated: str, unexpected: str, values: str) -> str:
+    return (
+        f"named_struct('expectation', '{c.name}', 'column', '{c.column}', 'severity', '{c.severity}', "
+        f"'evaluated', coalesce({evaluated}, 0L), 'unexpected', coalesce({unexpected}, 0L), "
+        f"'unexpected_values', coalesce({values}, 0L))"
+    )
+
+
+def _as_rows(rows: Sequence[str]) -> str:
+    return f"inline(array({', '.join(rows)}))"
 
 
 def report(df: DataFrame, checks: Sequence[Expectation]) -> DataFrame:

@@ -122,8 +122,9 @@ def _column_tests_sql() -> str:
 
 @query(_column_tests_sql())
 def column_tests_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = {f"silver_{t.name}": silver_of(spark, sf_dir, t) for t in TABLES.values()}
-    return audit.column_tests(models | {"gold_order_summary": gold_of(spark, sf_dir)})
+    models = {t.name: silver_of(spark, sf_dir, t) for t in TABLES.values()}
+    mart = gold_of(spark, sf_dir, models)
+    return audit.column_tests({f"silver_{n}": df for n, df in models.items()} | {"gold_order_summary": mart})
 
 
 @query(

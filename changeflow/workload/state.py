@@ -24,11 +24,12 @@ def silver_of(spark: SparkSession, sf_dir: str, table: ShopTable) -> DataFrame:
     return silver.silver(bronze(spark, sf_dir, table.name), table)
 
 
-def gold_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold_of(spark: SparkSession, sf_dir: str, models: dict[str, DataFrame] | None = None) -> DataFrame:
+    models = models or {t.name: silver_of(spark, sf_dir, t) for t in (ORDERS, CUSTOMERS, ORDER_ITEMS)}
     return gold.gold_order_summary(
-        silver_of(spark, sf_dir, ORDERS),
-        silver_of(spark, sf_dir, CUSTOMERS),
-        silver_of(spark, sf_dir, ORDER_ITEMS),
+        models["orders"],
+        models["customers"],
+        models["order_items"],
         hot_keys(hot_customer_log(spark, sf_dir), "customer_id"),
     )
 
