@@ -2,77 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DIGIT_BITS = 16
-LEVELS = 64 // DIGIT_BITS
-
-
-def _prefix(value: Column, level: int) -> Column:
-    """The leading ``level`` digits; the arithmetic shift keeps numeric order."""
-    return F.lit(0).cast("bigint") if level == 0 else F.shiftright(value, 64 - DIGIT_BITS * level)
 
 
 def exact_percentiles(df: DataFrame, value: str, wanted: dict[str, float]) -> DataFrame:
     """One row with a linearly interpolated percentile of a bigint column per output name.
 
-    Each wanted percentile lies between two ranks. The values at those ranks are found digit by
-    digit: per level, rows are counted by their next 16 bits (map-side combined, so a task never
-    holds more than 65,536 counters per rank) and the digit where the running count passes the rank
-    is kept. NULLs are ignored; no rows give NULLs.
+    Each percentile lies between the values at two ranks. Those are found digit by digit: rows are
+    counted by their next 16 bits (combined on the map side, so a rank never sees more than 65,536
+    counters per step), and the digit at which the running count passes the rank is kept. NULLs are
+    ignored; no rows give NULLs.
     """
-    # typed as never NULL, so that no level adds a null test of its own below the shared count
+    # typed as never NULL, so that no step adds a null test of its own below the shared count
     known = F.coalesce(F.col(value), F.lit(0)).alias("v")
     counts = df.where(F.col(value).isNotNull()).groupBy(known).agg(F.count("*").alias("n"))
-    position = F.struct(
-        *[(F.lit(p) * (F.col("total") - 1)).alias(name) for name, p in wanted.items()]
-    )
-    ranks = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(end).alias("end"),
-                (F.floor if end == "lo" else F.ceil)(F.col(f"at.{name}")).alias("rank"),
-                (F.col(f"at.{name}") - F.floor(F.col(f"at.{name}"))).alias("weight"),
-            )
-            for name in wanted
-            for end in ("lo", "hi")
-        ]
+
+    ends = ", ".join(
+        f"named_struct('name', '{name}', 'at_end', {end}, 'p', {float(p)!r}D)"
+        for name, p in wanted.items()
+        for end in (0, 1)
     )
-    targets = (
-        counts.agg(F.sum("n").alias("total"))
-        .where(F.col("total") > 0)
-        .select(position.alias("at"))
-        .select(F.inline(ranks))
-        .withColumn("prefix", F.lit(0).cast("bigint"))
+    total = "sum(n) OVER (PARTITION BY name, at_end)"
+    found = (
+        counts.groupBy(F.shiftright("v", 64 - DIGIT_BITS).alias("digit"))
+        .agg(F.sum("n").alias("n"))
+        .selectExpr("digit", "n", f"inline(array({ends}))")
+        .withColumn("at", F.expr(f"p * ({total} - 1)"))
+        .withColumn("rank", F.expr("if(at_end = 0, floor(at), ceil(at))"))
+        .withColumn("weight", F.expr("at - floor(at)"))
+        .transform(_pass_rank)
     )
-
-    by_digit = Window.partitionBy("name", "end").orderBy("digit")
-    for level in range(LEVELS):
-        # targets holds two rows per wanted percentile, so this broadcast has a fixed size
-        digits = (
-            counts.select(_prefix(F.col("v"), level).alias("prefix"), _prefix(F.col("v"), level + 1).alias("digit"), "n")
-            .join(F.broadcast(targets), "prefix")
-            .groupBy("name", "end", "rank", "weight", "digit")
+    for bits in range(2 * DIGIT_BITS, 65, DIGIT_BITS):
+        # two rows per wanted percentile, so this broadcast has a fixed size
+        found = (
+            counts.select(
+                F.shiftright("v", 64 - bits + DIGIT_BITS).alias("prefix"), F.shiftright("v", 64 - bits).alias("digit"), "n"
+            )
+            .join(F.broadcast(found), "prefix")
+            .groupBy("name", "at_end", "rank", "weight", "digit")
             .agg(F.sum("n").alias("n"))
-        )
-        targets = (
-            digits.withColumn("upto", F.sum("n").over(by_digit))
-            .where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
-            .select("name", "end", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "weight",
-                    F.col("digit").alias("prefix"))
+            .transform(_pass_rank)
         )
 
-    def ends(name: str, end: str, column: str) -> Column:
-        return F.max(F.when((F.col("name") == name) & (F.col("end") == end), F.col(column)))
+    def at(name: str, column: str, end: int) -> str:
+        return f"max({column}) FILTER (WHERE name = '{name}' AND at_end = {end})"
 
-    return targets.agg(
+    return found.selectExpr(
         *[
-            (
-                ends(name, "lo", "prefix")
-                + (ends(name, "hi", "prefix") - ends(name, "lo", "prefix")) * ends(name, "lo", "weight")
-            ).alias(name)
-            for name in wanted
+            f"{at(n, 'prefix', 0)} + ({at(n, 'prefix', 1)} - {at(n, 'prefix', 0)}) * {at(n, 'weight', 0)} AS {n}"
+            for n in wanted
         ]
     )
+
+
+def _pass_rank(digits: DataFrame) -> DataFrame:
+    """Per rank, the digit that holds it and the rank left within that digit."""
+    upto = "sum(n) OVER (PARTITION BY name, at_end ORDER BY digit)"
+    return (
+        digits.withColumn("upto", F.expr(upto))
+        .where("upto > rank AND upto - n <= rank")
+        .selectExpr("name", "at_end", "rank - upto + n AS rank", "weight", "digit AS prefix")
+    )

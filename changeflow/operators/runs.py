@@ -24,7 +24,7 @@ def duration_series(metrics: DataFrame, metric: str) -> DataFrame:
     return metrics.where(F.col("metric") == metric).select("ts", "job", "value")
 
 
-def test_failures(results: DataFrame) -> DataFrame:
+def failed_tests(results: DataFrame) -> DataFrame:
     """Tests per job that neither passed nor were skipped; models do not count."""
     failed = (F.col("kind") == "test") & ~F.col("status").isin("pass", "skipped")
     return results.groupBy("job").agg(F.count_if(failed).alias("value"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,22 +30,26 @@ def snapshot_envelopes(rows: DataFrame, table: str, ts_ms: Column, lsn: Column)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """The inserts, updates and deletes that lead from one snapshot to the next.
+    """The inserts, updates and deletes that lead from one snapshot to the next: k, op, before, after.
 
-    Both snapshots hold a key at most once, so the shuffle by key is even.
+    A full outer match by key, written as one aggregate over both snapshots: rows are combined before
+    the shuffle and copies of a row, however many, never pair up with each other.
     """
-    fields = [c for c in old.columns if c != key]
-    before = old.select(F.col(key).alias("k"), F.struct(key, *fields).alias("before"))
-    after = new.select(F.col(key).alias("k"), F.struct(key, *fields).alias("after"))
-    changed = reduce(
-        lambda a, b: a | b, [~F.col(f"before.{c}").eqNullSafe(F.col(f"after.{c}")) for c in fields], F.lit(False)
+    fields = [key, *[c for c in old.columns if c != key]]
+    row = f"named_struct({', '.join(f'{c!r}, {c}' for c in fields)}) AS row"
+    both = old.selectExpr(f"{key} AS k", row, "true AS is_old").unionByName(
+        new.selectExpr(f"{key} AS k", row, "false AS is_old")
+    )
+    sides = both.groupBy("k").agg(
+        F.expr("max(row) FILTER (WHERE is_old)").alias("before"),
+        F.expr("max(row) FILTER (WHERE NOT is_old)").alias("after"),
     )
     op = (
         F.when(F.col("before").isNull(), "c")
         .when(F.col("after").isNull(), "d")
-        .when(changed, "u")
+        .when(~F.col("before").eqNullSafe(F.col("after")), "u")
     )
-    return before.join(after, "k", "full_outer").withColumn("op", op).where(F.col("op").isNotNull())
+    return sides.withColumn("op", op).where(F.col("op").isNotNull()).select("k", "op", "before", "after")
 
 
 def apply_changes(old: DataFrame, changes: DataFrame, key: str) -> DataFrame:

@@ -32,3 +32,15 @@ def decode_envelopes(messages: DataFrame, image: str, fail_fast: bool = True) ->
         # the parser takes blank text for a missing value
         parsed = F.when(F.trim("value") == "", F.raise_error(F.lit("MALFORMED_RECORD: blank message"))).otherwise(parsed)
     return drop_tombstones(messages).select(parsed.alias("e")).select("e.*")
+
+
+def decode_avro(messages: DataFrame, schema: str, header_bytes: int = 5, fail_fast: bool = True) -> DataFrame:
+    """The same from Avro values, given the envelope's Avro schema; needs the Spark Avro package.
+
+    ``header_bytes`` is how much the registry's serializer puts in front: a marker byte and the schema id.
+    """
+    from pyspark.sql.avro.functions import from_avro
+
+    body = F.expr(f"substring(value, {header_bytes + 1})")
+    mode = "FAILFAST" if fail_fast else "PERMISSIVE"
+    return drop_tombstones(messages).select(from_avro(body, schema, {"mode": mode}).alias("e")).select("e.*")

@@ -56,10 +56,9 @@ def op_counts(bronze: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def preview(bronze: DataFrame, key: str, rows: int = 10) -> DataFrame:
-    """The first events by key and position, redelivered copies shown once."""
+    """The first events by key and position; every task only keeps its own first few."""
     return (
         bronze.select(event_key(key).alias(key), "op", "ts_ms", F.col("source.lsn").alias("lsn"))
-        .distinct()
         .orderBy(key, "lsn", "ts_ms", "op")
         .limit(rows)
     )

@@ -11,8 +11,10 @@ def topic_name(table: str, prefix: str = "shop", schema: str = "shop") -> str:
     return f"{prefix}.{schema}.{table}"
 
 
-def subscribe_kafka(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    """One topic from Kafka; needs the Spark Kafka package on the cluster."""
+def subscribe_kafka(
+    spark: SparkSession, servers: str, topic: str, binary: bool = False, **options: str
+) -> DataFrame:
+    """One topic from Kafka; needs the Spark Kafka package on the cluster. ``binary`` leaves values as bytes."""
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -20,7 +22,7 @@ def subscribe_kafka(spark: SparkSession, servers: str, topic: str, **options: st
         .option("startingOffsets", "earliest")
         .options(**options)
         .load()
-        .selectExpr("cast(key as string) as key", "cast(value as string) as value")
+        .selectExpr("cast(key as string) as key", "value" if binary else "cast(value as string) as value")
     )
 
 

@@ -46,7 +46,7 @@ def op_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"SELECT DISTINCT k AS order_id, op, ts_ms, lsn FROM ({sql.events('orders')}) "
+    f"SELECT k AS order_id, op, ts_ms, lsn FROM ({sql.events('orders')}) "
     "ORDER BY order_id, lsn, ts_ms, op LIMIT 10"
 )
 def bronze_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +213,7 @@ def iso8601_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH base AS (SELECT k, status FROM ({sql.BASE['orders']})),
+    f"""WITH base AS (SELECT DISTINCT k, status FROM ({sql.BASE['orders']})),
              old AS (SELECT k, status FROM base WHERE k % 7 <> 0),
              new AS (SELECT k, CASE WHEN k % 3 = 0 THEN 'cancelled' WHEN k % 17 = 0 THEN NULL ELSE status END AS status
                      FROM base WHERE k % 11 <> 0)

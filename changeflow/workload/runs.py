@@ -58,7 +58,7 @@ def test_failure_count(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("user_id") % 2 == 0, "test").otherwise("model").alias("kind"),
         status.alias("status"),
     )
-    return runs.test_failures(results).select("job", F.lit("test_failures").alias("metric"), "value")
+    return runs.failed_tests(results).select("job", F.lit("test_failures").alias("metric"), "value")
 
 
 @query(

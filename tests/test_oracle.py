@@ -15,12 +15,42 @@ TABLES = (
 ).split()
 
 
+# Tables where one customer, one order, one item, one event type and copies of one row each hold a third.
+SKEWED = {
+    "orders": """SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS o_custkey) FROM t
+                 UNION ALL SELECT t.* FROM t, range(700) WHERE o_orderkey = 42""",
+    "lineitem": """SELECT * REPLACE (
+                     CASE WHEN l_partkey % 3 = 0 THEN 42 ELSE l_orderkey END AS l_orderkey,
+                     CASE WHEN l_partkey % 3 = 0 AND l_suppkey % 2 = 0 THEN 1 ELSE l_linenumber END AS l_linenumber,
+                     CASE WHEN l_partkey % 3 = 0 THEN TIMESTAMP '1998-01-01' ELSE l_shipdate END AS l_shipdate,
+                     CASE WHEN l_partkey % 3 = 0 THEN 3 ELSE l_partkey END AS l_partkey,
+                     CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE l_suppkey END AS l_suppkey) FROM t""",
+    "events": """SELECT * REPLACE (
+                   CASE WHEN event_id % 3 = 0 THEN 6 ELSE user_id END AS user_id,
+                   CASE WHEN event_id % 3 = 0 THEN 'view' ELSE event_type END AS event_type,
+                   CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-15' ELSE ts END AS ts,
+                   CASE WHEN event_id % 3 = 0 THEN 1.25 ELSE value END AS value) FROM t""",
+}
+
+
+@pytest.fixture(scope="module", params=["plain", "skewed"])
+def data_dir(request, sf_dir, tmp_path_factory):
+    if request.param == "plain":
+        return sf_dir
+    small, out = "/root/testdata/sf0.001", tmp_path_factory.mktemp("skewed")
+    for name in "customer part orders lineitem events".split():
+        source = f"(SELECT * FROM '{small}/{name}.parquet')"
+        query = SKEWED.get(name, "SELECT * FROM t")
+        duckdb.sql(f"COPY (WITH t AS {source} {query}) TO '{out}/{name}.parquet' (FORMAT parquet)")
+    return str(out)
+
+
 @pytest.fixture(scope="module")
-def duck(sf_dir):
+def duck(data_dir):
     con = duckdb.connect()
     con.sql("SET TimeZone = 'UTC'")
     for name in TABLES:
-        path = os.path.join(sf_dir, f"{name}.parquet")
+        path = os.path.join(data_dir, f"{name}.parquet")
         if os.path.exists(path):
             con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
     yield con
@@ -44,8 +74,8 @@ KIND = {"long": "int", "integer": "int", "BIGINT": "int", "INTEGER": "int", "HUG
 
 
 @pytest.mark.parametrize("name", sorted(entry_point.queries()))
-def test_matches_sql(spark, sf_dir, duck, name):
-    df = entry_point.queries()[name](spark, sf_dir)
+def test_matches_sql(spark, data_dir, duck, name):
+    df = entry_point.queries()[name](spark, data_dir)
     got = df.collect()
     want = duck.sql(entry_point.oracle_sql()[name])
     assert sorted(df.columns) == sorted(want.columns)
