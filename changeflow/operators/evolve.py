@@ -1,24 +1,27 @@
-"""Old and new versions of a table read as one."""
+"""Old and new versions of a table read as one, nested row images included."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The wider of two numeric types.
+# Numeric types from narrow to wide.
 WIDENING = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
 def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds both: the wider number, or a struct with the fields of both."""
     if a == b:
         return a
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return unified_schema(a, b)
     names = [a.simpleString(), b.simpleString()]
     if not all(n in WIDENING for n in names):
         raise ValueError(f"no common type for {names[0]} and {names[1]}")
-    return a if WIDENING.index(names[0]) > WIDENING.index(names[1]) else b
+    return max(a, b, key=lambda t: WIDENING.index(t.simpleString()))
 
 
 def unified_schema(*schemas: T.StructType) -> T.StructType:
@@ -30,10 +33,29 @@ def unified_schema(*schemas: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in types.items()])
 
 
+def conform(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A column in the shape of a unified type, NULL in the fields it lacks."""
+    if not isinstance(want, T.StructType) or have == want:
+        return column.cast(want)
+    fields = [
+        conform(column[f.name], have[f.name].dataType, f.dataType) if f.name in have.names else F.lit(None).cast(f.dataType)
+        for f in want
+    ]
+    return F.when(column.isNotNull(), F.struct(*[c.alias(f.name) for c, f in zip(fields, want)]))
+
+
+def to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows under a unified schema."""
+    return df.select(
+        *[
+            (conform(F.col(f.name), df.schema[f.name].dataType, f.dataType) if f.name in df.columns
+             else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema
+        ]
+    )
+
+
 def union_versions(*versions: DataFrame) -> DataFrame:
     """Rows of all versions under the unified schema, NULL where a version lacks a column."""
     schema = unified_schema(*[v.schema for v in versions])
-    cast = [
-        v.select(*[F.col(f.name).cast(schema[f.name].dataType).alias(f.name) for f in v.schema]) for v in versions
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cast).select(*schema.names)
+    return reduce(DataFrame.unionByName, [to_schema(v, schema) for v in versions])

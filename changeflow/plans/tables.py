@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.operators.contracts import enforce_shape
-from changeflow.operators.evolve import unified_schema
+from changeflow.operators.evolve import to_schema, unified_schema
 
 NAMESPACES = ("bronze", "silver", "gold", "ops")
 
@@ -88,8 +88,9 @@ def publish(
 def evolve_table(spark: SparkSession, table: str, incoming: T.StructType) -> list[str]:
     """Add the columns a raw table lacks; returns their names. A retyped column is refused.
 
-    Plain tables cannot change a column's type: a widened column needs a new version written through
-    :func:`changeflow.operators.evolve.union_versions`.
+    Plain tables cannot change a column's type or add to a struct: that needs a new version written
+    through :func:`changeflow.operators.evolve.union_versions`, or a folder of files read with the
+    unified schema.
     """
     have = spark.table(table).schema
     unified = unified_schema(have, incoming)
@@ -110,10 +111,4 @@ def append_raw(df: DataFrame, table: str) -> None:
         df.write.saveAsTable(table)
         return
     evolve_table(spark, table, df.schema)
-    have = spark.table(table).schema
-    df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in have
-        ]
-    ).write.insertInto(table)
+    to_schema(df, spark.table(table).schema).write.insertInto(table)

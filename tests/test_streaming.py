@@ -3,10 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from changeflow.operators.evolve import union_versions
 from changeflow.operators.reconcile import reconcile_markers
+from changeflow.operators.runs import latency_percentiles
 from changeflow.plans import silver
-from changeflow.plans.shop import CUSTOMERS, ORDERS
+from changeflow.plans.shop import CUSTOMERS, ORDERS, ShopTable
 from changeflow.sources.decode import encode_envelopes
+from changeflow.sources.envelope import envelope_schema
 from changeflow.sources.topics import subscribe_files, topic_name
 from changeflow.streaming import state
 from changeflow.streaming.bronze import land
@@ -137,3 +140,35 @@ def test_batch_run_again_after_crash(spark, tmp_path, monkeypatch):
     merge(update, 1)
     got = {r.order_id: r.status for r in state.read_current(spark, ORDERS, target).collect()}
     assert got == {1: "placed", 2: "delivered", 3: "placed"}
+
+
+def test_row_image_grows_and_widens(spark, tmp_path):
+    """A column joins the row image and a number widens; old files are read with the new schema."""
+    topic, path, checkpoint = (str(tmp_path / n) for n in ("topic", "raw", "checkpoint"))
+    v1 = ShopTable("products", "product_id", "product_id bigint, price_cents int", ("price_cents",))
+    v2 = ShopTable(
+        "products", "product_id", "product_id bigint, price_cents bigint, sku string", ("price_cents", "sku")
+    )
+    old = spark.createDataFrame([event("products", "c", None, (k, 10)) for k in (1, 2)], envelope_schema(v1.image))
+    new = spark.createDataFrame(
+        [event("products", "u", (2, 10, None), (2, 2**40, "x"), T0 + 1, 9)], envelope_schema(v2.image)
+    )
+    send(old, "product_id", topic)
+    drain(spark, v1, topic, path, checkpoint)
+    send(new, "product_id", topic)
+    drain(spark, v2, topic, path, checkpoint)
+    raw = spark.read.schema(envelope_schema(v2.image)).parquet(path)
+    assert sorted(map(tuple, silver.silver(raw, v2).collect())) == [(1, 10, None), (2, 2**40, "x")]
+    union = union_versions(old, new)
+    assert union.schema["after"].dataType == new.schema["after"].dataType
+    assert sorted(map(tuple, silver.silver(union, v2).collect())) == [(1, 10, None), (2, 2**40, "x")]
+
+
+def test_latency_of_landed_events(spark, namespace, tmp_path):
+    topic = str(tmp_path / "topic")
+    send(seed(spark, "orders"), "order_id", topic)
+    drain(spark, ORDERS, topic, "bronze.orders", str(tmp_path / "checkpoint"))
+    landed = spark.table("bronze.orders").selectExpr("ingest_ms", "source.ts_ms AS source_ms")
+    measured = latency_percentiles(landed).first()
+    waits = [r.ingest_ms - r.source_ms for r in landed.collect()]
+    assert min(waits) <= measured.p50 <= measured.p95 <= max(waits)

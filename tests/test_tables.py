@@ -5,6 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from changeflow.__main__ import main
 from changeflow.operators.evolve import union_versions
 from changeflow.plans import jobs, tables
 from changeflow.plans.shop import TABLES
@@ -111,3 +112,15 @@ def test_repeated_metric_rows_count_once(shop):
         jobs.record_metrics(shop, "build", "001", {"success": 1})
     assert jobs.recorded_metrics(shop).count() == 1
     assert jobs.recorded_metrics(shop).select(F.sum("value")).first()[0] == 1.0
+
+
+def test_commands_exit_with_the_verdict(shop):
+    write_bronze(shop)
+    assert main(["build", "--run", "001"], shop) == 0
+    assert main(["check", "--run", "001"], shop) == 0
+    assert main(["test"], shop) == 0
+    write_bronze(shop, orders=[TYPO])
+    assert main(["build", "--run", "002"], shop) == 1
+    assert main(["check", "--run", "002"], shop) == 0
+    shop.sql("CREATE OR REPLACE VIEW gold.gold_order_summary AS SELECT * FROM gold.gold_order_summary__002")
+    assert main(["check", "--run", "003"], shop) == 1
