@@ -12,27 +12,37 @@ from changeflow.operators import expectations as ex
 from changeflow.plans.shop import TABLES, ShopTable
 
 
-def orphans(child: DataFrame, parent: DataFrame, fk: str, parent_key: str) -> DataFrame:
-    """One row: how many child rows name a parent that does not exist. A NULL reference is no orphan.
+def fk_orphans(tables: Mapping[str, DataFrame], declared: Mapping[str, ShopTable] = TABLES) -> DataFrame:
+    """Per declared reference, how many child rows name a parent that does not exist.
 
-    Child rows are counted per reference before they are shuffled, so a parent named by a third of all
-    rows costs one row per task.
+    A NULL reference is no orphan. Every child is read once for all its references. Its rows are counted
+    per referenced key before they are shuffled, so a parent named by a third of all rows costs one row
+    per task. An anti join would be moved below that count whenever the parents are guessed to be small,
+    hence the outer join.
     """
-    named = child.where(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("k")).agg(F.count("*").alias("n"))
-    missing = named.join(parent.select(F.col(parent_key).alias("k")), "k", "left_anti")
-    return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans"))
-
-
-def fk_orphans(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Orphans of every declared reference between the given tables."""
-    parts = [
-        orphans(tables[t.name], tables[parent], fk, TABLES[parent].key).select(
-            F.lit(t.name).alias("child"), F.lit(fk).alias("fk"), "orphans"
-        )
-        for t in TABLES.values()
-        for fk, parent in t.references
+    links = [(t, fk, declared[parent]) for t in declared.values() for fk, parent in t.references]
+    named = []
+    for t in declared.values():
+        pairs = [f"struct({i} AS link, {fk} AS k)" for i, (child, fk, _) in enumerate(links) if child is t]
+        if pairs:
+            named.append(tables[t.name].selectExpr(f"inline(array({', '.join(pairs)}))"))
+    known = [
+        tables[parent.name].selectExpr(f"{i} AS link", f"{parent.key} AS k", "true AS known")
+        for i, (_, _, parent) in enumerate(links)
     ]
-    return reduce(DataFrame.unionByName, parts)
+    counted = (
+        reduce(DataFrame.unionByName, named)
+        .where("k IS NOT NULL")
+        .groupBy("link", "k")
+        .agg(F.count("*").alias("n"))
+        .join(reduce(DataFrame.unionByName, known), ["link", "k"], "left")
+    )
+    totals = [f"sum(n) FILTER (WHERE known IS NULL AND link = {i}) AS orphans_{i}" for i in range(len(links))]
+    rows = [
+        f"named_struct('child', '{t.name}', 'fk', '{fk}', 'orphans', coalesce(orphans_{i}, 0L))"
+        for i, (t, fk, _) in enumerate(links)
+    ]
+    return counted.selectExpr(*totals).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def constraint_checks(table: ShopTable) -> list[ex.Expectation]:

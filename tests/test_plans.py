@@ -5,7 +5,6 @@ import re
 import pytest
 
 import __spark_entry__ as entry_point
-from changeflow.operators import audit
 from changeflow.plans import silver
 from changeflow.plans.shop import ORDERS, TABLES
 from changeflow.sources.envelope import envelope_schema
@@ -86,11 +85,17 @@ def test_mart_shuffles(spark, sf_dir, no_broadcast):
     )
 
 
-def test_orphans_count_before_the_shuffle(spark, sf_dir, no_broadcast):
-    child = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    text = plan(audit.orphans(child, spark.range(3), "o_custkey", "id"))
-    below = text[text.index("Exchange hashpartitioning(o_custkey") :].splitlines()[1]
-    assert "partial_count" in below
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_orphans_are_counted_before_the_join(spark, sf_dir, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        lines = plan(entry_point.queries()["fk_orphans"](spark, sf_dir)).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = [i for i, line in enumerate(lines) if "Join [" in line]
+    counted = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(link" in line]
+    assert len(join) == 1 and join[0] < counted[0] and "partial_count" in lines[counted[0] + 1]
+    assert "\n".join(lines).count("lineitem.parquet") == 1
 
 
 def test_markers_reach_the_scan_as_a_filter(spark, tmp_path):

@@ -18,7 +18,7 @@ from changeflow.operators.evolve import union_versions
 from changeflow.operators.reconcile import reconcile_markers
 from changeflow.plans.checks import GOLD_CHECKS
 from changeflow.sources.decode import decode_envelopes, encode_envelopes
-from changeflow.plans.shop import ORDERS, PRODUCTS
+from changeflow.plans.shop import ORDERS, PRODUCTS, ShopTable
 from shopdata import NOON, T0, event, log, seed
 
 MART = "order_id bigint, customer_id bigint, status string, item_count bigint, total_amount_cents bigint"
@@ -72,10 +72,20 @@ def test_unique_counts_values_for_tests_and_rows_for_checks(spark):
 
 
 def test_orphans_ignore_null(spark):
-    child = spark.createDataFrame([(1,), (1,), (2,), (9,), (9,), (None,)], "fk bigint")
-    parent = spark.createDataFrame([(1,), (2,)], "id bigint")
-    assert audit.orphans(child, parent, "fk", "id").first().orphans == 2
-    assert audit.orphans(child.where("fk < 3"), parent, "fk", "id").first().orphans == 0
+    child = ShopTable("child", "id", "", (), references=(("fk", "parent"), ("other", "parent")))
+    declared = {"child": child, "parent": ShopTable("parent", "pk", "", ())}
+    rows = [(1, 2), (1, 7), (2, 2), (9, 2), (9, None), (None, 2)]
+    tables = {
+        "child": spark.createDataFrame(rows, "fk bigint, other bigint"),
+        "parent": spark.createDataFrame([(1,), (2,)], "pk bigint"),
+    }
+
+    def found():
+        return {(r.child, r.fk): r.orphans for r in audit.fk_orphans(tables, declared).collect()}
+
+    assert found() == {("child", "fk"): 2, ("child", "other"): 1}
+    tables["child"] = tables["child"].where("false")
+    assert found() == {("child", "fk"): 0, ("child", "other"): 0}
 
 
 def test_shape_contract(spark):
