@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
 from decimal import Decimal
+from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions.quantiles import exact_percentiles
@@ -44,6 +47,25 @@ def consumer_lag(ends: DataFrame, committed: DataFrame) -> DataFrame:
     )
 
 
+def topic_offsets(spark: SparkSession, grp: str, progress: Mapping[str, Any]) -> tuple[DataFrame, DataFrame]:
+    """End and committed offsets of a stream over topics, from its progress report, for :func:`consumer_lag`."""
+
+    def frame(which: str, column: str) -> DataFrame:
+        rows = [
+            (grp, topic, int(partition), int(offset))
+            for source in progress["sources"]
+            for topic, partitions in _offsets(source.get(which)).items()
+            for partition, offset in partitions.items()
+        ]
+        return spark.createDataFrame(rows, f"grp string, topic string, partition int, {column} bigint")
+
+    return frame("latestOffset", "end_offset"), frame("endOffset", "committed_offset")
+
+
+def _offsets(reported: Any) -> Mapping[str, Mapping[str, int]]:
+    return (json.loads(reported) if isinstance(reported, str) else reported) or {}
+
+
 def latency_percentiles(events: DataFrame) -> DataFrame:
     """Median and 95th percentile of ``ingest_ms - source_ms``."""
     return exact_percentiles(

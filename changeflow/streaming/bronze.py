@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from changeflow.operators.contracts import quarantine
 from changeflow.plans.shop import ShopTable
-from changeflow.sources.decode import decode_envelopes
+from changeflow.sources.decode import decode_envelopes, drop_tombstones
+from changeflow.sources.envelope import envelope_schema
 
 COMMIT_INTERVAL = "10 seconds"
 
@@ -31,8 +35,53 @@ def land(
     return append(events, target, checkpoint, available_now)
 
 
+def land_or_quarantine(
+    messages: DataFrame,
+    table: ShopTable,
+    target: str,
+    quarantine_target: str,
+    checkpoint: str,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Like :func:`land`, but a message that does not parse or breaks the table's contract is set aside.
+
+    It goes to ``quarantine_target`` as it came, with the field at fault (``*`` for the whole message), and
+    the rest of its batch lands. A batch that is run again may land twice, which current state absorbs.
+    """
+    writer = messages.writeStream.foreachBatch(_split(table, target, quarantine_target))
+    return _started(writer.option("checkpointLocation", checkpoint), available_now).start()
+
+
+def _split(table: ShopTable, target: str, quarantine_target: str) -> Callable[[DataFrame, int], None]:
+    schema = envelope_schema(table.image).add("_corrupt_record", "string")
+    image = F.coalesce(F.get_json_object("message", "$.after"), F.get_json_object("message", "$.before"))
+
+    def split(batch: DataFrame, _batch_id: int) -> None:
+        images = drop_tombstones(batch).select(
+            "key", F.col("value").alias("message"), F.lit(table.name).alias("subject"), image.alias("value")
+        )
+        checked = (
+            quarantine(images, {table.name: table.image})
+            .withColumn("e", F.from_json("message", schema))
+            .withColumn("good", F.expr("verdict = 'accepted' AND e._corrupt_record IS NULL"))
+            .persist()
+        )
+        checked.where("good").select("e.*", F.unix_millis(F.current_timestamp()).alias("ingest_ms")).drop(
+            "_corrupt_record"
+        ).write.mode("append").saveAsTable(target)
+        checked.where("NOT good").select("key", F.col("message").alias("value"), "field").write.mode(
+            "append"
+        ).saveAsTable(quarantine_target)
+        checked.unpersist()
+
+    return split
+
+
+def _started(writer: DataStreamWriter, available_now: bool) -> DataStreamWriter:
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=COMMIT_INTERVAL)
+
+
 def append(events: DataFrame, target: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Append to a table, or to a parquet folder when ``target`` is a path."""
-    writer = events.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=COMMIT_INTERVAL)
+    writer = _started(events.writeStream.outputMode("append").option("checkpointLocation", checkpoint), available_now)
     return writer.format("parquet").start(target) if "/" in target else writer.toTable(target)

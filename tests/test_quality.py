@@ -266,3 +266,15 @@ def test_lag_never_negative(spark):
         [("g", "t", 0, 4), ("g", "u", 0, 9)], "grp string, topic string, partition int, committed_offset bigint"
     )
     assert {r.topic: r.lag for r in runs.consumer_lag(ends, done).collect()} == {"t": 11, "u": 0}
+
+
+def test_lag_of_a_stream_report(spark):
+    report = {
+        "sources": [
+            {"latestOffset": {"t": {"0": 12, "1": 7}}, "endOffset": '{"t": {"0": 10}}'},
+            {"latestOffset": '{"u": {"0": 3}}', "endOffset": {"u": {"0": 3}}},
+            {"latestOffset": None, "endOffset": None},
+        ]
+    }
+    lag = runs.consumer_lag(*runs.topic_offsets(spark, "g", report))
+    assert {r.topic: r.lag for r in lag.collect()} == {"t": 9, "u": 0}

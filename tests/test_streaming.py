@@ -12,7 +12,7 @@ from changeflow.sources.decode import encode_envelopes
 from changeflow.sources.envelope import envelope_schema
 from changeflow.sources.topics import subscribe_files, topic_name
 from changeflow.streaming import state
-from changeflow.streaming.bronze import land
+from changeflow.streaming.bronze import land, land_or_quarantine
 from changeflow.workload.derive import bronze
 from shopdata import NOON, T0, event, log, seed
 from test_state import same_rows
@@ -172,3 +172,22 @@ def test_latency_of_landed_events(spark, namespace, tmp_path):
     measured = latency_percentiles(landed).first()
     waits = [r.ingest_ms - r.source_ms for r in landed.collect()]
     assert min(waits) <= measured.p50 <= measured.p95 <= max(waits)
+
+
+def test_quarantine_lands_the_rest(spark, namespace, tmp_path):
+    topic = str(tmp_path / "topic")
+    deleted = event("orders", "d", (1, 1, "placed", NOON, NOON), None, T0 + 1, 9)
+    send(seed(spark, "orders", [deleted]), "order_id", topic)
+    bad = ['{"op":', "", '{"after":{"order_id":"7","customer_id":1,"status":"x"},"op":"c"}', '{"op":"c"}']
+    whole = '{"order_id":7,"customer_id":1,"status":"x","placed_at":null,"updated_at":null}'
+    bad.append(f'{{"after":{whole},"op":"c","ts_ms":"soon"}}')
+    spark.createDataFrame([("9", b) for b in bad] + [("9", None)], "key string, value string").write.mode(
+        "append"
+    ).parquet(topic)
+    land_or_quarantine(
+        subscribe_files(spark, topic), ORDERS, "bronze.orders", "bronze.orders_held", str(tmp_path / "c"), True
+    ).awaitTermination()
+    assert spark.table("bronze.orders").count() == 4
+    assert {r.order_id for r in silver.silver_orders(spark.table("bronze.orders")).collect()} == {2, 3}
+    held = {r.value: r.field for r in spark.table("bronze.orders_held").collect()}
+    assert held == {bad[0]: "*", bad[1]: "*", bad[2]: "order_id", bad[3]: "*", bad[4]: "*"}
