@@ -10,25 +10,34 @@ from pyspark.sql import functions as F
 from changeflow.sources.envelope import event_key
 
 
-def latest_events(bronze: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """The newest event of every key, deletes included.
-
-    Only the needed leaves of the images are read. Catalyst turns the rank filter into a group limit
-    before the shuffle, so a map task sends one event per key it saw, however hot the key is. Events
-    that no position tells apart are ordered by content, so a rerun gives the same row.
-    """
-    flat = bronze.selectExpr(
+def flat_events(bronze: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """Events as plain rows: key, the new row's fields, op, ts_ms, lsn."""
+    return bronze.selectExpr(
         f"coalesce(after.{key}, before.{key}) AS {key}",
         *[f"after.{f} AS {f}" for f in fields],
         "op",
         "ts_ms",
         "source.lsn AS lsn",
     )
+
+
+def newest_per_key(flat: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """The newest flat event of every key, deletes included.
+
+    Catalyst turns the rank filter into a group limit before the shuffle, so a map task sends one event
+    per key it saw, however hot the key is. Events that no position tells apart are ordered by content,
+    so a rerun gives the same row.
+    """
     newest = ", ".join(f"{c} DESC NULLS LAST" for c in ("ts_ms", "lsn", "op", *fields))
     rank = f"row_number() OVER (PARTITION BY {key} ORDER BY {newest})"
     return flat.withColumn("rn", F.expr(rank)).where("rn = 1").drop("rn")
 
 
+def latest_events(bronze: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """The newest event of every key; only the needed leaves of the images are read."""
+    return newest_per_key(flat_events(bronze, key, fields), key, fields)
+
+
 def current_state(bronze: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """One row per live key. A key whose newest event is a delete, or has no code, is gone."""
     return latest_events(bronze, key, fields).where("op <> 'd'").select(key, *fields)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from changeflow.operators.current_state import latest_events
+from changeflow.operators.current_state import flat_events, newest_per_key
 from changeflow.plans.shop import ShopTable
 from changeflow.plans.silver import with_times
 
@@ -43,32 +43,34 @@ def read_current(spark: SparkSession, table: ShopTable, path: str) -> DataFrame:
 def merge_batch(table: ShopTable, path: str, aside: str, buckets: int) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that folds a micro-batch of envelopes into the target.
 
-    The batch is reduced to one event per key, joined by the stored rows of the touched buckets only,
-    and written to ``aside`` before those buckets are replaced. A batch that is run again after a crash
-    finds its finished copy there and only repeats the replacement, so nothing is lost halfway. Merging
-    the same events twice changes nothing.
+    The batch is ranked together with the stored rows of the touched buckets, and the winners are written
+    to ``aside`` before those buckets are replaced. A batch that is run again after a crash finds its
+    finished copy there and only repeats the replacement, so nothing is lost halfway. Merging the same
+    events twice changes nothing.
     """
-    columns = [table.key, *table.columns, "op", "ts_ms", "lsn", "bucket"]
-    newest = ", ".join(f"{c} DESC NULLS LAST" for c in ("ts_ms", "lsn", "op", *table.columns))
-    rank = f"row_number() OVER (PARTITION BY bucket, {table.key} ORDER BY {newest})"
+    columns = [table.key, *table.columns, "op", "ts_ms", "lsn"]
+    schema = state_schema(table)
+    bucket = F.expr(f"cast(pmod(xxhash64({table.key}), {buckets}) AS int)")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         copy = f"{aside}/batch={batch_id}"
         if not _exists(spark, f"{copy}/_SUCCESS"):
-            bucket = F.pmod(F.xxhash64(table.key), F.lit(buckets)).cast("int")
-            fresh = latest_events(batch, table.key, table.columns).withColumn("bucket", bucket).persist()
-            # no more rows than buckets
-            touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
+            fresh = flat_events(batch, table.key, table.columns)
+            # no more rows than buckets; the batch's keys are read once more for it
+            touched = [r.bucket for r in fresh.select(bucket.alias("bucket")).distinct().collect()]
             kept = read_all(spark, table, path).where(F.col("bucket").isin(touched))
-            both = fresh.select(*columns).unionByName(kept.select(*columns))
-            merged = both.withColumn("rn", F.expr(rank)).where("rn = 1").drop("rn")
-            merged.write.mode("overwrite").parquet(copy)
-            fresh.unpersist()
+            merged = newest_per_key(fresh.unionByName(kept.select(*columns)), table.key, table.columns)
+            (
+                merged.withColumn("bucket", bucket)
+                .hint("rebalance", "bucket")
+                .write.mode("overwrite")
+                .partitionBy("bucket")
+                .parquet(copy)
+            )
         (
-            spark.read.schema(state_schema(table))
+            spark.read.schema(schema)
             .parquet(copy)
-            .hint("rebalance", "bucket")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("bucket")
