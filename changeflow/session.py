@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -18,11 +17,16 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory for checkpoints and staged files, reachable by every executor.
 
-    It lies under ``spark.checkpoint.dir``. Only a local session may do without that setting.
+    It lies under ``spark.checkpoint.dir``, or where that is unset beside the tables in
+    ``spark.sql.warehouse.dir``, which executors share in any deployment.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="changeflow-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_staged"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to a shared folder and read it back, which cuts its lineage and survives lost executors."""
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

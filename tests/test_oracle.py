@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from changeflow.workload import ORACLE, QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -73,11 +74,11 @@ KIND = {"long": "int", "integer": "int", "BIGINT": "int", "INTEGER": "int", "HUG
         "boolean": "bool", "BOOLEAN": "bool"}
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, data_dir, duck, name):
-    df = entry_point.queries()[name](spark, data_dir)
+    df = QUERIES[name](spark, data_dir)
     got = df.collect()
-    want = duck.sql(entry_point.oracle_sql()[name])
+    want = duck.sql(ORACLE[name])
     assert sorted(df.columns) == sorted(want.columns)
     spark_kinds = {f.name: KIND[f.dataType.typeName()] for f in df.schema}
     duck_kinds = {c: KIND[str(t)] for c, t in zip(want.columns, want.types)}
@@ -92,4 +93,8 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_entry_registers_all():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
