@@ -31,6 +31,7 @@ def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     held = None
     for batch in batches:
+        batch = pa.RecordBatch.from_arrays(batch.columns, names=batch.schema.names)  # all columns nullable
         table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
         if not table.num_rows:
             continue
@@ -41,7 +42,7 @@ def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(new)
         merged = table.take(pa.array(first))
         n = np.add.reduceat(table["n"].to_numpy(), first)
-        merged = merged.set_column(merged.schema.get_field_index("n"), "n", pa.array(n))
+        merged = merged.set_column(merged.schema.get_field_index("n"), "n", pa.array(n, pa.int64()))
         merged = merged.combine_chunks()
         yield from merged.slice(0, len(first) - 1).to_batches()
         held = merged.slice(len(first) - 1).to_batches()[0]
