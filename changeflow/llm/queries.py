@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
-from changeflow.llm import exact_dedup, mixing, packing
+from changeflow.llm import (
+    exact_dedup,
+    jaccard,
+    line_chunks,
+    mixing,
+    packing,
+    quality,
+    suffix_dedup,
+    tool_calls,
+    topk,
+    warc,
+)
 
 _MODULES = {
+    "op1_warc": warc,
+    "op2_jaccard_join": jaccard,
     "op3_exact_dedup": exact_dedup,
+    "op4_quality_classifier": quality,
+    "op5_line_chunks": line_chunks,
+    "op6_tool_calls": tool_calls,
+    "op7_suffix_dedup": suffix_dedup,
     "op8_best_fit_packing": packing,
     "op9_mixing": mixing,
+    "op10_top_k": topk,
 }
 
 QUERIES = {name: module.query for name, module in _MODULES.items()}
