@@ -125,17 +125,29 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def row_keys(text_hash: Column) -> dict[str, Column]:
+def row_keys(doc_id: str, text_hash: Column) -> dict[str, Column]:
     """Join keys of a document row that are never null: its identifier as text and the hash of its text."""
-    return {"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_hash": text_hash}
+    return {"_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "_hash": text_hash}
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """Rows as one column ``doc``, so that no name of theirs can clash, with their :func:`row_keys`."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc")).withColumns(
+        row_keys("doc.doc_id", F.xxhash64("doc.text"))
+    )
+
+
+def one_of_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` and ``text_hash`` are in ``kept``; of rows alike in both exactly one."""
+    keys = kept.select(*[c.alias(n) for n, c in row_keys("doc_id", F.col("text_hash")).items()])
+    left = whole_rows(docs).join(keys, ["_id", "_hash"], "left_semi")
+    one = F.row_number().over(W.partitionBy("_id", "_hash").orderBy("_id"))
+    return left.withColumn("_nth", one).where("_nth = 1").select("doc.*")
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay; of rows alike in ``doc_id`` and text exactly one."""
-    kept = exact_groups(docs).where("kept").select(*[c.alias(n) for n, c in row_keys(F.col("text_hash")).items()])
-    left = docs.withColumns(row_keys(F.xxhash64("text"))).join(kept, ["_id", "_hash"], "left_semi")
-    one = F.row_number().over(W.partitionBy("_id", "_hash").orderBy("_id"))
-    return left.withColumn("_nth", one).where("_nth = 1").select(*docs.columns)
+    return one_of_each(docs, exact_groups(docs).where("kept"))
 
 
 SQL = r"""

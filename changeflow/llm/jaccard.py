@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.llm.components import components
+from changeflow.llm.exact_dedup import one_of_each
 from changeflow.llm.shingles import BASE, mixed, shingle_set
 from changeflow.operators.skew import hot_from_counts, salted_left_join
 from changeflow.session import materialise
@@ -38,7 +39,7 @@ BLOCK = 128
 #: Sets that meet one set in a task.
 MEETINGS = 256
 
-PROFILE = "doc_id long, n long, node long, check long, k0 long, k1 long, k2 long, counts binary"
+PROFILE = "doc_id long, text_hash long, n long, node long, check long, k0 long, k1 long, k2 long, counts binary"
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -62,25 +63,26 @@ def profiles(docs: DataFrame) -> DataFrame:
         names = [c.split()[0] for c in PROFILE.split(", ")]
 
         def made(rows: list[tuple]) -> pa.RecordBatch:
-            types = [pa.int64()] * 7 + [pa.binary()]
+            types = [pa.int64()] * 8 + [pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
+            for doc_id, text_hash, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 hashes = shingle_set(text)
                 if not len(hashes):
-                    rows.append((doc_id, 0, None, None, None, None, None, None))
+                    rows.append((doc_id, text_hash, 0, None, None, None, None, None, None))
                     continue
                 counts += np.bincount((hashes >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
                 least = (int(signed(mixed(hashes ^ t)[None].min(1))[0]) for t in turns)
-                rows.append((doc_id, len(hashes), *digests(hashes), *least, None))
+                rows.append((doc_id, text_hash, len(hashes), *digests(hashes), *least, None))
             if rows:
                 yield made(rows)
         if counts.any():
-            yield made([(None, -1, None, None, None, None, None, counts.tobytes())])
+            yield made([(None, None, -1, None, None, None, None, None, counts.tobytes())])
 
-    return materialise(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(profile, PROFILE), "profiles")
+    read = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text")
+    return materialise(read.mapInArrow(profile, PROFILE), "profiles")
 
 
 def ranks(profiled: DataFrame) -> np.ndarray:
@@ -353,9 +355,9 @@ def stars(nodes: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, node, component_id`` for every row of ``docs`` (``doc_id, text``).
+    """``doc_id, text_hash, n_shingles, node, component, component_id`` for every row of ``docs`` (``doc_id, text``).
 
-    Documents with equal sets share a ``node`` (null for an empty set); ``component_id`` is the smallest ``doc_id`` in
+    Documents with equal sets share a ``node`` (null for an empty set), linked nodes a ``component``; ``component_id`` is the smallest ``doc_id`` in
     reach. Null, empty and blank texts have no shingles and link with nothing: they are their own component, as
     is the null ``doc_id`` among them. Repeated rows are linked like any equal texts. Sets and shingles are told
     apart by 64-bit hashes. An empty table gives no rows.
@@ -388,11 +390,24 @@ def near_groups(docs: DataFrame) -> DataFrame:
     firsts = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
     # nodes of a large component are spread: only the few first identifiers are looked up by component
     hot = hot_from_counts(placed.groupBy("component").agg(F.count("*").alias("n_nodes")), "component", "n_nodes")
-    placed = salted_left_join(placed.select("node", "component", "docs"), firsts, "component", "node", hot).select("node", "component_id", "docs")
+    placed = salted_left_join(placed.select("node", "component", "docs"), firsts, "component", "node", hot).select("node", "component", "component_id", "docs")
     placed = materialise(placed, "placed")
-    docs_of = profiled.where("n >= 0").select("doc_id", F.col("n").alias("n_shingles"), "node")
+    docs_of = profiled.where("n >= 0").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "node")
     joined = salted_left_join(docs_of, placed.drop("docs"), "node", "doc_id", hot_from_counts(placed, "node", "docs"))
-    return joined.select("doc_id", "n_shingles", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return joined.select("doc_id", "text_hash", "n_shingles", "node", "component", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are the first of their component: one of each, and all without shingles.
+
+    Of rows alike in ``doc_id`` and text one stays. Where the smallest ``doc_id`` of a component is repeated, or all
+    are null, the row with the smallest text hash stays.
+    """
+    groups = near_groups(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
+    kept = groups.where("node IS NOT NULL").groupBy("component").agg(first).select("first.doc_id", "first.text_hash")
+    empty = groups.where("node IS NULL").select("doc_id", "text_hash")
+    return one_of_each(docs, kept.unionByName(empty))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.exact_dedup import row_keys
+from changeflow.llm.exact_dedup import row_keys, whole_rows
 from changeflow.operators.skew import hot_from_counts, salted_left_join
 from changeflow.session import materialise
 
@@ -76,8 +76,8 @@ def chunked(docs: DataFrame, least_lines: int, with_bytes: bool) -> DataFrame:
             columns = zip(*rows, strict=True) if rows else [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
-    keyed = docs.withColumns(row_keys(F.xxhash64("text"))).select("_id", "_hash", F.col("doc_id").cast("long"), "text")
-    return keyed.mapInArrow(cut, CHUNK)
+    keyed = docs.select("doc_id", "text").withColumns(row_keys("doc_id", F.xxhash64("text")))
+    return keyed.select("_id", "_hash", F.col("doc_id").cast("long"), "text").mapInArrow(cut, CHUNK)
 
 
 def repeated_chunks(docs: DataFrame, least_lines: int = 2) -> DataFrame:
@@ -95,7 +95,8 @@ def repeated_chunks(docs: DataFrame, least_lines: int = 2) -> DataFrame:
     marked = salted_left_join(thin, groups.select("digest", "first"), "digest", "_hash", hot).where("first IS NOT NULL")
     marked = materialise(marked.withColumn("leads", place == F.col("first")).drop("doc_id", "first"), "marked")
     # only the documents with nominated chunks give their bytes
-    involved = docs.withColumns(row_keys(F.xxhash64("text"))).join(marked.select("_id", "_hash").distinct(), ["_id", "_hash"], "left_semi")
+    keyed = docs.select("doc_id", "text").withColumns(row_keys("doc_id", F.xxhash64("text")))
+    involved = keyed.join(marked.select("_id", "_hash").distinct(), ["_id", "_hash"], "left_semi")
     held = chunked(involved.select("doc_id", "text").dropDuplicates(["doc_id", "text"]), least_lines, True)
     full = held.join(marked.select("_id", "_hash", "place", "leads"), ["_id", "_hash", "place"])
     full = full.select("_id", "_hash", "place", "lines", "digest", "leads", F.rtrim(F.col("chunk").cast("string"), F.lit("\n")).alias("bytes"))
@@ -106,29 +107,32 @@ def repeated_chunks(docs: DataFrame, least_lines: int = 2) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, least_lines: int = 2) -> DataFrame:
-    """``docs`` with the bytes of repeated chunks removed: all columns, and ``n_lines, n_chunks, n_removed_chunks, n_removed_lines``.
+    """``docs`` with the bytes of repeated chunks removed: all columns, and ``n_lines, n_chunks, n_removed_chunks, n_removed_lines``,
+    which take the place of columns of these names.
 
     Null and empty texts stay as they are and have no lines. Rows alike in ``doc_id`` and text are judged once
     and cut alike, so a whole repeated row loses nothing to its twin. What is left of a text keeps its order.
     """
     removed = repeated_chunks(docs, least_lines).groupBy("_id", "_hash").agg(F.collect_set("place").alias("_places"))
-    joined = docs.withColumns(row_keys(F.xxhash64("text"))).join(removed, ["_id", "_hash"], "left")
     added = "n_lines long, n_chunks long, n_removed_chunks long, n_removed_lines long"
+    docs = docs.drop(*(a.split()[0] for a in added.split(", ")))
+    joined = whole_rows(docs).join(removed, ["_id", "_hash"], "left")
     columns = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts = [], []
-            for text, places in zip(batch["text"].to_pylist(), batch["_places"].to_pylist(), strict=True):
+            doc = dict(zip(columns, batch["doc"].flatten(), strict=True))
+            for text, places in zip(doc["text"].to_pylist(), batch["_places"].to_pylist(), strict=True):
                 found, out = chunks_of(text), set(places or ())
                 texts.append(b"".join(c for i, (_, c) in enumerate(found) if i not in out).decode("utf-8", "surrogatepass") if out else text)
                 counts.append((sum(n for n, _ in found), len(found), len(out), sum(n for i, (n, _) in enumerate(found) if i in out)))
-            arrays = [pa.array(texts, pa.string()) if c == "text" else batch[c] for c in columns]
+            arrays = [pa.array(texts, pa.string()) if c == "text" else doc[c] for c in columns]
             more = [pa.array([c[i] for c in counts], pa.int64()) for i in range(4)]
             yield pa.RecordBatch.from_arrays(arrays + more, names=[*columns, *(a.split()[0] for a in added.split(", "))])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", " + added
-    return joined.select(*columns, "_places").mapInArrow(cut, schema)
+    return joined.select("doc", "_places").mapInArrow(cut, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

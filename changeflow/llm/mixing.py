@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from changeflow.llm.exact_dedup import row_keys
+from changeflow.llm.exact_dedup import row_keys, whole_rows
 from changeflow.session import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -127,13 +127,13 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     Rows alike in ``doc_id`` and text share what the mix takes of them evenly.
     """
     times = F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))
-    taken = mix(docs, **how).withColumns(row_keys(F.col("digest"))).groupBy("_id", "_hash").agg(times.alias("_times"))
+    taken = mix(docs, **how).withColumns(row_keys("doc_id", F.col("digest"))).groupBy("_id", "_hash").agg(times.alias("times"))
     return (
-        docs.withColumns(row_keys(F.xxhash64("text")))
+        whole_rows(docs)
         .join(taken, ["_id", "_hash"])
-        .where("_times >= 0.5")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.floor(F.col("_times") + 0.5))))
-        .select(*docs.columns)
+        .where("times >= 0.5")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.floor(F.col("times") + 0.5))))
+        .select("doc.*")
     )
 
 

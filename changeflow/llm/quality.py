@@ -229,16 +229,28 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``, with all their columns."""
-    trees = train(materialise(document_statistics(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")), "statistics"), labels)
+    """The rows of ``docs`` that score at least ``threshold``, with all their columns.
+
+    Statistics are made once: rows are staged with them, as one column, and filtered from there.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc = dict(zip(docs.columns, batch[0].flatten(), strict=True))
+            features = pa.array([statistics(t or "") for t in doc["text"].to_pylist()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch[0], doc["doc_id"].cast(pa.int64()), features], names=["doc", "doc_id", "features"])
+
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    schema = f"doc {row.schema['doc'].dataType.simpleString()}, doc_id long, features array<double>"
+    known = materialise(row.mapInArrow(add, schema), "statistics")
+    trees = train(known.select("doc_id", "features"), labels)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [statistics(t or "") for t in batch["text"].to_pylist()]
-            x = np.array(x, float).reshape(-1, len(FEATURES))
+            x = np.array(batch[1].to_pylist(), float).reshape(-1, len(FEATURES))
             yield batch.filter(pa.array(trees.scores(x) >= threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return known.select("doc", "features").mapInArrow(keep, known.select("doc", "features").schema).select("doc.*")
 
 
 def held_out_in_python(doc_id: int) -> bool:

@@ -1,8 +1,56 @@
-"""A corpus from raw documents to packed training sequences; filled in with its stages."""
+"""A corpus from raw documents to packed training sequences.
 
-STAGES: list = []
+Every stage takes ``(spark, docs, sf_dir)`` and returns a frame; it is written and read again as the next stage's
+``docs``. All but the last keep the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from changeflow.llm import exact_dedup, jaccard, mixing, packing, quality
+from changeflow.session import materialise, use_utc
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the classifier, fitted on the labelled ones, scores below 0.3."""
+    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, white space aside, the one with the smallest doc_id stays."""
+    return exact_dedup.without_copies(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by word shingles the document with the smallest doc_id stays; empty ones link with nothing."""
+    return jaccard.without_near_copies(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences of 1024 tokens."""
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("exact dedup", exact_stage),
+    ("n-gram Jaccard join", near_stage),
+    ("mixing sources", mixing_stage),
+    ("best-fit packing", packing_stage),
+]
+
+#: Neither trees nor tokens can be had in SQL; the tests compare with a plain form of every stage.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = use_utc(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = materialise(stage(spark, docs, sf_dir), f"stage{i}")
+    return docs
