@@ -3,6 +3,7 @@
     build --run 20260812T100000     all models; the mart only if its contract and checks hold
     check --run 20260812T100500     value checks on the published mart
     test                            column tests on the published models
+    status                          the latest gauges of every job
 
 The exit code is 1 if a build is blocked or a check or test fails.
 """
@@ -21,10 +22,10 @@ from changeflow.plans.tables import PublishBlocked
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(prog="changeflow")
-    parser.add_argument("command", choices=["build", "check", "test"])
+    parser.add_argument("command", choices=["build", "check", "test", "status"])
     parser.add_argument("--run", help="names this attempt; must sort after earlier ones")
     args = parser.parse_args(argv)
-    if args.command != "test" and not args.run:
+    if args.command in ("build", "check") and not args.run:
         parser.error("--run is required")
     spark = spark or SparkSession.builder.appName(f"changeflow {args.command}").getOrCreate()
 
@@ -37,6 +38,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0
     if args.command == "check":
         return 0 if jobs.check_mart(spark, args.run) else 1
+    if args.command == "status":
+        for row in jobs.job_status(spark).orderBy("job", "metric").collect():
+            print(f"{row.job} {row.metric} {row.value:g}")
+        return 0
     failed = jobs.run_column_tests(spark).where("failures > 0").collect()
     for row in failed:
         print(row, file=sys.stderr)

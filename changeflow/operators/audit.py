@@ -15,29 +15,24 @@ from changeflow.plans.shop import TABLES, ShopTable
 def fk_orphans(tables: Mapping[str, DataFrame], declared: Mapping[str, ShopTable] = TABLES) -> DataFrame:
     """Per declared reference, how many child rows name a parent that does not exist.
 
-    A NULL reference is no orphan. Every child is read once for all its references. Its rows are counted
-    per referenced key before they are shuffled, so a parent named by a third of all rows costs one row
-    per task. An anti join would be moved below that count whenever the parents are guessed to be small,
-    hence the outer join.
+    A NULL reference is no orphan. Every table is read once, for its references and as a parent: its rows
+    are unfolded into the keys they name and the key they are. Both are counted per key before they are
+    shuffled, so a parent named by a third of all rows costs one row per task, and there is no join.
     """
     links = [(t, fk, declared[parent]) for t in declared.values() for fk, parent in t.references]
-    named = []
+    parts = []
     for t in declared.values():
-        pairs = [f"struct({i} AS link, {fk} AS k)" for i, (child, fk, _) in enumerate(links) if child is t]
-        if pairs:
-            named.append(tables[t.name].selectExpr(f"inline(array({', '.join(pairs)}))"))
-    known = [
-        tables[parent.name].selectExpr(f"{i} AS link", f"{parent.key} AS k", "true AS known")
-        for i, (_, _, parent) in enumerate(links)
-    ]
+        roles = [f"struct({i} AS link, {fk} AS k, 1L AS child)" for i, (child, fk, _) in enumerate(links) if child is t]
+        roles += [f"struct({i} AS link, {t.key} AS k, 0L AS child)" for i, (_, _, parent) in enumerate(links) if parent is t]
+        if roles:
+            parts.append(tables[t.name].selectExpr(f"inline(array({', '.join(roles)}))"))
     counted = (
-        reduce(DataFrame.unionByName, named)
+        reduce(DataFrame.unionByName, parts)
         .where("k IS NOT NULL")
         .groupBy("link", "k")
-        .agg(F.count("*").alias("n"))
-        .join(reduce(DataFrame.unionByName, known), ["link", "k"], "left")
+        .agg(F.sum("child").alias("n"), F.min("child").alias("least"))
     )
-    totals = [f"sum(n) FILTER (WHERE known IS NULL AND link = {i}) AS orphans_{i}" for i in range(len(links))]
+    totals = [f"sum(n) FILTER (WHERE least = 1 AND link = {i}) AS orphans_{i}" for i in range(len(links))]
     rows = [
         f"named_struct('child', '{t.name}', 'fk', '{fk}', 'orphans', coalesce(orphans_{i}, 0L))"
         for i, (t, fk, _) in enumerate(links)

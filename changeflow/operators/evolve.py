@@ -9,19 +9,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Numeric types from narrow to wide.
-WIDENING = ("tinyint", "smallint", "int", "bigint", "float", "double")
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+FLOATS = ("float", "double")
 
 
 def wider(a: T.DataType, b: T.DataType) -> T.DataType:
-    """The type that holds both: the wider number, or a struct with the fields of both."""
+    """The type that holds all values of both: the wider number, or a struct with the fields of both.
+
+    A double holds every integer up to 32 bits, but not every bigint: bigint with float or double is refused.
+    """
     if a == b:
         return a
     if isinstance(a, T.StructType) and isinstance(b, T.StructType):
         return unified_schema(a, b)
     names = [a.simpleString(), b.simpleString()]
-    if not all(n in WIDENING for n in names):
+    for kind in (INTEGERS, FLOATS):
+        if all(n in kind for n in names):
+            return max(a, b, key=lambda t: kind.index(t.simpleString()))
+    if "bigint" in names or not all(n in INTEGERS + FLOATS for n in names):
         raise ValueError(f"no common type for {names[0]} and {names[1]}")
-    return max(a, b, key=lambda t: WIDENING.index(t.simpleString()))
+    return T.DoubleType()
 
 
 def unified_schema(*schemas: T.StructType) -> T.StructType:
@@ -44,6 +51,34 @@ def conform(column: Column, have: T.DataType, want: T.DataType) -> Column:
     return F.when(column.isNotNull(), F.struct(*[c.alias(f.name) for c, f in zip(fields, want)]))
 
 
+def conform_sql(expr: str, have: T.DataType, want: T.DataType) -> str:
+    """:func:`conform` as SQL text, for views."""
+    if have == want:
+        return expr
+    if not isinstance(want, T.StructType):
+        return f"CAST({expr} AS {want.simpleString()})"
+    fields = []
+    for f in want:
+        inner = conform_sql(f"{expr}.`{f.name}`", have[f.name].dataType, f.dataType) if f.name in have.names else None
+        fields.append(f"'{f.name}', {inner or f'CAST(NULL AS {f.dataType.simpleString()})'}")
+    return f"if({expr} IS NULL, NULL, named_struct({', '.join(fields)}))"
+
+
+def union_sql(tables: dict[str, T.StructType]) -> str:
+    """:func:`union_versions` of named tables as SQL text."""
+    schema = unified_schema(*tables.values())
+    parts = []
+    for name, have in tables.items():
+        columns = [
+            conform_sql(f"`{f.name}`", have[f.name].dataType, f.dataType) if f.name in have.names
+            else f"CAST(NULL AS {f.dataType.simpleString()})"
+            for f in schema
+        ]
+        named = [f"{c} AS `{f.name}`" for c, f in zip(columns, schema, strict=True)]
+        parts.append(f"SELECT {', '.join(named)} FROM {name}")
+    return " UNION ALL ".join(parts)
+
+
 def to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows under a unified schema."""
     return df.select(

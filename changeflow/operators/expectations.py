@@ -130,11 +130,15 @@ def verdict(results: DataFrame) -> DataFrame:
 
 
 def unexpected_sample(df: DataFrame, check: Expectation, rows: int = 20) -> DataFrame:
-    """The first unexpected values of a row-wise check, with how often each occurs."""
+    """The first unexpected values of a row-wise check and how often each occurs, beside the totals of all.
+
+    ``all_rows`` and ``all_values`` count every unexpected row and value, also those past the shown ones.
+    """
+    counted = (
+        df.where(check.unexpected()).groupBy(F.col(check.column).alias("value")).agg(F.count("*").alias("n"))
+    )
+    all_rows = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("x")).scalar()
+    all_values = counted.agg(F.count("*").alias("x")).scalar()
     return (
-        df.where(check.unexpected())
-        .groupBy(F.col(check.column).alias("value"))
-        .agg(F.count("*").alias("n"))
-        .orderBy("value")
-        .limit(rows)
+        counted.orderBy("value").limit(rows).select("value", "n", all_rows.alias("all_rows"), all_values.alias("all_values"))
     )

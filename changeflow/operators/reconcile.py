@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def arrivals(expected: DataFrame, arrived: DataFrame, on: list[str]) -> DataFrame:
-    """Expected rows with how many matching rows arrived; arrivals are counted before the join."""
-    counted = arrived.groupBy(*on).agg(F.count("*").alias("arrived"))
+    """Expected rows with how many matching rows arrived; only expected ones are counted, and before the join."""
+    wanted = arrived.join(expected.select(*on).distinct(), on, "left_semi")
+    counted = wanted.groupBy(*on).agg(F.count("*").alias("arrived"))
     return expected.join(counted, on, "left").withColumn("arrived", F.coalesce("arrived", F.lit(0)))
 
 

@@ -14,13 +14,17 @@ from changeflow.functions.quantiles import exact_percentiles
 
 
 def latest_status(metrics: DataFrame, sequence: str) -> DataFrame:
-    """The newest value per job and metric; ``sequence`` is a non-negative bigint that orders rows of equal time.
+    """The newest value per job and metric; ``sequence``, a non-negative bigint or a run's name, orders rows of equal time.
 
-    Time and sequence are packed into one decimal: a fixed-width order lets Spark keep the running
-    best in a hash table, where a struct would make every task sort its rows.
+    Time and a number are packed into one decimal: a fixed-width order lets Spark keep the running best in a
+    hash table, where a struct or a name makes every task sort its rows.
     """
-    order = F.unix_micros("ts").cast("decimal(38,0)") * F.lit(Decimal(10) ** 19) + F.col(sequence)
-    return metrics.groupBy("job", "metric").agg(F.max_by("value", order.cast("decimal(38,0)")).alias("value"))
+    if metrics.schema[sequence].dataType.typeName() == "string":
+        order = F.struct("ts", sequence)
+    else:
+        packed = F.unix_micros("ts").cast("decimal(38,0)") * F.lit(Decimal(10) ** 19) + F.col(sequence)
+        order = packed.cast("decimal(38,0)")
+    return metrics.groupBy("job", "metric").agg(F.max_by("value", order).alias("value"))
 
 
 def duration_series(metrics: DataFrame, metric: str) -> DataFrame:

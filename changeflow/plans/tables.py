@@ -7,6 +7,7 @@ ones, and a model may read its own previous version.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.operators.contracts import enforce_shape
-from changeflow.operators.evolve import to_schema, unified_schema
+from changeflow.operators.evolve import to_schema, unified_schema, union_sql
 
 NAMESPACES = ("bronze", "silver", "gold", "ops")
 
@@ -55,6 +56,44 @@ def versions(spark: SparkSession, model: str) -> list[str]:
     return sorted((f"{schema}.{r.tableName}" for r in found), reverse=True)
 
 
+#: Marks a version that readers may have seen; what lacks it was blocked or never finished.
+PUBLISHED = "changeflow.published"
+
+
+def stage(df: DataFrame, model: str, run: str, contract: str | None = None) -> Published:
+    """Write a model in full under a name of its own, which no other attempt shares, and show it to nobody.
+
+    ``contract`` is checked on the plan before anything is written. ``run`` names must sort by time; attempts
+    of a run are told apart by the time they began.
+    """
+    spark = df.sparkSession
+    if contract is not None:
+        df = enforce_shape(df, contract)
+    version = f"{model}__{run}_{time.time_ns():020d}"
+    written = Observation(version)
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.saveAsTable(version)
+    return Published(model, version, written.get["rows"])
+
+
+def promote(spark: SparkSession, staged: Published, keep: int = 2) -> Published:
+    """Show a staged version to readers and drop what is older than the ``keep`` newest shown ones.
+
+    The version shown until now is always among those kept, and blocked ones do not count.
+    """
+    spark.sql(f"ALTER TABLE {staged.version} SET TBLPROPERTIES ('{PUBLISHED}' = 'true')")
+    spark.sql(f"CREATE OR REPLACE VIEW {staged.name} AS SELECT * FROM {staged.version}")
+    shown = [v for v in versions(spark, staged.name) if v != staged.version and _was_shown(spark, v)]
+    kept = [staged.version, *shown[: keep - 1]]
+    for old in versions(spark, staged.name):
+        if old not in kept and old < min(kept):
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return staged
+
+
+def _was_shown(spark: SparkSession, version: str) -> bool:
+    return not spark.sql(f"SHOW TBLPROPERTIES {version}").where(F.col("key") == PUBLISHED).isEmpty()
+
+
 def publish(
     df: DataFrame,
     model: str,
@@ -63,52 +102,66 @@ def publish(
     audit: Callable[[DataFrame], DataFrame] | None = None,
     keep: int = 2,
 ) -> Published:
-    """Write a model in full, check it, and make it visible.
+    """Stage a model, check it, and make it visible.
 
-    ``contract`` is checked on the plan before anything is written. ``audit`` turns the staged table
-    into a report with a ``success`` column; only its few failing rows come to the driver. A blocked
-    version stays for inspection. ``run`` names must sort by time.
+    ``audit`` turns the staged table into a report with a ``success`` column; only its few failing rows come
+    to the driver. A blocked version stays for inspection.
     """
     spark = df.sparkSession
-    if contract is not None:
-        df = enforce_shape(df, contract)
-    version = f"{model}__{run}"
-    written = Observation(f"{model} {run}")
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(version)
+    staged = stage(df, model, run, contract)
     if audit is not None:
-        failures = audit(spark.table(version)).where(~F.col("success")).collect()
-        if failures:
-            raise PublishBlocked(model, failures)
-    spark.sql(f"CREATE OR REPLACE VIEW {model} AS SELECT * FROM {version}")
-    for old in [v for v in versions(spark, model) if v < version][keep - 1 :]:
-        spark.sql(f"DROP TABLE IF EXISTS {old}")
-    return Published(model, version, written.get["rows"])
+        block(model, audit(spark.table(staged.version)))
+    return promote(spark, staged, keep)
 
 
-def evolve_table(spark: SparkSession, table: str, incoming: T.StructType) -> list[str]:
-    """Add the columns a raw table lacks; returns their names. A retyped column is refused.
+def block(model: str, report: DataFrame) -> None:
+    """Raise if a report has rows without success."""
+    failures = report.where(~F.col("success")).collect()
+    if failures:
+        raise PublishBlocked(model, failures)
 
-    Plain tables cannot change a column's type or add to a struct: that needs a new version written
-    through :func:`changeflow.operators.evolve.union_versions`, or a folder of files read with the
-    unified schema.
+
+def raw_version(spark: SparkSession, name: str, incoming: T.StructType) -> str:
+    """The table that rows of a raw table go to, made if there is none that can hold them.
+
+    A raw table is a view ``name`` over its versions ``name__v000001`` and so on. Rows that lack columns or nested
+    fields of the newest version fit into it. If they have more, or wider numbers, the next version takes the
+    unified schema, the old files stay as they are, and the view reads all versions in it. What has no common
+    type is refused. A plain table of that name becomes the first version.
     """
-    have = spark.table(table).schema
-    unified = unified_schema(have, incoming)
-    widened = [f.name for f in have if unified[f.name].dataType != f.dataType]
-    if widened:
-        raise ValueError(f"{table} cannot widen {', '.join(widened)} in place")
-    added = [f for f in unified if f.name not in have.names]
-    if added:
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-    return [f.name for f in added]
-
-
-def append_raw(df: DataFrame, table: str) -> None:
-    """Append events to a raw table, created on first use and widened by new columns."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__v000000")
+    known = {v: spark.table(v).schema for v in versions(spark, name)}
+    newest = next(iter(known), None)
+    unified = unified_schema(known[newest], incoming) if newest else incoming
+    if newest and unified.simpleString() == known[newest].simpleString():
+        version = newest
+    else:
+        version = f"{name}__v{int(newest.rpartition('__v')[2]) + 1 if newest else 1:06d}"
+        spark.createDataFrame([], unified).write.saveAsTable(version)
+        known[version] = spark.table(version).schema
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {union_sql(dict(sorted(known.items())))}")
+    return version
+
+
+def append_raw(df: DataFrame, name: str) -> None:
+    """Append events to a raw table, created on first use and grown by a version where they need it."""
     spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        df.write.saveAsTable(table)
-        return
-    evolve_table(spark, table, df.schema)
-    to_schema(df, spark.table(table).schema).write.insertInto(table)
+    version = raw_version(spark, name, df.schema)
+    to_schema(df, spark.table(version).schema).write.insertInto(version)
+
+
+def compact_raw(spark: SparkSession, name: str) -> str:
+    """Rewrite a raw table's versions as one with few, large files, and point the view at it.
+
+    Meant for a table that no stream is writing just now. The old versions are dropped when the view has moved,
+    so readers that start before or after see all rows once.
+    """
+    old = versions(spark, name)
+    number = max(int(v.rpartition("__v")[2]) for v in old) + 1
+    version = f"{name}__v{number:06d}"
+    spark.table(name).hint("rebalance").write.saveAsTable(version)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    for v in old:
+        spark.sql(f"DROP TABLE {v}")
+    return version

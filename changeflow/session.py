@@ -30,3 +30,9 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of :func:`shared_dir` that is no longer needed, by the file system it lies on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

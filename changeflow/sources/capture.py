@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
+from changeflow.operators.evolve import to_schema, unified_schema
 from changeflow.sources.envelope import source_struct
 
 
@@ -30,29 +32,36 @@ def snapshot_envelopes(rows: DataFrame, table: str, ts_ms: Column, lsn: Column)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """The inserts, updates and deletes that lead from one snapshot to the next: k, op, before, after.
+    """What leads from one snapshot to the next, per key: k, op, before, after.
 
-    A full outer match by key, written as one aggregate over both snapshots: rows are combined before
-    the shuffle and copies of a row, however many, never pair up with each other.
+    A full outer join by key over the unified schema, so columns that came or went count as changes and
+    images have the columns of both. ``op`` is ``c``, ``u`` or ``d``, or ``?`` where a snapshot holds a key more than
+    once: then the images are one row of each side. Both sides are counted, ordered and joined on one shuffle.
     """
-    fields = [key, *[c for c in old.columns if c != key]]
-    row = f"named_struct({', '.join(f'{c!r}, {c}' for c in fields)}) AS row"
-    both = old.selectExpr(f"{key} AS k", row, "true AS is_old").unionByName(
-        new.selectExpr(f"{key} AS k", row, "false AS is_old")
-    )
-    sides = both.groupBy("k").agg(
-        F.expr("max(row) FILTER (WHERE is_old)").alias("before"),
-        F.expr("max(row) FILTER (WHERE NOT is_old)").alias("after"),
-    )
+    schema = unified_schema(old.schema, new.schema)
+    order = [key, *[f.name for f in schema if f.name != key]]
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        row = to_schema(rows, schema).select(F.col(key).alias("k"), F.struct(*order).alias(name))
+        by_key = W.partitionBy("k")
+        nth = F.row_number().over(by_key.orderBy(F.xxhash64(name)))
+        return row.withColumns({f"n_{name}": F.count("*").over(by_key), "nth": nth}).where("nth = 1").drop("nth")
+
     op = (
-        F.when(F.col("before").isNull(), "c")
+        F.when((F.col("n_before") > 1) | (F.col("n_after") > 1), "?")
+        .when(F.col("before").isNull(), "c")
         .when(F.col("after").isNull(), "d")
         .when(~F.col("before").eqNullSafe(F.col("after")), "u")
     )
-    return sides.withColumn("op", op).where(F.col("op").isNotNull()).select("k", "op", "before", "after")
+    joined = side(old, "before").join(side(new, "after"), "k", "full")
+    return joined.withColumn("op", op).where(F.col("op").isNotNull()).select("k", "op", "before", "after")
 
 
 def apply_changes(old: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """The snapshot after the given changes, at most one per key."""
-    kept = old.join(changes.select(F.col("k").alias(key)), key, "left_anti").select(*old.columns)
-    return kept.unionByName(changes.where("op <> 'd'").select("after.*").select(*old.columns))
+    """The snapshot after the given changes, at most one per key, in the columns the changes know.
+
+    Keys that are in question keep their old rows.
+    """
+    clear = changes.where("op <> '?'")
+    kept = to_schema(old.join(clear.select(F.col("k").alias(key)), key, "left_anti"), changes.schema["after"].dataType)
+    return kept.unionByName(clear.where("op <> 'd'").select("after.*"))

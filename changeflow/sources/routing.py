@@ -18,15 +18,6 @@ def route(events: DataFrame, tables: Iterable[str]) -> dict[str, DataFrame]:
     return {t: events.where(F.col("source.table") == t) for t in tables}
 
 
-def routed_counts(events: DataFrame, tables: Iterable[str]) -> DataFrame:
-    """What each target of :func:`route` receives, in one pass over the events."""
-    return (
-        events.where(F.col("source.table").isin(*tables))
-        .groupBy(F.col("source.table").alias("target"), F.col("source.table").alias("source_table"))
-        .agg(F.count("*").alias("n"))
-    )
-
-
 def misrouted(landed: DataFrame, target: str = "target") -> DataFrame:
     """Events that lie in a target other than the table they came from, counted by the pair."""
     return (

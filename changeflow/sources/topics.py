@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 MESSAGE = "key string, value string"
+POSITIONED = f"{MESSAGE}, topic string, partition int, offset bigint"
 
 
 def topic_name(table: str, prefix: str = "shop", schema: str = "shop") -> str:
@@ -22,12 +23,20 @@ def subscribe_kafka(
         .option("startingOffsets", "earliest")
         .options(**options)
         .load()
-        .selectExpr("cast(key as string) as key", "value" if binary else "cast(value as string) as value")
+        .selectExpr(
+            "cast(key as string) as key",
+            "value" if binary else "cast(value as string) as value",
+            "topic",
+            "partition",
+            "offset",
+        )
     )
 
 
-def subscribe_files(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Messages dropped as parquet files into a folder."""
+def subscribe_files(
+    spark: SparkSession, path: str, files_per_batch: int = 1000, schema: str = MESSAGE
+) -> DataFrame:
+    """Messages dropped as parquet files into a folder, with their position if ``schema`` is ``POSITIONED``."""
     return (
-        spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
     )

@@ -1,15 +1,21 @@
 """Current state kept up to date batch by batch instead of rebuilt.
 
-The target is a parquet folder partitioned by a hash of the key; it also keeps deleted keys, or a late
-older event would bring a row back. No watermark: an event counts however late it comes.
+A state is a folder with a base and the winners of each batch since, its deltas. Which of them belong
+together is said by the newest file under ``pointers``; files are never changed, so a reader sees one version
+whatever is being written. A batch costs what it holds; now and then the whole is folded into a new base.
+Deleted keys stay in it, or a late older event would bring a row back. No watermark: an event counts however
+late it comes.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,22 +23,21 @@ from changeflow.operators.current_state import flat_events, newest_per_key
 from changeflow.plans.shop import ShopTable
 from changeflow.plans.silver import with_times
 
+#: Deltas after which they are folded into a new base.
+FOLD_EVERY = 50
+
+EMPTY = {"base": None, "deltas": []}
+
 
 def state_schema(table: ShopTable) -> T.StructType:
     image = T.StructType.fromDDL(table.image)
     order = [table.key, *table.columns]
-    return T.StructType(
-        [image[c] for c in order]
-        + T.StructType.fromDDL("op string, ts_ms bigint, lsn bigint, bucket int").fields
-    )
+    return T.StructType([image[c] for c in order] + T.StructType.fromDDL("op string, ts_ms bigint, lsn bigint").fields)
 
 
 def read_all(spark: SparkSession, table: ShopTable, path: str) -> DataFrame:
     """Newest event of every key, deleted ones included; empty if nothing was written yet."""
-    schema = state_schema(table)
-    if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return _read(spark, table, path, _current(spark, path)[1])
 
 
 def read_current(spark: SparkSession, table: ShopTable, path: str) -> DataFrame:
@@ -40,63 +45,69 @@ def read_current(spark: SparkSession, table: ShopTable, path: str) -> DataFrame:
     return with_times(rows, table)
 
 
-def merge_batch(table: ShopTable, path: str, aside: str, buckets: int) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that folds a micro-batch of envelopes into the target.
+def _read(spark: SparkSession, table: ShopTable, path: str, version: dict) -> DataFrame:
+    schema = state_schema(table)
+    folders = [f for f in [version["base"], *(d["folder"] for d in version["deltas"])] if f]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    parts = [spark.read.schema(schema).parquet(f"{path}/{f}") for f in folders]
+    if len(parts) == 1:
+        return parts[0]
+    return newest_per_key(reduce(DataFrame.unionByName, parts), table.key, table.columns)
+
+
+def merge_batch(table: ShopTable, path: str, stream: str, fold_every: int = FOLD_EVERY) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that adds the winners of a micro-batch of envelopes to the state at ``path``.
 
-    The batch is ranked together with the stored rows of the touched buckets, and the winners are written
-    to ``aside`` before those buckets are replaced. A batch that is run again after a crash finds its
-    finished copy there and only repeats the replacement, so nothing is lost halfway. Merging the same
-    events twice changes nothing.
+    A batch that is run again takes the place of its first attempt; ``stream`` tells the batches of one stream
+    from those of another. Merging the same events twice changes nothing. Only one stream may write a state at
+    a time: a second one meets the first at a pointer that exists already, and stops.
     """
-    columns = [table.key, *table.columns, "op", "ts_ms", "lsn"]
-    schema = state_schema(table)
-    bucket = F.expr(f"cast(pmod(xxhash64({table.key}), {buckets}) AS int)")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        copy = f"{aside}/batch={batch_id}"
-        if not _exists(spark, f"{copy}/_SUCCESS"):
-            fresh = flat_events(batch, table.key, table.columns)
-            # no more rows than buckets; the batch's keys are read once more for it
-            touched = [r.bucket for r in fresh.select(bucket.alias("bucket")).distinct().collect()]
-            kept = read_all(spark, table, path).where(F.col("bucket").isin(touched))
-            merged = newest_per_key(fresh.unionByName(kept.select(*columns)), table.key, table.columns)
-            (
-                merged.withColumn("bucket", bucket)
-                .hint("rebalance", "bucket")
-                .write.mode("overwrite")
-                .partitionBy("bucket")
-                .parquet(copy)
-            )
-        (
-            spark.read.schema(schema)
-            .parquet(copy)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket")
-            .parquet(path)
-        )
-        _delete(spark, f"{aside}/batch={batch_id - 1}")
+        number, version = _current(spark, path)
+        folder = f"delta-{uuid.uuid4().hex}"
+        winners = newest_per_key(flat_events(batch, table.key, table.columns), table.key, table.columns)
+        winners.write.parquet(f"{path}/{folder}")
+        kept = [d for d in version["deltas"] if (d["stream"], d["batch"]) != (stream, batch_id)]
+        version = {"base": version["base"], "deltas": [*kept, {"stream": stream, "batch": batch_id, "folder": folder}]}
+        _point(spark, path, number + 1, version)
+        if len(version["deltas"]) >= fold_every:
+            fold(spark, table, path)
 
     return merge
 
 
+def fold(spark: SparkSession, table: ShopTable, path: str) -> None:
+    """Write base and deltas as one new base. Files that neither this nor the version before names are dropped."""
+    number, version = _current(spark, path)
+    if not version["deltas"]:
+        return
+    folder = f"base-{uuid.uuid4().hex}"
+    _read(spark, table, path, version).write.parquet(f"{path}/{folder}")
+    _point(spark, path, number + 1, {"base": folder, "deltas": []})
+    named = {folder, version["base"], *(d["folder"] for d in version["deltas"])}
+    root, fs = _file_system(spark, path)
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(("base-", "delta-")) and name not in named:
+            fs.delete(status.getPath(), True)
+
+
 def maintain(
     envelopes: DataFrame,
     table: ShopTable,
     path: str,
     checkpoint: str,
-    buckets: int = 64,
     available_now: bool = False,
     interval: str = "10 seconds",
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
-    """Keep the current state of one table from a stream of its envelopes.
-
-    Choose ``buckets`` so that one holds a few GB: a batch rewrites the buckets it touches. Finished
-    copies lie inside the checkpoint, so they share its fate when a stream is reset.
-    """
-    fold = merge_batch(table, path, f"{checkpoint.rstrip('/')}/aside", buckets)
-    writer = envelopes.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+    """Keep the current state of one table from a stream of its envelopes."""
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
+    writer = envelopes.writeStream.foreachBatch(merge_batch(table, path, stream, fold_every))
+    writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
 
@@ -107,11 +118,31 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path, fs = _file_system(spark, path)
-    return fs.exists(hadoop_path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    hadoop_path, fs = _file_system(spark, path)
-    fs.delete(hadoop_path, True)
+def _current(spark: SparkSession, path: str) -> tuple[int, dict]:
+    """Number and content of the newest pointer."""
+    folder, fs = _file_system(spark, f"{path}/pointers")
+    if not fs.exists(folder):
+        return 0, EMPTY
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    numbers = [int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith(".")]
+    if not numbers:
+        return 0, EMPTY
+    newest, _ = _file_system(spark, f"{path}/pointers/{max(numbers):012d}.json")
+    stream = fs.open(newest)
+    try:
+        return max(numbers), json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _point(spark: SparkSession, path: str, number: int, version: dict) -> None:
+    """Written aside and renamed, so a pointer is whole or not there."""
+    aside, fs = _file_system(spark, f"{path}/pointers/.{uuid.uuid4().hex}")
+    final, _ = _file_system(spark, f"{path}/pointers/{number:012d}.json")
+    stream = fs.create(aside)
+    try:
+        stream.write(bytearray(json.dumps(version).encode()))
+    finally:
+        stream.close()
+    if fs.exists(final) or not fs.rename(aside, final):
+        raise RuntimeError(f"{path}: another writer made version {number}")

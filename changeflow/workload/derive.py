@@ -5,23 +5,14 @@ Each log is one narrow pass over its table: a row is exploded into its events, n
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from changeflow.plans.shop import TABLES
 
 
-@lru_cache(maxsize=256)
-def _schema(spark: SparkSession, path: str) -> T.StructType:
-    return spark.read.parquet(path).schema
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; its footers are only read for the schema once per session."""
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def iso(ms: str) -> str:
@@ -112,7 +103,7 @@ def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table as a stream of its files; the pattern fits a file as well as a folder."""
-    schema = _schema(spark, f"{sf_dir}/{name}.parquet")
+    schema = table(spark, sf_dir, name).schema
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 

@@ -11,12 +11,55 @@ from changeflow.operators import audit, contracts
 from changeflow.operators import expectations as ex
 from changeflow.plans.checks import GOLD_CHECKS
 from changeflow.plans.gold import GOLD_ORDER_SUMMARY
-from changeflow.plans.shop import ORDER_STATUSES, ORDERS, PRODUCTS, TABLES
+from changeflow.plans.shop import ORDER_STATUSES, ORDERS, PRODUCTS, TABLES, ShopTable
 from changeflow.workload import sql
 from changeflow.workload.derive import base_rows
 from changeflow.workload.registry import query
 from changeflow.workload.state import gold_of, silver_of
 
+# Faults by key, as expressions that both engines read; every rule meets some.
+GOLD_FAULTS = {
+    "order_id": "CASE WHEN order_id % 101 = 0 THEN NULL ELSE order_id END",
+    "customer_id": "CASE WHEN order_id % 107 = 0 THEN NULL ELSE customer_id END",
+    "status": "CASE WHEN order_id % 89 = 0 THEN concat('lost-', CAST(order_id % 31 AS VARCHAR(9))) ELSE status END",
+    "total_amount_cents": "CASE WHEN order_id % 109 = 0 THEN -1 ELSE total_amount_cents END",
+    "item_count": "CASE WHEN order_id % 113 = 0 THEN -1 ELSE item_count END",
+}
+
+
+def table_faults(t: ShopTable) -> dict[str, str]:
+    """Nulls, texts that are too long, numbers that are too small, values that are not unique, keys that are gone."""
+    whens: dict[str, list[str]] = {}
+    for i, c in enumerate(t.not_null):
+        whens.setdefault(c, []).append(f"WHEN {t.key} % {41 + 2 * i} = 0 THEN NULL")
+    for c, n in t.max_length:
+        whens.setdefault(c, []).append(f"WHEN {t.key} % 27 = 0 THEN repeat('x', {n + 1})")
+    for c, n in t.at_least:
+        whens.setdefault(c, []).append(f"WHEN {t.key} % 29 = 0 THEN {n - 1}")
+    for c in t.unique:
+        if c != t.key:
+            whens.setdefault(c, []).append(f"WHEN {t.key} % 37 = 0 THEN 'same'")
+    return {c: f"CASE {' '.join(w)} ELSE {c} END" for c, w in whens.items()}
+
+
+def broken(rows: DataFrame, key: str, faults: dict[str, str]) -> DataFrame:
+    """The same as :func:`changeflow.workload.sql.broken`."""
+    twice = rows.unionByName(rows.where(f"{key} % 103 = 0"))
+    return twice.selectExpr(*[f"{faults[c]} AS {c}" if c in faults else c for c in rows.columns])
+
+
+BROKEN_GOLD = sql.broken(sql.gold(), "order_id", GOLD_FAULTS)
+BROKEN_SILVER = {n: sql.broken(sql.silver(n), t.key, table_faults(t)) for n, t in TABLES.items()}
+
+
+def broken_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return broken(gold_of(spark, sf_dir), "order_id", GOLD_FAULTS)
+
+
+def broken_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {t.name: broken(silver_of(spark, sf_dir, t), t.key, table_faults(t)) for t in TABLES.values()}
+
+
 ALLOWED_SQL = ", ".join(f"'{s}'" for s in ORDER_STATUSES)
 
 
@@ -54,11 +97,11 @@ CHECK_SQL = {
 
 def _report_sql(*names: str) -> str:
     picked = [v for (name, _), v in CHECK_SQL.items() if not names or name in names]
-    return f"WITH g AS MATERIALIZED ({sql.gold()}) " + sql.union_all(picked)
+    return f"WITH g AS MATERIALIZED ({BROKEN_GOLD}) " + sql.union_all(picked)
 
 
 def _report(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    return ex.report(gold_of(spark, sf_dir), [c for c in GOLD_CHECKS if not names or c.name in names])
+    return ex.report(broken_gold(spark, sf_dir), [c for c in GOLD_CHECKS if not names or c.name in names])
 
 
 @query(_report_sql("not_null"))
@@ -94,15 +137,16 @@ def checkpoint_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"SELECT status AS value, count(*) AS n FROM ({sql.gold()}) WHERE status NOT IN ({ALLOWED_SQL}) "
-    "GROUP BY status ORDER BY status LIMIT 20"
+    f"""WITH bad AS (SELECT status AS value, count(*) AS n FROM ({BROKEN_GOLD}) WHERE status NOT IN ({ALLOWED_SQL}) GROUP BY status)
+        SELECT value, n, (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM bad) AS all_rows, (SELECT count(*) FROM bad) AS all_values
+        FROM bad ORDER BY value LIMIT 20"""
 )
 def unexpected_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ex.unexpected_sample(gold_of(spark, sf_dir), ex.in_set("status", ORDER_STATUSES))
+    return ex.unexpected_sample(broken_gold(spark, sf_dir), ex.in_set("status", ORDER_STATUSES))
 
 
 def _column_tests_sql() -> str:
-    models = {f"silver_{n}": sql.silver(n) for n in TABLES} | {"gold_order_summary": sql.gold()}
+    models = {f"silver_{n}": q for n, q in BROKEN_SILVER.items()} | {"gold_order_summary": BROKEN_GOLD}
     ctes = ", ".join(f"{m} AS MATERIALIZED ({q})" for m, q in models.items())
     parts = []
     for model, tests in audit.COLUMN_TESTS.items():
@@ -122,9 +166,8 @@ def _column_tests_sql() -> str:
 
 @query(_column_tests_sql())
 def column_tests_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = {t.name: silver_of(spark, sf_dir, t) for t in TABLES.values()}
-    mart = gold_of(spark, sf_dir, models)
-    return audit.column_tests({f"silver_{n}": df for n, df in models.items()} | {"gold_order_summary": mart})
+    models = {f"silver_{n}": df for n, df in broken_silver(spark, sf_dir).items()}
+    return audit.column_tests(models | {"gold_order_summary": broken_gold(spark, sf_dir)})
 
 
 @query(
@@ -162,13 +205,13 @@ def _constraints_sql() -> str:
             else f"SELECT '{t.name}' AS \"table\", '{r}' AS rule, {e} AS violations FROM {t.name}_s"
             for r, e in rules
         ]
-    ctes = ", ".join(f"{n}_s AS MATERIALIZED ({sql.silver(n)})" for n in TABLES)
+    ctes = ", ".join(f"{n}_s AS MATERIALIZED ({q})" for n, q in BROKEN_SILVER.items())
     return f"WITH {ctes} " + sql.union_all(parts)
 
 
 @query(_constraints_sql())
 def source_constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.source_constraints({t.name: silver_of(spark, sf_dir, t) for t in TABLES.values()})
+    return audit.source_constraints(broken_silver(spark, sf_dir))
 
 
 # The mart's declaration with one column wrong on purpose.

@@ -21,7 +21,7 @@ from changeflow.sources.decode import encode_envelopes
 from changeflow.sources.envelope import event_key, op_counts, preview
 from changeflow.sources.envelope import key_recovery as recover_keys
 from changeflow.workload import sql
-from changeflow.workload.derive import base_rows, bronze, table
+from changeflow.workload.derive import base_rows, bronze, order_item_events, table
 from changeflow.workload.registry import query
 
 
@@ -53,18 +53,26 @@ def bronze_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(bronze(spark, sf_dir, "orders"), "order_id")
 
 
-@query(f"SELECT k, 'r' AS op, email, full_name, country, signup_at FROM ({sql.BASE['customers']})")
-def snapshot_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = base_rows(spark, sf_dir, "customers")
-    events = snapshot_events(rows, "customers", F.col("base_ms"), F.col("customer_id") * 10)
-    return events.select(
-        event_key("customer_id").alias("k"),
-        "op",
-        "after.email",
-        "after.full_name",
-        "after.country",
-        F.unix_millis(parse_iso8601(F.col("after.signup_at"))).alias("signup_at"),
+@query(
+    sql.union_all(
+        [f"SELECT '{n}' AS \"table\", k, 'r' AS op, base_ms AS ts_ms FROM ({q})" for n, q in sql.BASE.items()]
+        + [
+            "SELECT 'order_items' AS \"table\", l_orderkey * 10 + l_linenumber AS k, 'r' AS op, epoch_ms(l_shipdate) AS ts_ms "
+            "FROM lineitem"
+        ]
     )
+)
+def snapshot_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots of all four captured tables; the versions of an item stand for as many rows."""
+    items = order_item_events(table(spark, sf_dir, "lineitem")).select("before.*", F.col("ts_ms").alias("base_ms"))
+    frames = {n: base_rows(spark, sf_dir, n) for n in sql.BASE} | {"order_items": items}
+
+    def events(name: str, rows: DataFrame) -> DataFrame:
+        key = TABLES[name].key
+        made = snapshot_events(rows, name, F.col("base_ms"), F.col(key) * 10)
+        return made.select(F.col("source.table").alias("table"), event_key(key).alias("k"), "op", "ts_ms")
+
+    return _union([events(n, rows) for n, rows in frames.items()])
 
 
 @query(f"SELECT k, op, ts_ms, status FROM ({sql.events('orders')})")
@@ -116,7 +124,8 @@ def capture_include_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     "WHERE source_table <> 'payments' GROUP BY ALL"
 )
 def route_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return routing.routed_counts(_landed(spark, sf_dir), TABLES)
+    targets = routing.route(_landed(spark, sf_dir), TABLES)
+    return _union([_by_pair(events, F.lit(target)) for target, events in targets.items()])
 
 
 @query(
@@ -213,25 +222,33 @@ def iso8601_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH base AS (SELECT DISTINCT k, status FROM ({sql.BASE['orders']})),
-             old AS (SELECT k, status FROM base WHERE k % 7 <> 0),
-             new AS (SELECT k, CASE WHEN k % 3 = 0 THEN 'cancelled' WHEN k % 17 = 0 THEN NULL ELSE status END AS status
+    f"""WITH base AS (SELECT k, min(customer_id) AS customer_id, min(status) AS status, count(*) AS n
+                      FROM ({sql.BASE['orders']}) GROUP BY k),
+             old AS (SELECT k, customer_id, status, n FROM base WHERE k % 7 <> 0),
+             new AS (SELECT k, CASE WHEN k % 23 = 0 THEN customer_id + 1 ELSE customer_id END AS customer_id,
+                            CASE WHEN k % 3 = 0 THEN 'cancelled' WHEN k % 17 = 0 THEN NULL ELSE status END AS status,
+                            CASE WHEN k % 5 = 0 THEN 'web' END AS channel, n
                      FROM base WHERE k % 11 <> 0)
-        SELECT k, op, old_status, new_status FROM (
+        SELECT k, op, old_status, new_status, channel FROM (
           SELECT coalesce(o.k, n.k) AS k,
-                 CASE WHEN o.k IS NULL THEN 'c' WHEN n.k IS NULL THEN 'd'
-                      WHEN o.status IS DISTINCT FROM n.status THEN 'u' END AS op,
-                 o.status AS old_status, n.status AS new_status
+                 CASE WHEN o.n > 1 OR n.n > 1 THEN '?' WHEN o.k IS NULL THEN 'c' WHEN n.k IS NULL THEN 'd'
+                      WHEN o.status IS DISTINCT FROM n.status OR o.customer_id IS DISTINCT FROM n.customer_id
+                           OR n.channel IS NOT NULL THEN 'u' END AS op,
+                 o.status AS old_status, n.status AS new_status, n.channel AS channel
           FROM old o FULL JOIN new n ON o.k = n.k)
         WHERE op IS NOT NULL"""
 )
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the orders, and one that only the new snapshot has."""
     k = F.col("order_id")
-    rows = base_rows(spark, sf_dir, "orders").select("order_id", "customer_id", "status")
+    rows = base_rows(spark, sf_dir, "orders").drop("base_ms")
     status = F.when(k % 3 == 0, "cancelled").when(k % 17 == 0, F.lit(None)).otherwise(F.col("status"))
-    changes = diff(rows.where(k % 7 != 0), rows.where(k % 11 != 0).withColumn("status", status), "order_id")
-    return changes.select(
-        "k", "op", F.col("before.status").alias("old_status"), F.col("after.status").alias("new_status")
+    customer = F.when(k % 23 == 0, F.col("customer_id") + 1).otherwise(F.col("customer_id"))
+    new = rows.where(k % 11 != 0).withColumns(
+        {"status": status, "customer_id": customer, "channel": F.when(k % 5 == 0, "web")}
+    )
+    return diff(rows.where(k % 7 != 0), new, "order_id").select(
+        "k", "op", F.col("before.status").alias("old_status"), F.col("after.status").alias("new_status"), "after.channel"
     )
 
 

@@ -98,14 +98,24 @@ def silver(name: str) -> str:
 
 
 def gold() -> str:
+    """Order totals first, then each order looks up its totals and its customer."""
     return f"""
-        SELECT o.order_id, o.customer_id, c.full_name AS customer_name, c.email AS customer_email,
-               o.status, o.placed_at, count(oi.order_item_id) AS item_count,
-               CAST(coalesce(sum(CAST(oi.quantity AS BIGINT) * oi.unit_price_cents), 0) AS BIGINT) AS total_amount_cents
-        FROM ({silver('orders')}) o
-        LEFT JOIN ({silver('customers')}) c ON o.customer_id = c.customer_id
-        LEFT JOIN ({silver('order_items')}) oi ON o.order_id = oi.order_id
-        GROUP BY o.order_id, o.customer_id, c.full_name, c.email, o.status, o.placed_at"""
+        WITH sums AS (
+          SELECT order_id, count(order_item_id) AS items, sum(CAST(quantity AS BIGINT) * unit_price_cents) AS cents
+          FROM ({silver('order_items')}) GROUP BY order_id),
+        people AS (SELECT customer_id, full_name, email FROM ({silver('customers')}))
+        SELECT head.order_id, head.customer_id, people.full_name AS customer_name, people.email AS customer_email,
+               head.status, head.placed_at, coalesce(sums.items, 0) AS item_count,
+               CAST(coalesce(sums.cents, 0) AS BIGINT) AS total_amount_cents
+        FROM ({silver('orders')}) AS head
+        LEFT JOIN sums ON sums.order_id = head.order_id
+        LEFT JOIN people ON people.customer_id = head.customer_id"""
+
+
+def broken(rows: str, key: str, faults: dict[str, str]) -> str:
+    """Rows with faults put in: those of every 103rd key twice, and columns replaced by their ``faults``."""
+    twice = f"(SELECT * FROM ({rows}) UNION ALL SELECT * FROM ({rows}) WHERE {key} % 103 = 0)"
+    return f"SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in faults.items())}) FROM {twice}"
 
 
 def union_all(parts: list[str]) -> str:

@@ -180,6 +180,29 @@ def test_snapshot_diff_leads_from_old_to_new(spark, sf_dir):
     assert snapshot_diff(new, new, "order_id").isEmpty()
 
 
+def test_snapshot_diff_sees_columns_and_repeated_keys(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n")], "id bigint, x string")
+    new = spark.createDataFrame([(1, "a", 1), (2, "b", None), (3, "c", 1), (3, "c", 2)], "id bigint, x string, y int")
+    changes = {r.k: (r.op, r.before, r.after) for r in snapshot_diff(old, new, "id").collect()}
+    assert {k: v[0] for k, v in changes.items()} == {1: "u", 3: "?", None: "d"}
+    assert changes[1][1:] == ((1, "a", None), (1, "a", 1))
+    back = {r.k: r.op for r in snapshot_diff(new.where("id < 3"), old, "id").collect()}
+    assert back == {1: "u", 3: "c", None: "c"}
+    plan = snapshot_diff(old, new, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_no_number_changes_when_types_unify(spark):
+    from changeflow.operators.evolve import wider
+    from pyspark.sql import types as T
+
+    assert wider(T.IntegerType(), T.FloatType()) == T.DoubleType()
+    assert wider(T.IntegerType(), T.LongType()) == T.LongType()
+    for other in (T.FloatType(), T.DoubleType(), T.StringType()):
+        with pytest.raises(ValueError, match="no common type"):
+            wider(T.LongType(), other)
+
+
 def test_empty_log(spark):
     assert silver.silver_order_items(log(spark, "order_items", [])).isEmpty()
     assert silver.silver_by_max(log(spark, "order_items", []), ORDER_ITEMS).isEmpty()

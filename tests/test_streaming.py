@@ -10,7 +10,7 @@ from changeflow.plans import silver
 from changeflow.plans.shop import CUSTOMERS, ORDERS, ShopTable
 from changeflow.sources.decode import encode_envelopes
 from changeflow.sources.envelope import envelope_schema
-from changeflow.sources.topics import subscribe_files, topic_name
+from changeflow.sources.topics import MESSAGE, POSITIONED, subscribe_files, topic_name
 from changeflow.streaming import state
 from changeflow.streaming.bronze import land, land_or_quarantine
 from changeflow.workload.derive import bronze
@@ -29,8 +29,8 @@ def send(events, key, topic):
     encode_envelopes(events, key).coalesce(1).write.mode("append").parquet(topic)
 
 
-def drain(spark, table, topic, target, checkpoint, **options):
-    query = land(subscribe_files(spark, topic, 1), table, target, checkpoint, available_now=True, **options)
+def drain(spark, table, topic, target, checkpoint, schema=MESSAGE):
+    query = land(subscribe_files(spark, topic, 1, schema), table, target, checkpoint, available_now=True)
     query.awaitTermination()
     return sum(p.numInputRows for p in query.recentProgress)
 
@@ -64,7 +64,6 @@ def test_poison_stops_the_stream(spark, namespace, tmp_path):
     spark.createDataFrame([("9", '{"op":')], "key string, value string").write.mode("append").parquet(topic)
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         drain(spark, ORDERS, topic, "bronze.orders", str(tmp_path / "checkpoint"))
-    assert drain(spark, ORDERS, topic, "bronze.lenient", str(tmp_path / "lenient"), fail_fast=False) == 4
 
 
 def test_outage_loses_no_marker(spark, namespace, tmp_path):
@@ -96,19 +95,20 @@ def write_in_parts(events, path, parts):
         share.coalesce(1).write.mode("append").parquet(path)
 
 
-def follow(spark, events, path, target, checkpoint, buckets=4):
+def follow(spark, events, path, target, checkpoint, fold_every=50):
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    query = state.maintain(stream, ORDERS, target, checkpoint, buckets, available_now=True)
+    query = state.maintain(stream, ORDERS, target, checkpoint, available_now=True, fold_every=fold_every)
     query.awaitTermination()
     return len([p for p in query.recentProgress if p.numInputRows])
 
 
-def test_stream_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("fold_every", [2, 50])
+def test_stream_equals_batch(spark, tmp_path, fold_every):
     """Events in arbitrary batches, so that many come late, give what a full rebuild gives."""
     events = bronze(spark, "/root/testdata/sf0.001", "orders")
     src, target, checkpoint = str(tmp_path / "src"), str(tmp_path / "t"), str(tmp_path / "c")
     write_in_parts(events, src, 3)
-    assert follow(spark, events, src, target, checkpoint) == 3
+    assert follow(spark, events, src, target, checkpoint, fold_every) == 3
     same_rows(state.read_current(spark, ORDERS, target), silver.silver_orders(events))
     assert follow(spark, events, src, target, checkpoint) == 0
 
@@ -118,8 +118,8 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_late_event_does_not_revive_a_deleted_key(spark, tmp_path):
-    target, aside = str(tmp_path / "t"), str(tmp_path / "aside")
-    merge = state.merge_batch(ORDERS, target, aside, 4)
+    target = str(tmp_path / "t")
+    merge = state.merge_batch(ORDERS, target, "s")
     row = (2, 2, "shipped", NOON, NOON)
     merge(seed(spark, "orders"), 0)
     merge(log(spark, "orders", [event("orders", "d", row, None, T0 + 50, 50)]), 1)
@@ -128,18 +128,50 @@ def test_late_event_does_not_revive_a_deleted_key(spark, tmp_path):
     assert {r.order_id for r in state.read_all(spark, ORDERS, target).collect()} == {1, 2, 3}
 
 
-def test_batch_run_again_after_crash(spark, tmp_path, monkeypatch):
-    """A crash after a bucket was emptied: the finished copy restores it."""
-    target, aside = str(tmp_path / "t"), str(tmp_path / "aside")
-    merge = state.merge_batch(ORDERS, target, aside, 1)
+DELIVERED = event("orders", "u", None, (2, 2, "delivered", NOON, NOON), T0 + 5, 90)
+
+
+def test_batch_run_again_replaces_its_first_attempt(spark, tmp_path):
+    target = str(tmp_path / "t")
+    merge = state.merge_batch(ORDERS, target, "s")
     merge(seed(spark, "orders"), 0)
-    update = log(spark, "orders", [event("orders", "u", None, (2, 2, "delivered", NOON, NOON), T0 + 5, 90)])
-    merge(update, 1)
-    for f in (tmp_path / "t" / "bucket=0").iterdir():
-        f.unlink()
-    merge(update, 1)
+    for _ in range(2):
+        merge(log(spark, "orders", [DELIVERED]), 1)
     got = {r.order_id: r.status for r in state.read_current(spark, ORDERS, target).collect()}
     assert got == {1: "placed", 2: "delivered", 3: "placed"}
+    assert len(state._current(spark, target)[1]["deltas"]) == 2
+    # the first batch of another stream is another batch
+    state.merge_batch(ORDERS, target, "other")(log(spark, "orders", [DELIVERED]), 0)
+    assert state.read_current(spark, ORDERS, target).count() == 3
+
+
+def test_reader_sees_one_version_through_a_fold(spark, tmp_path):
+    target = str(tmp_path / "t")
+    merge = state.merge_batch(ORDERS, target, "s")
+    merge(seed(spark, "orders"), 0)
+    before = state.read_current(spark, ORDERS, target)
+    merge(log(spark, "orders", [DELIVERED]), 1)
+    state.fold(spark, ORDERS, target)
+    assert {r.status for r in before.collect()} == {"placed", "shipped"}
+    assert state.read_all(spark, ORDERS, target).count() == 3
+    assert len(list((tmp_path / "t").glob("base-*"))) == 1
+
+
+def test_a_batch_costs_what_it_holds(spark, tmp_path):
+    target = str(tmp_path / "t")
+    merge = state.merge_batch(ORDERS, target, "s")
+    merge(bronze(spark, "/root/testdata/sf0.01", "orders"), 0)
+    size = lambda: sum(f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet"))
+    first = size()
+    merge(log(spark, "orders", [DELIVERED]), 1)
+    assert size() - first < first / 20
+
+
+def test_two_writers_do_not_mix(spark, tmp_path):
+    target = str(tmp_path / "t")
+    state.merge_batch(ORDERS, target, "s")(seed(spark, "orders"), 0)
+    with pytest.raises(RuntimeError, match="another writer"):
+        state._point(spark, target, 1, state.EMPTY)
 
 
 def test_row_image_grows_and_widens(spark, tmp_path):
@@ -164,6 +196,37 @@ def test_row_image_grows_and_widens(spark, tmp_path):
     assert sorted(map(tuple, silver.silver(union, v2).collect())) == [(1, 10, None), (2, 2**40, "x")]
 
 
+def test_landed_table_follows_the_row_image(spark, namespace, tmp_path):
+    """Old, new and old images again into one table and on one checkpoint: no field is lost, nothing comes twice."""
+    topic, checkpoint = str(tmp_path / "topic"), str(tmp_path / "checkpoint")
+    v1 = ShopTable("products", "product_id", "product_id bigint, price_cents int", ("price_cents",))
+    v2 = ShopTable("products", "product_id", "product_id bigint, price_cents bigint, sku string", ("price_cents", "sku"))
+
+    def change(table, row, step):
+        return spark.createDataFrame([event("products", "c", None, row, T0 + step, step)], envelope_schema(table.image))
+
+    for table, row, step in ((v1, (1, 10), 1), (v2, (2, 2**40, "x"), 2), (v1, (3, 30), 3)):
+        send(change(table, row, step), "product_id", topic)
+        assert drain(spark, table, topic, "bronze.products", checkpoint) == 1
+    raw = spark.table("bronze.products")
+    assert sorted(map(tuple, silver.silver(raw, v2).collect())) == [(1, 10, None), (2, 2**40, "x"), (3, 30, None)]
+    assert {r.message_key for r in raw.collect()} == {"1", "2", "3"}
+    # a field that the reader's image lacks is kept by name
+    send(change(v2, (4, 40, "y"), 4), "product_id", topic)
+    drain(spark, v1, topic, "bronze.products", checkpoint)
+    rest = {r.after.product_id: r.rest for r in spark.table("bronze.products").collect()}
+    assert rest == {1: None, 2: None, 3: None, 4: {"sku": "y"}}
+
+
+def test_positions_are_landed(spark, namespace, tmp_path):
+    topic = str(tmp_path / "topic")
+    messages = encode_envelopes(seed(spark, "orders"), "order_id").coalesce(1)
+    messages.selectExpr("*", "'t' AS topic", "0 AS partition", "monotonically_increasing_id() AS offset").write.parquet(topic)
+    drain(spark, ORDERS, topic, "bronze.orders", str(tmp_path / "checkpoint"), POSITIONED)
+    got = spark.table("bronze.orders").select("topic", "partition", "offset").collect()
+    assert sorted(map(tuple, got)) == [("t", 0, 0), ("t", 0, 1), ("t", 0, 2)]
+
+
 def test_latency_of_landed_events(spark, namespace, tmp_path):
     topic = str(tmp_path / "topic")
     send(seed(spark, "orders"), "order_id", topic)

@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeflow.__main__ import main
-from changeflow.operators.evolve import union_versions
 from changeflow.plans import jobs, tables
 from changeflow.plans.shop import TABLES
 from shopdata import NOON, T0, event, seed
@@ -56,7 +55,9 @@ def test_build_and_breaking_change(shop):
         jobs.build(shop, "002")
     assert [(r.column, r.unexpected) for r in blocked.value.results] == [("status", 1)]
     assert shop.table("gold.gold_order_summary").where("status = 'shpped'").isEmpty()
-    assert shop.table("gold.gold_order_summary__002").where("status = 'shpped'").count() == 1
+    blocked = tables.versions(shop, "gold.gold_order_summary")[0]
+    assert blocked.startswith("gold.gold_order_summary__002_")
+    assert shop.table(blocked).where("status = 'shpped'").count() == 1
     assert jobs.check_mart(shop, "002")
 
     write_bronze(shop)
@@ -78,7 +79,7 @@ def test_publish_swaps_and_prunes(shop):
     for run in ("001", "002", "003"):
         tables.publish(shop.range(int(run)), "gold.m", run)
         assert shop.table("gold.m").count() == int(run)
-    assert tables.versions(shop, "gold.m") == ["gold.m__003", "gold.m__002"]
+    assert [v[:11] for v in tables.versions(shop, "gold.m")] == ["gold.m__003", "gold.m__002"]
     grown = shop.table("gold.m").union(shop.range(10, 12))
     tables.publish(grown, "gold.m", "004")
     assert shop.table("gold.m").count() == 5
@@ -93,10 +94,65 @@ def test_raw_append_creates_and_evolves(shop):
     got = sorted(map(tuple, shop.table("bronze.raw").collect()))
     assert got == [(1, 10, None)] * 3 + [(2, 20, "x")]
     wide = shop.createDataFrame([(3, 2**40)], "id bigint, price bigint")
-    with pytest.raises(ValueError, match="widen price"):
-        tables.append_raw(wide, "bronze.raw")
-    tables.publish(union_versions(shop.table("bronze.raw"), wide), "bronze.raw_all", "001")
-    assert shop.table("bronze.raw_all").where("price = 1099511627776").count() == 1
+    tables.append_raw(wide, "bronze.raw")
+    tables.append_raw(v1, "bronze.raw")
+    assert len(tables.versions(shop, "bronze.raw")) == 3
+    assert sorted(r.price for r in shop.table("bronze.raw").collect()) == [10, 10, 10, 10, 20, 2**40]
+    with pytest.raises(ValueError, match="no common type"):
+        tables.append_raw(shop.createDataFrame([(3, 0.5)], "id bigint, price double"), "bronze.raw")
+
+
+def test_plain_table_becomes_the_first_version(shop):
+    shop.createDataFrame([(1, 10)], "id bigint, price int").write.saveAsTable("bronze.raw")
+    tables.append_raw(shop.createDataFrame([(2, 20, "x")], "id bigint, price int, note string"), "bronze.raw")
+    assert sorted(map(tuple, shop.table("bronze.raw").collect())) == [(1, 10, None), (2, 20, "x")]
+
+
+def test_compaction_keeps_rows_in_fewer_files(shop):
+    for i in range(6):
+        note = ", note string" if i > 2 else ""
+        tables.append_raw(shop.createDataFrame([(i, 1, "x")[: 3 if note else 2]], f"id bigint, price int{note}"), "bronze.raw")
+    before, files = sorted(map(tuple, shop.table("bronze.raw").collect())), len(shop.table("bronze.raw").inputFiles())
+    version = tables.compact_raw(shop, "bronze.raw")
+    assert tables.versions(shop, "bronze.raw") == [version]
+    assert sorted(map(tuple, shop.table("bronze.raw").collect())) == before
+    assert len(shop.table("bronze.raw").inputFiles()) < files
+    tables.append_raw(shop.createDataFrame([(9, 1)], "id bigint, price int"), "bronze.raw")
+    assert shop.table("bronze.raw").count() == 7
+
+
+def positive(rows):
+    return rows.selectExpr("count_if(id < 0) = 0 AS success")
+
+
+def test_a_retried_run_shows_nothing_that_failed(shop):
+    tables.publish(shop.range(3), "gold.m", "001", audit=positive)
+    with pytest.raises(tables.PublishBlocked):
+        tables.publish(shop.range(-5, 0), "gold.m", "001", audit=positive)
+    assert [r.id for r in shop.table("gold.m").orderBy("id").collect()] == [0, 1, 2]
+
+
+def test_blocked_versions_do_not_push_out_good_ones(shop):
+    good = tables.publish(shop.range(1), "gold.m", "001", audit=positive)
+    for run in ("002", "003", "004"):
+        with pytest.raises(tables.PublishBlocked):
+            tables.publish(shop.range(-1, 0), "gold.m", run, audit=positive)
+    newest = tables.publish(shop.range(2), "gold.m", "005", audit=positive)
+    assert {good.version, newest.version} <= set(tables.versions(shop, "gold.m"))
+    tables.publish(shop.range(3), "gold.m", "006", audit=positive)
+    assert good.version not in tables.versions(shop, "gold.m")
+
+
+def test_column_tests_gate_a_build(shop):
+    write_bronze(shop)
+    jobs.build(shop, "001")
+    nobody = event("customers", "u", None, (1, None, "Ada", "GB", NOON), T0 + 5, 90)
+    write_bronze(shop, customers=[nobody])
+    assert main(["build", "--run", "002"], shop) == 1
+    assert shop.table("silver.silver_customers").where("email IS NULL").isEmpty()
+    assert shop.table("gold.gold_order_summary").count() == 3
+    runs = {(r.run, r.metric): r.value for r in jobs.recorded_metrics(shop).where("job = 'build'").collect()}
+    assert runs["002", "success"] == 0 and runs["002", "test_failures"] == 1
 
 
 def test_metrics_never_fail_a_run(shop, monkeypatch):
@@ -114,13 +170,16 @@ def test_repeated_metric_rows_count_once(shop):
     assert jobs.recorded_metrics(shop).select(F.sum("value")).first()[0] == 1.0
 
 
-def test_commands_exit_with_the_verdict(shop):
+def test_commands_exit_with_the_verdict(shop, capsys):
     write_bronze(shop)
     assert main(["build", "--run", "001"], shop) == 0
+    assert main(["status"], shop) == 0
+    assert "build success 1\n" in capsys.readouterr().out
     assert main(["check", "--run", "001"], shop) == 0
     assert main(["test"], shop) == 0
     write_bronze(shop, orders=[TYPO])
     assert main(["build", "--run", "002"], shop) == 1
     assert main(["check", "--run", "002"], shop) == 0
-    shop.sql("CREATE OR REPLACE VIEW gold.gold_order_summary AS SELECT * FROM gold.gold_order_summary__002")
+    blocked = tables.versions(shop, "gold.gold_order_summary")[0]
+    shop.sql(f"CREATE OR REPLACE VIEW gold.gold_order_summary AS SELECT * FROM {blocked}")
     assert main(["check", "--run", "003"], shop) == 1
