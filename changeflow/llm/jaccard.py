@@ -8,7 +8,7 @@ Two sets link if ``100 * |intersection| >= 75 * |union|``, that is ``7 * |inters
    linked joins its leader's family and keeps what it has more and less than the leader.
 3. An inverted index over prefixes: linked sets share a shingle among the first quarter of both. Lists whose sets
    are all in one component already are skipped whole, and within a list blocks are skipped by size and position.
-4. Candidates between components are checked exactly. A leader's overlap with a set is computed once; those of its
+4. Candidates between components are checked exactly, the likeliest of each component before all others. A leader's overlap with a set is computed once; those of its
    family are derived from it by the few shingles they have more or less.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.components import components
 from changeflow.llm.exact_dedup import one_of_each
-from changeflow.llm.shingles import BASE, mixed, shingle_set
+from changeflow.llm.shingles import BASE, in_chunks, mixed
 from changeflow.operators.skew import hot_from_counts, salted_left_join
 from changeflow.session import materialise
 
@@ -46,12 +46,18 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def digests(hashes: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit digests of a set, the first its node, whatever the order of its members."""
+def digests(flat: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit digests of each set, the first its node, whatever the order of its members; no set may be empty."""
     with np.errstate(over="ignore"):
-        one = mixed(hashes * BASE).sum(dtype=np.uint64) + np.uint64(len(hashes))
-        two = mixed(hashes ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64)
-        return tuple(int(v) for v in signed(mixed(np.array([one, two], np.uint64))))
+        one = np.add.reduceat(mixed(flat * BASE), edges[:-1]) + np.diff(edges).astype(np.uint64)
+        two = np.add.reduceat(mixed(flat ^ np.uint64(0xD6E8FEB86659FD93)), edges[:-1])
+        return signed(mixed(one)), signed(mixed(two))
+
+
+def nonempty(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which sets have members, and the edges of those alone."""
+    full = np.flatnonzero(np.diff(edges))
+    return full, np.concatenate([edges[full], edges[-1:]])
 
 
 def profiles(docs: DataFrame) -> DataFrame:
@@ -67,16 +73,16 @@ def profiles(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
         for batch in batches:
-            rows = []
-            for doc_id, text_hash, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                hashes = shingle_set(text)
-                if not len(hashes):
-                    rows.append((doc_id, text_hash, 0, None, None, None, None, None, None))
-                    continue
-                counts += np.bincount((hashes >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
-                least = (int(signed(mixed(hashes ^ t)[None].min(1))[0]) for t in turns)
-                rows.append((doc_id, text_hash, len(hashes), *digests(hashes), *least, None))
-            if rows:
+            ids, text_hashes, texts = (c.to_pylist() for c in batch.columns)
+            for at, flat, edges in in_chunks(texts):
+                full, own = nonempty(edges)
+                rows = [(d, h, 0, *[None] * 6) for d, h in zip(ids[at : at + len(edges) - 1], text_hashes[at:], strict=False)]
+                if len(full):
+                    counts += np.bincount((flat >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
+                    least = [signed(np.minimum.reduceat(mixed(flat ^ t), own[:-1])) for t in turns]
+                    columns = (np.diff(own), *digests(flat, own), *least)
+                    for i, *values in zip(full.tolist(), *(c.tolist() for c in columns), strict=True):
+                        rows[i] = (*rows[i][:2], *values, None)
                 yield made(rows)
         if counts.any():
             yield made([(None, None, -1, None, None, None, None, None, counts.tobytes())])
@@ -105,7 +111,7 @@ def ranks(profiled: DataFrame) -> np.ndarray:
 
 def in_order(hashes: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Hashes as keys that sort rare shingles first; the bucket's rank takes the place of its number."""
-    return np.sort((place[(hashes >> np.uint64(48)).astype(np.int64)] << np.uint64(48)) | (hashes & np.uint64((1 << 48) - 1)))
+    return (place[(hashes >> np.uint64(48)).astype(np.int64)] << np.uint64(48)) | (hashes & np.uint64((1 << 48) - 1))
 
 
 def node_filter(nodes: DataFrame, column: str = "node") -> np.ndarray:
@@ -125,13 +131,14 @@ def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {}
-            for text in batch[0].to_pylist():
-                hashes = shingle_set(text)
-                if len(hashes):
-                    node = digests(hashes)[0]
-                    at = node & (FILTER_BITS - 1)
-                    if bits[at >> 3] >> (at & 7) & 1:
-                        found[node] = hashes.tobytes()
+            for _, flat, edges in in_chunks(batch[0].to_pylist()):
+                _, own = nonempty(edges)
+                if len(own) < 2:
+                    continue
+                node = digests(flat, own)[0]
+                at = node & (FILTER_BITS - 1)
+                for i in np.flatnonzero(bits[at >> 3] >> (at & 7) & 1).tolist():
+                    found[int(node[i])] = flat[own[i] : own[i + 1]].tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["node", "members"])
 
     made = docs.select("text").mapInArrow(fetch, "node long, members binary")
@@ -196,31 +203,30 @@ def meet(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 ENTRY = "token long, node long, n int, place int"
 
 
+def beyond_prefix(n):
+    """Members of a set of ``n`` outside its prefix: any set that it links with shares more than these."""
+    return (3 * n + 3) // 4 - 1
+
+
 def entries(docs: DataFrame, place: np.ndarray) -> DataFrame:
     """The prefixes of all sets: with ``n`` shingles, the first ``n - ceil(3n/4) + 1`` in order. Equal sets of a batch count once."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen, parts = set(), []
-            for text in batch[0].to_pylist():
-                hashes = shingle_set(text)
-                n = len(hashes)
-                if not n or (node := digests(hashes)[0]) in seen:
+            seen = set()
+            for _, flat, edges in in_chunks(batch[0].to_pylist()):
+                _, own = nonempty(edges)
+                if len(own) < 2:
                     continue
-                seen.add(node)
-                tokens = in_order(hashes, place)[: n - (3 * n + 3) // 4 + 1]
-                parts.append((tokens, node, n))
-            if parts:
-                sizes = [len(p[0]) for p in parts]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(signed(np.concatenate([p[0] for p in parts]))),
-                        pa.array(np.repeat(np.array([p[1] for p in parts], np.int64), sizes)),
-                        pa.array(np.repeat(np.array([p[2] for p in parts], np.int32), sizes)),
-                        pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])),
-                    ],
-                    names=["token", "node", "n", "place"],
-                )
+                node, n = digests(flat, own)[0], np.diff(own)
+                tokens = in_order(flat, place)
+                fresh = np.array([x not in seen and not seen.add(x) for x in node.tolist()])
+                for a, b in zip(own[:-1][fresh].tolist(), own[1:][fresh].tolist(), strict=True):
+                    tokens[a:b].sort()
+                at = np.arange(len(tokens)) - np.repeat(own[:-1], n)
+                on = np.flatnonzero(at < np.repeat(np.where(fresh, n - beyond_prefix(n), 0), n))
+                columns = (signed(tokens[on]), np.repeat(node, n)[on], np.repeat(n, n)[on].astype(np.int32), at[on].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "n", "place"])
 
     return docs.select("text").mapInArrow(index, ENTRY)
 
@@ -261,36 +267,47 @@ def shared_entries(index: DataFrame) -> DataFrame:
     return materialise(ordered.mapInArrow(keep, ENTRY), "lists")
 
 
-def pairs_in(n: np.ndarray, place: np.ndarray, component: np.ndarray) -> np.ndarray:
-    """Index pairs of one list, sorted by size, that could link by size and position and lie in different components.
+def pairs_in(n: np.ndarray, place: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of one list, sorted by size, that may link by size and position and lie in different components;
+    and for each whether the shared shingle may be the first that they share.
 
-    ``place`` shingles of a set stand before the shared one, so at most ``n - place`` are shared. Blocks whose
-    sizes or rests cannot suffice are passed over.
+    ``place`` shingles of a set stand before the shared one. At most the smaller ``n - place`` are shared from here on
+    and the smaller ``place`` before. Blocks whose sizes or sums cannot suffice are passed over.
     """
     rest = n - place
-    found = []
+    found, firsts = [], []
     edges = list(range(0, len(n), BLOCK)) + [len(n)]
     spans = [slice(a, b) for a, b in zip(edges, edges[1:], strict=False)]
-    most = [int(rest[s].max()) for s in spans]
+    most = [(int(rest[s].max()), int(place[s].max())) for s in spans]
     for i, a in enumerate(spans):
         for j in range(i, len(spans)):
             b = spans[j]
             if 3 * int(n[b.start]) > 4 * int(n[a.stop - 1]):
                 break
-            if 7 * min(most[i], most[j]) < 3 * (int(n[a.start]) + int(n[b.start])):
+            if 7 * (min(most[i][0], most[j][0]) + min(most[i][1], most[j][1])) < 3 * (int(n[a.start]) + int(n[b.start])):
                 continue
-            bound = 7 * np.minimum(rest[a][:, None], rest[b][None]) >= 3 * (n[a][:, None] + n[b][None])
-            bound &= component[a][:, None] != component[b][None]
+            need = 3 * (n[a][:, None] + n[b][None])
+            after = 7 * np.minimum(rest[a][:, None], rest[b][None])
+            bound = after + 7 * np.minimum(place[a][:, None], place[b][None]) >= need
+            bound &= (component[a][:, None] != component[b][None]) & (4 * n[a][:, None] >= 3 * n[b][None])
             x, y = np.nonzero(np.triu(bound, 1) if i == j else bound)
             found.append(np.stack([x + a.start, y + b.start], 1))
-    return np.concatenate(found) if found else np.zeros((0, 2), int)
+            firsts.append((after >= need)[x, y])
+    if not found:
+        return np.zeros((0, 2), int), np.zeros(0, bool)
+    return np.concatenate(found), np.concatenate(firsts)
+
+
+SHARED = "s long, t long, n_s long, n_t long, of_s long, of_t long, shared long, begins boolean"
 
 
 def candidates(lists: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs ``s, t`` of different components (``known``: ``node, component``) from the lists, each once.
 
     Lists within one component are dropped before they meet. A list longer than :data:`LIST` is dealt into
-    parts by hash, and every two parts meet in a task of their own.
+    parts by hash, and every two parts meet in a task of their own. The shingles that the two prefixes share are
+    counted: let the prefix of ``x`` end first in order, then what the sets share beyond it is at most the rest of
+    ``x``. So a pair whose count and larger rest together are too few cannot link.
     """
     lists = lists.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_lists = (
@@ -306,20 +323,31 @@ def candidates(lists: DataFrame, known: DataFrame) -> DataFrame:
     )
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(table: pa.Table) -> pa.RecordBatch | None:
+        def found(table: pa.Table) -> pa.RecordBatch:
             c = {name: table[name].to_numpy() for name in table.column_names}
             key = np.flatnonzero(
                 np.concatenate([[True], (c["token"][1:] != c["token"][:-1]) | (c["one"][1:] != c["one"][:-1]) | (c["two"][1:] != c["two"][:-1])])
             )
-            out = []
+            nodes, sizes, owners, firsts = [], [], [], []
             for a, b in zip(key, [*key[1:], len(c["token"])], strict=True):
-                x = pairs_in(c["n"][a:b].astype(np.int64), c["place"][a:b].astype(np.int64), c["component"][a:b]) + a
+                x, first = pairs_in(c["n"][a:b].astype(np.int64), c["place"][a:b].astype(np.int64), c["component"][a:b])
+                x += a
                 if c["one"][a] != c["two"][a]:
-                    x = x[c["part"][x[:, 0]] != c["part"][x[:, 1]]]
-                nodes = c["node"][x]
-                out.append(np.sort(nodes, 1))
-            nodes = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(nodes[:, 0]), pa.array(nodes[:, 1])], names=["s", "t"])
+                    across = c["part"][x[:, 0]] != c["part"][x[:, 1]]
+                    x, first = x[across], first[across]
+                flip = c["node"][x[:, 0]] > c["node"][x[:, 1]]
+                x[flip] = x[flip][:, ::-1]
+                nodes.append(c["node"][x])
+                sizes.append(c["n"][x])
+                owners.append(c["component"][x])
+                firsts.append(first)
+            s_t, n, of, first = (np.concatenate(v) for v in (nodes, sizes, owners, firsts))
+            pairs, one, inverse, shared = np.unique(s_t, axis=0, return_index=True, return_inverse=True, return_counts=True)
+            begins = np.zeros(len(pairs), bool)
+            np.logical_or.at(begins, inverse.ravel(), first)
+            n, of = n[one].astype(np.int64), of[one]
+            columns = (pairs[:, 0], pairs[:, 1], n[:, 0], n[:, 1], of[:, 0], of[:, 1], shared.astype(np.int64), begins)
+            return pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=[v.split()[0] for v in SHARED.split(", ")])
 
         held = None
         for batch in batches:
@@ -339,7 +367,31 @@ def candidates(lists: DataFrame, known: DataFrame) -> DataFrame:
 
     columns = ("token", "one", "two", "part", "node", "n", "place", "component")
     sorted_lists = met.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two", "n", "node")
-    return materialise(sorted_lists.select(*columns).mapInArrow(pair, "s long, t long").distinct(), "candidates")
+    shared = sorted_lists.select(*columns).mapInArrow(pair, SHARED)
+    counted = shared.groupBy("s", "t", "n_s", "n_t", "of_s", "of_t").agg(F.sum("shared").alias("shared"), F.max("begins").alias("begins"))
+    rest = F.ceil(3 * F.greatest("n_s", "n_t") / 4) - 1
+    enough = 7 * (F.col("shared") + rest) >= 3 * (F.col("n_s") + F.col("n_t"))
+    likely = (F.col("shared") / (F.col("n_s") + F.col("n_t"))).alias("likely")
+    return materialise(counted.where(F.col("begins") & enough).select("s", "t", "of_s", "of_t", likely), "candidates")
+
+
+def likeliest(pairs: DataFrame) -> DataFrame:
+    """The pair of each component that shares most, as ``s, t``."""
+    best = F.struct((-F.col("likely")).alias("by"), "s", "t")
+    sides = [pairs.select(F.col(c).alias("component"), best.alias("best")) for c in ("of_s", "of_t")]
+    chosen = sides[0].unionByName(sides[1]).groupBy("component").agg(F.min("best").alias("best"))
+    return materialise(chosen.select("best.s", "best.t").distinct(), "likeliest")
+
+
+def still_open(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """The pairs whose components ``links`` (``a, b``, components) do not join; first decided for pairs of components."""
+    roots = materialise(components(links), "roots")
+    between = pairs.select("of_s", "of_t").distinct()
+    for side in ("of_s", "of_t"):
+        root = roots.select(F.col("node").alias(side), F.col("component").alias(f"root_{side}"))
+        between = between.join(root, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    between = between.where("root_of_s <> root_of_t").select("of_s", "of_t")
+    return materialise(pairs.join(between, ["of_s", "of_t"], "left_semi"), "open")
 
 
 def stars(nodes: DataFrame) -> DataFrame:
@@ -379,11 +431,19 @@ def near_groups(docs: DataFrame) -> DataFrame:
     families = star.groupBy("s").agg(F.min(small).alias("of")).select("s", F.col("of.t").alias("lead"), "of.more", "of.less")
     families = materialise(families, "families")
 
-    left = candidates(shared_entries(entries(docs, place)), known)
-    asked = left.join(families, "s", "left").select("s", "t", F.coalesce("lead", "s").alias("lead"), "more", "less")
-    involved = asked.select(F.col("lead").alias("node")).union(asked.select(F.col("t").alias("node"))).distinct()
-    late = meet(asked, sets_of(docs, involved)).where("linked")
-    links = star.select(F.col("s").alias("a"), F.col("t").alias("b")).union(late.select("s", "t"))
+    def checked(pairs: DataFrame) -> DataFrame:
+        asked = pairs.select("s", "t").join(families, "s", "left").select("s", "t", F.coalesce("lead", "s").alias("lead"), "more", "less")
+        asked = materialise(asked, "asked")
+        involved = asked.select(F.col("lead").alias("node")).union(asked.select(F.col("t").alias("node"))).distinct()
+        return meet(asked, sets_of(docs, involved)).where("linked").select("s", "t")
+
+    links = star.select("s", "t")
+    pairs = candidates(shared_entries(entries(docs, place)), known)
+    # each component tries its likeliest pair first; most others then lie within one component
+    first = checked(likeliest(pairs))
+    joined = pairs.join(first, ["s", "t"], "left_semi").select(F.col("of_s").alias("a"), F.col("of_t").alias("b"))
+    pairs = still_open(pairs, joined)
+    links = links.union(first).union(checked(pairs)).select(F.col("s").alias("a"), F.col("t").alias("b"))
     whole = components(links)
 
     placed = nodes.join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
