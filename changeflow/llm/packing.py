@@ -101,45 +101,51 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, most: int) -> DataFr
     return docs.select("doc_id", "text").mapInArrow(pieces, "doc_id long, piece int, start long, ids binary")
 
 
-def best_fit(counts: dict[int, int], most: int) -> list[tuple[int, int, int, int, int]]:
+def best_fit(counts: dict[int, int], most: int) -> list[tuple[int, int, int, int, int, int]]:
     """Place ``counts[length]`` pieces, longest first, each into the fullest sequence that still takes it.
 
-    Sequences that are filled alike are one group, so a step places many pieces at once. Returns the
-    steps ``(length, first rank, end rank, first sequence, offset)``: the piece of that length and rank
-    ``r`` goes to sequence ``first sequence + r - first rank``. There are at most as many groups as steps that
-    open or split one, two per length, so the plan is bounded by ``most``, not by the number of pieces.
+    Sequences that are filled alike are one group, so a step places many pieces at once: as many in each sequence
+    as fit, since it only gets fuller. Returns the steps ``(length, first rank, end rank, first sequence, offset, per)``:
+    the piece of that length and rank ``r`` is piece ``r - first rank`` of the step, which puts ``per`` into each sequence.
+    A length uses up groups, opens two at most and splits one, so the plan is bounded by ``most``, not by the number
+    of pieces.
     """
     free: dict[int, list[tuple[int, int]]] = {}  # room left: groups (first sequence, how many)
     rooms: list[int] = []  # sorted
     steps, opened = [], 0
 
-    def give(room: int, group: tuple[int, int]) -> None:
-        if room not in free:
-            free[room] = []
-            rooms.insert(bisect_left(rooms, room), room)
-        free[room].append(group)
+    def give(room: int, first: int, n: int) -> None:
+        if n and room:
+            if room not in free:
+                free[room] = []
+                rooms.insert(bisect_left(rooms, room), room)
+            free[room].append((first, n))
 
     for length in sorted(counts, reverse=True):
         rank, left = 0, counts[length]
         while left:
             at = bisect_left(rooms, length)
             if at == len(rooms):
-                group, room = (opened, left), most
-                opened += left
+                room, first = most, opened
+                n = -(-left // (most // length))
+                opened += n
             else:
                 room = rooms[at]
-                group = free[room].pop()
+                first, n = free[room].pop()
                 if not free[room]:
                     del free[room]
                     rooms.pop(at)
-            first, n = group
-            take = min(n, left)
-            if take < n:
-                give(room, (first + take, n - take))
-            steps.append((length, rank, rank + take, first, most - room))
-            if room - length:
-                give(room - length, (first, take))
-            rank, left = rank + take, left - take
+            per = room // length
+            full = min(n, left // per)
+            if full:
+                steps.append((length, rank, rank + full * per, first, most - room, per))
+                give(room - per * length, first, full)
+                rank, left = rank + full * per, left - full * per
+            if left and full < n:
+                steps.append((length, rank, rank + left, first + full, most - room, left))
+                give(room - left * length, first + full, 1)
+                full, rank, left = full + 1, rank + left, 0
+            give(room, first + full, n - full)
     return steps
 
 
@@ -165,11 +171,12 @@ def pack(pieces: DataFrame, most: int) -> DataFrame:
     )
     within = W.partitionBy("length", "part").orderBy(*[c for c in ("doc_id", "piece", "start", "ids_crc32") if c in pieces.columns])
     ranked = parted.join(bases, ["length", "part"]).withColumn("rank", F.col("base") + F.row_number().over(within) - 1)
-    plan = spark.createDataFrame(steps, "of int, lo long, hi long, first long, offset long")
+    plan = spark.createDataFrame(steps, "of int, lo long, hi long, first long, at long, per long")
     slot = (F.col("length") == F.col("of")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
     return (
         ranked.join(F.broadcast(plan), slot)
-        .withColumn("sequence_id", F.col("first") + F.col("rank") - F.col("lo"))
+        .withColumn("sequence_id", F.col("first") + F.floor((F.col("rank") - F.col("lo")) / F.col("per")))
+        .withColumn("offset", F.col("at") + F.pmod(F.col("rank") - F.col("lo"), F.col("per")) * F.col("length"))
         .select(*pieces.columns, "sequence_id", "offset")
     )
 

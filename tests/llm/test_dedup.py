@@ -181,17 +181,23 @@ def test_deep_shallow_sorts(monkeypatch):
             assert {s: sorted(i) for s, i in got} == {s: [i for t, i in pairs if t == s] for s, _ in got}
 
 
-def test_anchors_cover_all_strings_and_agree():
+def test_anchors_cover_all_strings_and_agree(monkeypatch):
     rng = np.random.default_rng(2)
-    for n in (10, 49, 50, 51, 200):
-        raw = rng.integers(97, 99, n, dtype=np.uint8)
-        hashes, place, first, last = suffix_dedup.anchors(raw, 50)
-        covered = [i for a, b in zip(first, last, strict=True) for i in range(a, b + 1)]
-        assert covered == list(range(max(0, n - 49)))
-        for h, j, a, b in zip(hashes, place, first, last, strict=True):
-            for i in range(a, b + 1):
-                one = suffix_dedup.anchors(raw[i : i + 50], 50)
-                assert one[0][0] == h and one[1][0] + i == j
+    texts = [rng.integers(97, 99, n, dtype=np.uint8).tobytes() for n in (10, 49, 50, 51, 0, 200, 80)]
+    for chunk in (1, 100, 1 << 18):
+        monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+        found = suffix_dedup.anchors(texts, 50)
+        for d, text in enumerate(texts):
+            own = np.flatnonzero(found.doc == d)
+            covered = [i for k in own for i in range(found.first[k], found.end[k] - 49)]
+            assert covered == list(range(max(0, len(text) - 49)))
+            for k in own:
+                for i in range(found.first[k], found.end[k] - 49):
+                    one = suffix_dedup.anchors([text[i : i + 50]], 50)
+                    assert one.anchor[0] == found.anchor[k] and one.shift[0] + i == found.first[k] + found.shift[k]
+                again = suffix_dedup.anchors([b"zz" + text], 50)
+                same = np.flatnonzero((again.first == found.first[k] + 2) & (again.end == found.end[k] + 2))
+                assert all(again.context[same] == found.context[k])
 
 
 def substring_rows():

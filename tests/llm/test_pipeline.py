@@ -1,0 +1,67 @@
+"""The corpus pipeline against plain forms of its stages, and each stage on odd rows."""
+
+import math
+import re
+from collections import Counter
+
+import brute
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from changeflow.llm import mixing, quality
+from changeflow.session import materialise
+
+SMALL = "/root/testdata/sf0.001"
+SPACE = re.compile(r"[\x20\x09-\x0D]+")
+
+
+def test_stages_equal_their_plain_forms(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    columns = docs.columns
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    good = {r.doc_id for r in quality.quality_scores(docs, labels).where("predicted = 1").collect()}
+    assert 0 < len(good) < len(texts)
+    firsts = {}
+    for d in sorted(good):
+        firsts.setdefault(SPACE.sub(" ", texts[d] or ""), d)
+    exact = set(firsts.values())
+    near = {d for d, (n, c) in brute.near_components([(d, texts[d]) for d in exact]).items() if not n or c == d}
+    wanted = [good, exact, near]
+    for (name, stage), want in zip(corpus_pipeline.STAGES, wanted, strict=False):
+        docs = materialise(stage(spark, docs, SMALL), "stage")
+        assert docs.columns == columns, name
+        assert Counter(r.doc_id for r in docs.collect()) == Counter(want), name
+    mixed = materialise(corpus_pipeline.mixing_stage(spark, docs, SMALL), "stage")
+    copies = {r.doc_id: math.floor(r.taken / r.size + 0.5) if r.size else 0 for r in mixing.mix(docs).collect()}
+    assert mixed.columns == columns and Counter(r.doc_id for r in mixed.collect()) == Counter({d: n for d, n in copies.items() if n})
+
+    pieces = corpus_pipeline.packing_stage(spark, mixed, SMALL).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    lengths = Counter()
+    for d, n in copies.items():
+        if n:
+            whole = len(tokenizer.encode(texts[d] or "", add_special_tokens=False).ids) + 1
+            head = whole % 1024 or 1024
+            for i in range(-(-whole // 1024)):
+                lengths[d, i, 1024 if i else head] += n
+    assert Counter((p.doc_id, p.piece, p.length) for p in pieces) == lengths
+    filled = Counter()
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.offset == filled[p.sequence_id]
+        filled[p.sequence_id] += p.length
+    assert max(filled.values()) <= 1024
+    assert Counter((p.doc_id, p.piece, p.length) for p in corpus_pipeline.run(spark, SMALL).collect()) == lengths
+
+
+def test_stages_take_odd_rows(spark, odd_docs, no_docs):
+    clashing = odd_docs.selectExpr("*", "1 AS _id", "'x' AS n", "2 AS component", "3 AS digest", "4 AS features", "5 AS doc")
+    for name, stage in corpus_pipeline.STAGES:
+        for docs in (odd_docs, no_docs, clashing):
+            got = stage(spark, docs, SMALL)
+            if name != "best-fit packing":
+                assert got.columns == docs.columns
+            assert (got.count() == 0) == (docs is no_docs), name
+    assert corpus_pipeline.near_stage(spark, odd_docs, SMALL).where("doc_id IN (1, 2, 3)").count() == 3
+    assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5

@@ -261,10 +261,11 @@ def test_best_fit_plans_by_counts():
         counts = {k: random.randint(1, 30) for k in random.sample(range(1, most + 1), random.randint(1, min(most, 12)))}
         steps = packing.best_fit(counts, most)
         filled, sizes = defaultdict(int), defaultdict(list)
-        for length, lo, hi, first, offset in steps:
+        for length, lo, hi, first, offset, per in steps:
             for r in range(lo, hi):
-                assert filled[first + r - lo] == offset
-                filled[first + r - lo] += length
+                sequence, nth = divmod(r - lo, per)
+                assert filled[first + sequence] == offset + nth * length
+                filled[first + sequence] += length
             sizes[length] += range(lo, hi)
         assert max(filled.values()) <= most and {k: sorted(v) for k, v in sizes.items()} == {k: list(range(n)) for k, n in counts.items()}
         # best fit, one by one
@@ -366,6 +367,6 @@ def test_bounds_cut_the_work():
     best = topk.Best(5, 10)
     done = topk.search_block(asked, np.arange(5), block, np.arange(2000), np.arange(2000), best)
     scores = asked.T @ block
-    scores[np.arange(5), np.arange(5)] = np.iinfo(np.int64).min
+    scores[np.arange(5), np.arange(5)] = -(2**62)
     assert (best.score == -np.sort(-scores, 1)[:, :10]).all()
     assert done < 0.7 * 5 * 2000 * 64
