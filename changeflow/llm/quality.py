@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from changeflow.session import materialise
 
-#: Most labelled rows that are fitted on; beyond it, those with the smallest hash of their identifier.
+#: Most labelled rows that are fitted on; beyond it, those in a fixed share of the hashes of identifiers.
 TRAIN_ROWS = 50_000
 
 FEATURES = (
@@ -192,11 +192,14 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def train(statistics_of: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Trees:
-    """Fit on labelled rows that are not held out, at most ``train_rows`` of them by a fixed hash order."""
+    """Fit on labelled rows that are not held out, at most ``train_rows`` of them, those of a fixed range of hashes."""
     known = labels.where(F.col("quality").isin(0, 1)).select("doc_id", "quality")
+    usable = statistics_of.join(known, "doc_id").where(~held_out())
+    # a share of the hashes that leaves about as many rows as are wanted, so no task sends many
+    share = min(1.0, train_rows / max(1, usable.count()))
     rows = (
-        statistics_of.join(known, "doc_id")
-        .where(~held_out())
+        usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int(share * (1 << 32)))
+        .select("doc_id", "features", "quality")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "features")
         .limit(train_rows)
         .select("features", "quality")
@@ -234,9 +237,11 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
     Statistics are made once: rows are staged with them, as one column, and filtered from there.
     """
 
+    columns = docs.columns
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc = dict(zip(docs.columns, batch[0].flatten(), strict=True))
+            doc = dict(zip(columns, batch[0].flatten(), strict=True))
             features = pa.array([statistics(t or "") for t in doc["text"].to_pylist()], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch[0], doc["doc_id"].cast(pa.int64()), features], names=["doc", "doc_id", "features"])
 

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window as W
 
 KINDS = {
     "string": lambda v: isinstance(v, str),
-    "integer": lambda v: isinstance(v, int) and not isinstance(v, bool),
+    "integer": lambda v: isinstance(v, int | float) and not isinstance(v, bool) and v == v // 1,
     "number": lambda v: isinstance(v, int | float) and not isinstance(v, bool),
     "boolean": lambda v: isinstance(v, bool),
     "object": lambda v: isinstance(v, dict),
