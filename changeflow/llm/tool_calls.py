@@ -168,7 +168,7 @@ def formatted(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
             )
         return {
             "conv_id": conv_id,
-            "n_calls": sum(r["status"] != "orphan" for r in made),
+            "n_calls": sum(r["turn"] is not None for r in made),
             "n_ok": len(out) - invalid,
             "n_unlinked": len(made) - len(out),
             "n_invalid": invalid,

@@ -217,7 +217,7 @@ def substring_rows():
     return rows
 
 
-@pytest.mark.parametrize("hot", [1024, 3])
+@pytest.mark.parametrize("hot", [8192, 3])
 def test_substrings_equal_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     rows = substring_rows()
