@@ -4,13 +4,13 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
 from changeflow.plans import silver
 from changeflow.plans.shop import ORDERS, TABLES
 from changeflow.sources.envelope import envelope_schema
+from changeflow.workload import QUERIES
 from changeflow.workload.derive import bronze
 
-BATCH = sorted(n for n in entry_point.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
 
 TEXT = {"spark.sql.maxMetadataStringLength": "10000", "spark.sql.debug.maxToStringFields": "1000"}
@@ -39,7 +39,7 @@ def no_broadcast(spark):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_no_cross_join_no_single_task(spark, sf_dir, no_broadcast, name):
-    text = plan(entry_point.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for node in ("Python", "Pandas", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD"):
         assert node not in text
     # rows meet in one task only as partial totals or as the winners of a top-k; a window without
@@ -69,7 +69,7 @@ def test_state_keeps_one_event_per_key_before_the_shuffle(spark, tmp_path, name)
 def test_mart_shuffles(spark, sf_dir, no_broadcast):
     """Three logs by their keys, items by order, orders and customers by salted customer, and the hot-key
     counts; joining order totals to orders reuses both partitionings."""
-    text = plan(entry_point.queries()["gold_order_summary"](spark, sf_dir))
+    text = plan(QUERIES["gold_order_summary"](spark, sf_dir))
     shuffles = re.findall(r"Exchange hashpartitioning\((\w+)#\d+L?(, salt)?", text)
     assert sorted(shuffles) == sorted(
         [
@@ -89,7 +89,7 @@ def test_mart_shuffles(spark, sf_dir, no_broadcast):
 def test_orphans_are_counted_before_the_join(spark, sf_dir, threshold):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        lines = plan(entry_point.queries()["fk_orphans"](spark, sf_dir)).splitlines()
+        lines = plan(QUERIES["fk_orphans"](spark, sf_dir)).splitlines()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     join = [i for i, line in enumerate(lines) if "Join [" in line]
