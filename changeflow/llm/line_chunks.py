@@ -1,4 +1,4 @@
-"""Line dedup: content-defined chunks of lines, removed where they repeat anywhere in the corpus."""
+"""Line dedup: runs of lines, or content-defined chunks of them, removed where they repeat anywhere in the corpus."""
 
 from __future__ import annotations
 
@@ -39,12 +39,23 @@ def boundaries(lines: list[bytes], window: int = WINDOW, mean: int = MEAN) -> li
     return ends if ends and ends[-1] == n else [*ends, n]
 
 
+def lines_of(text: str | None) -> list[bytes]:
+    """The lines of a text with their line ends; joined, they are the text."""
+    lines = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
+    return [x + b"\n" for x in lines[:-1]] + ([lines[-1]] if lines[-1] else [])
+
+
+def windows_of(text: str | None, lines: int) -> list[bytes]:
+    """All runs of that many lines, without the line ends behind them."""
+    held = lines_of(text)
+    return [b"".join(held[i : i + lines]).rstrip(b"\n") for i in range(len(held) - lines + 1)]
+
+
 def chunks_of(text: str | None) -> list[tuple[int, bytes]]:
     """``(lines, bytes)`` of each chunk; joined, the bytes are the text, with its line ends. No text, no chunk."""
-    if not text:
+    lines = lines_of(text)
+    if not lines:
         return []
-    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-    lines = [x + b"\n" for x in lines[:-1]] + ([lines[-1]] if lines[-1] else [])
     found, start = [], 0
     for end in boundaries([x.rstrip(b"\n") for x in lines]):
         found.append((end - start, b"".join(lines[start:end])))
@@ -106,39 +117,129 @@ def repeated_chunks(docs: DataFrame, least_lines: int = 2) -> DataFrame:
     return compared.where((F.col("bytes") == F.col("leader")) & ~F.col("leads")).select("_id", "_hash", "place", "lines")
 
 
-def without_repeats(docs: DataFrame, least_lines: int = 2) -> DataFrame:
-    """``docs`` with the bytes of repeated chunks removed: all columns, and ``n_lines, n_chunks, n_removed_chunks, n_removed_lines``,
-    which take the place of columns of these names.
+WINDOWS = "_id string, _hash long, doc_id long, place int, digest binary"
+HELD = "_id string, _hash long, place int, digest binary, leads boolean, bytes binary"
 
-    Null and empty texts stay as they are and have no lines. Rows alike in ``doc_id`` and text are judged once
-    and cut alike, so a whole repeated row loses nothing to its twin. What is left of a text keeps its order.
+
+def arrow_rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+
+
+def repeated_windows(docs: DataFrame, least_lines: int = 2) -> DataFrame:
+    """Runs of ``least_lines`` lines that an earlier place of the corpus has too, whatever stands around them:
+    ``_id, _hash, place``, the number of their first line.
+
+    Places are ordered as for :func:`repeated_chunks`. A run does not repeat one of the same text that it overlaps.
+    Every longer run of lines that repeats consists of such runs, so none is missed. Digests only nominate;
+    only nominated runs give their bytes, which must equal those of the first place.
     """
-    removed = repeated_chunks(docs, least_lines).groupBy("_id", "_hash").agg(F.collect_set("place").alias("_places"))
-    added = "n_lines long, n_chunks long, n_removed_chunks long, n_removed_lines long"
-    docs = docs.drop(*(a.split()[0] for a in added.split(", ")))
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("_id", pa.string()), ("_hash", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32()), ("digest", pa.binary())])
+        for batch in batches:
+            rows: list[tuple] = []
+            for key, text_hash, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows += [(key, text_hash, doc_id, i, digest_of(w)) for i, w in enumerate(windows_of(text, least_lines))]
+            yield arrow_rows(rows, schema)
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema(
+            [("_id", pa.string()), ("_hash", pa.int64()), ("place", pa.int32()), ("digest", pa.binary()), ("leads", pa.bool_()), ("bytes", pa.binary())]
+        )
+        for batch in batches:
+            rows: list[tuple] = []
+            for key, text_hash, wanted, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = windows_of(text, least_lines)
+                rows += [(key, text_hash, w["place"], w["digest"], w["leads"], found[w["place"]]) for w in wanted]
+            yield arrow_rows(rows, schema)
+
+    keyed = docs.select("doc_id", "text").withColumns(row_keys("doc_id", F.xxhash64("text")))
+    thin = keyed.select("_id", "_hash", F.col("doc_id").cast("long"), "text").mapInArrow(digests, WINDOWS)
+    thin = materialise(thin, "windows")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_id", "_hash", "place")
+    groups = thin.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    groups = materialise(groups, "repeated")
+    hot = hot_from_counts(groups, "digest", "n")
+    # spread by document, as the texts of copies have one hash
+    marked = salted_left_join(thin, groups.select("digest", "first"), "digest", "_id", hot).where("first IS NOT NULL")
+    overlaps = (F.col("_id") == F.col("first._id")) & (F.col("_hash") == F.col("first._hash")) & (F.col("place") - F.col("first.place") < least_lines)
+    marked = marked.withColumn("leads", place == F.col("first")).where(F.col("leads") | ~overlaps)
+    wanted = marked.groupBy("_id", "_hash").agg(F.collect_set(F.struct("place", "digest", "leads")).alias("wanted"))
+    full = keyed.join(wanted, ["_id", "_hash"]).select("_id", "_hash", "wanted", "text").mapInArrow(held, HELD)
+    full = materialise(full, "bytes")
+    leaders = full.where("leads").groupBy("digest").agg(F.min("bytes").alias("leader"))
+    compared = salted_left_join(full.where("NOT leads"), leaders, "digest", "_id", hot)
+    return compared.where(F.col("bytes") == F.col("leader")).select("_id", "_hash", "place")
+
+
+ADDED = "n_lines long, n_chunks long, n_removed_chunks long, n_removed_lines long"
+
+
+def cut(docs: DataFrame, removed: DataFrame, lines: int | None) -> DataFrame:
+    """``docs`` without what stands at the places ``removed`` (``_id, _hash, place``), and what that was.
+
+    Places are those of chunks, or where ``lines`` is given those of the first of as many lines.
+    """
+    removed = removed.groupBy("_id", "_hash").agg(F.collect_set("place").alias("_places"))
+    docs = docs.drop(*(a.split()[0] for a in ADDED.split(", ")))
     joined = whole_rows(docs).join(removed, ["_id", "_hash"], "left")
     columns = docs.columns
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts = [], []
             doc = dict(zip(columns, batch["doc"].flatten(), strict=True))
             for text, places in zip(doc["text"].to_pylist(), batch["_places"].to_pylist(), strict=True):
-                found, out = chunks_of(text), set(places or ())
-                texts.append(b"".join(c for i, (_, c) in enumerate(found) if i not in out).decode("utf-8", "surrogatepass") if out else text)
-                counts.append((sum(n for n, _ in found), len(found), len(out), sum(n for i, (n, _) in enumerate(found) if i in out)))
+                found, places = chunks_of(text), set(places or ())
+                starts = np.cumsum([0, *(n for n, _ in found)]).tolist()
+                if lines is None:
+                    gone = {line for i in places for line in range(starts[i], starts[i + 1])}
+                else:
+                    gone = {line for i in places for line in range(i, i + lines)}
+                whole = sum(gone.issuperset(range(a, b)) for a, b in zip(starts, starts[1:], strict=False))
+                kept = b"".join(x for i, x in enumerate(lines_of(text)) if i not in gone) if gone else b""
+                texts.append(kept.decode("utf-8", "surrogatepass") if gone else text)
+                counts.append((starts[-1], len(found), whole, len(gone)))
             arrays = [pa.array(texts, pa.string()) if c == "text" else doc[c] for c in columns]
             more = [pa.array([c[i] for c in counts], pa.int64()) for i in range(4)]
-            yield pa.RecordBatch.from_arrays(arrays + more, names=[*columns, *(a.split()[0] for a in added.split(", "))])
+            yield pa.RecordBatch.from_arrays(arrays + more, names=[*columns, *(a.split()[0] for a in ADDED.split(", "))])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", " + added
-    return joined.select("doc", "_places").mapInArrow(cut, schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", " + ADDED
+    return joined.select("doc", "_places").mapInArrow(write, schema)
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = without_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+def without_repeats(docs: DataFrame, least_lines: int = 2) -> DataFrame:
+    """``docs`` with the bytes of repeated chunks removed: all columns, and ``n_lines, n_chunks, n_removed_chunks, n_removed_lines``,
+    which take the place of columns of these names.
+
+    Null and empty texts stay as they are and have no lines. Rows alike in ``doc_id`` and text are judged once
+    and cut alike, so a whole repeated row loses nothing to its twin. What is left of a text keeps its order.
+    Only repeats that fill whole chunks are found; :func:`without_repeated_runs` finds all.
+    """
+    return cut(docs, repeated_chunks(docs, least_lines), None)
+
+
+def without_repeated_runs(docs: DataFrame, least_lines: int = 2) -> DataFrame:
+    """``docs`` without the lines of every run of at least ``least_lines`` lines that an earlier place has too.
+
+    Columns and rows as for :func:`without_repeats`; a chunk counts as removed if all of its lines are.
+    """
+    return cut(docs, repeated_windows(docs, least_lines), least_lines)
+
+
+def summed(kept: DataFrame) -> DataFrame:
     return kept.select(
         "doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines",
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole chunks only."""
+    return summed(without_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
+
+
+def runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered query: all repeated runs."""
+    return summed(without_repeated_runs(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))

@@ -28,5 +28,5 @@ _MODULES = {
     "op10_top_k": topk,
 }
 
-QUERIES = {name: module.query for name, module in _MODULES.items()}
+QUERIES = {name: module.query for name, module in _MODULES.items()} | {"op5_line_chunks": line_chunks.runs_query}
 ORACLE = {name: module.SQL for name, module in _MODULES.items() if hasattr(module, "SQL")}
