@@ -211,7 +211,7 @@ SCHEMAS = {
 def with_calls(conversations: DataFrame) -> DataFrame:
     """Conversations in which every user turn calls ``lookup`` and the assistant turn behind it is the result.
 
-    The call's arguments are the first 80 characters of the question and the turn's number as its limit; each
+    The call's arguments are the whole question and the turn's number as its limit; each
     call comes after that of the user turn before. So short questions and late turns break the schema, and
     questions without an answer stay unlinked.
     """
@@ -219,7 +219,7 @@ def with_calls(conversations: DataFrame) -> DataFrame:
     made = F.struct(
         call_id.alias("id"),
         F.lit("lookup").alias("name"),
-        F.to_json(F.struct(F.substring("text", 1, 80).alias("query"), F.col("turn").alias("limit"))).alias("arguments"),
+        F.to_json(F.struct(F.col("text").alias("query"), F.col("turn").alias("limit"))).alias("arguments"),
         F.array(F.concat_ws("-", F.lit("call"), "conv_id", (F.col("turn") - 2).cast("string"))).alias("after"),
     )
     asked = F.concat_ws("-", F.lit("call"), "conv_id", (F.col("turn") - 1).cast("string"))
