@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
 import json
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -106,20 +108,58 @@ def ordered(calls: list[dict]) -> tuple[list[dict], list[dict]]:
 
     Names of calls that are not in the conversation bind nothing.
     """
-    by_id = {c["call_id"]: c for c in calls if c["call_id"] is not None}
-    waiting = {i: {a for a in (c["after"] or []) if a in by_id} for i, c in enumerate(calls)}
-    done, rest = [], sorted(range(len(calls)), key=lambda i: (calls[i]["turn"], calls[i]["place"]))
-    while rest:
-        ready = next((i for i in rest if not waiting[i]), None)
-        if ready is None:
-            break
-        done.append(calls[ready])
-        rest.remove(ready)
-        for open_after in waiting.values():
-            open_after.discard(calls[ready]["call_id"])
+    known = {c["call_id"] for c in calls if c["call_id"] is not None}
+    behind, waits = defaultdict(list), []
+    for i, c in enumerate(calls):
+        before = {a for a in (c["after"] or []) if a in known}
+        waits.append(len(before))
+        for a in before:
+            behind[a].append(i)
+    ready = [(c["turn"], c["place"], i) for i, c in enumerate(calls) if not waits[i]]
+    heapq.heapify(ready)
+    done = []
+    while ready:
+        first = calls[heapq.heappop(ready)[2]]
+        done.append(first)
+        for i in behind.pop(first["call_id"], ()):
+            waits[i] -= 1
+            if not waits[i]:
+                heapq.heappush(ready, (calls[i]["turn"], calls[i]["place"], i))
+    rest = sorted((i for i, n in enumerate(waits) if n), key=lambda i: (calls[i]["turn"], calls[i]["place"]))
     return done, [calls[i] for i in rest]
 
 
+def judged(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+    """``calls`` of :func:`linked`, each row by itself: ``invalid``, and ``piece``, its JSON up to the result, instead of name and arguments.
+
+    Both are null for calls that no document lists.
+    """
+    kept = [c for c in calls.columns if c not in ("name", "arguments")]
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pieces, invalid = [], []
+            for name, text, call_id, status in zip(*(batch[c].to_pylist() for c in ("name", "arguments", "call_id", "status")), strict=True):
+                if status not in ("ok", "early"):
+                    pieces.append(None)
+                    invalid.append(None)
+                    continue
+                try:
+                    arguments = json.loads(text or "{}", parse_constant=lambda c: (_ for _ in ()).throw(ValueError(c)))
+                    errors = faults(arguments, schemas[name]) if name in schemas else ["$: unknown tool"]
+                except ValueError:
+                    arguments, errors = text, ["$: not JSON"]
+                if status == "early":
+                    errors.append("$: answered before it was called")
+                pieces.append(canonical({"arguments": arguments, "errors": errors, "id": call_id, "name": name})[:-1])
+                invalid.append(bool(errors))
+            arrays = [*(batch[c] for c in kept), pa.array(pieces, pa.string()), pa.array(invalid, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "piece", "invalid"])
+
+    schema = ", ".join(f"`{c}` {calls.schema[c].dataType.simpleString()}" for c in kept)
+    return calls.mapInArrow(judge, f"{schema}, piece string, invalid boolean")
+
+
 def formatted(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """A canonical JSON document per conversation of ``messages`` (as for :func:`linked`) and what was found in it.
 
@@ -130,69 +170,65 @@ def formatted(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     ``tool_calls``; calls on a cycle come last. Null text is empty content; rows without ``conv_id`` are left
     out; a conversation without calls has none. Repeated rows are repeated messages.
 
-    One conversation is handled at a time; its messages arrive sorted, and only they are held.
+    Calls are parsed, checked and serialised row by row before they are grouped. One conversation is handled at a
+    time; its messages arrive sorted, and only their JSON and the calls' are held.
     """
-    calls = linked(messages)
+    calls = judged(linked(messages), schemas)
     rows = messages.select(
         "conv_id", F.lit(0).alias("kind"), "turn", F.lit(0).alias("place"), "role", "text", "result_of",
-        *[F.lit(None).cast(t).alias(c) for c, t in (("name", "string"), ("arguments", "string"), ("after", "array<string>"), ("status", "string"))],
+        *[F.lit(None).cast(t).alias(c) for c, t in (("after", "array<string>"), ("status", "string"), ("piece", "string"), ("invalid", "boolean"))],
     ).unionByName(
         calls.select(
             "conv_id", F.lit(1).alias("kind"), "turn", F.coalesce("place", F.lit(0)).alias("place"), F.lit(None).cast("string").alias("role"),
-            F.col("result").alias("text"), F.col("call_id").alias("result_of"), "name", "arguments", "after", "status",
+            F.col("result").alias("text"), F.col("call_id").alias("result_of"), "after", "status", "piece", "invalid",
         )
     )
-    order = ("conv_id", "kind", F.col("turn").asc_nulls_last(), "place", "role", "text", "result_of", "name", "arguments")
+    order = ("conv_id", "kind", F.col("turn").asc_nulls_last(), "place", "role", "text", "result_of")
     sent = rows.where("conv_id IS NOT NULL").repartition("conv_id").sortWithinPartitions(*order)
 
-    def document(conv_id: int, held: list[dict]) -> dict:
-        said = [
-            {"role": r["role"], "content": r["text"] or ""} | ({"tool_call_id": r["result_of"]} if r["role"] == "tool" else {})
-            for r in held
-            if r["kind"] == 0
-        ]
-        made = [r | {"call_id": r["result_of"]} for r in held if r["kind"] == 1]
-        linked_calls, cyclic = ordered([r for r in made if r["status"] in ("ok", "early")])
-        out, invalid = [], 0
-        for r in linked_calls + cyclic:
-            try:
-                arguments = json.loads(r["arguments"] or "{}", parse_constant=lambda c: (_ for _ in ()).throw(ValueError(c)))
-                errors = faults(arguments, schemas[r["name"]]) if r["name"] in schemas else ["$: unknown tool"]
-            except ValueError:
-                arguments, errors = r["arguments"], ["$: not JSON"]
-            if r["status"] == "early":
-                errors.append("$: answered before it was called")
-            invalid += bool(errors)
-            out.append(
-                {"id": r["call_id"], "name": r["name"], "arguments": arguments, "valid": not errors, "errors": errors, "result": r["text"] or ""}
-            )
+    def said(r: dict) -> str:
+        return canonical({"role": r["role"], "content": r["text"] or ""} | ({"tool_call_id": r["result_of"]} if r["role"] == "tool" else {}))
+
+    def made(r: dict) -> dict:
+        document = None
+        if r["piece"] is not None:
+            document = f'{r["piece"]},"result":{canonical(r["text"] or "")},"valid":{canonical(not r["invalid"])}}}'
+        return {"call_id": r["result_of"], "document": document} | {c: r[c] for c in ("turn", "place", "after", "invalid")}
+
+    def document(conv_id: int, messages: list[str], calls: list[dict]) -> dict:
+        done, cyclic = ordered([c for c in calls if c["document"] is not None])
+        out = done + cyclic
+        invalid = sum(c["invalid"] for c in out)
         return {
             "conv_id": conv_id,
-            "n_calls": sum(r["turn"] is not None for r in made),
+            "n_calls": sum(c["turn"] is not None for c in calls),
             "n_ok": len(out) - invalid,
-            "n_unlinked": len(made) - len(out),
+            "n_unlinked": len(calls) - len(out),
             "n_invalid": invalid,
             "n_cyclic": len(cyclic),
-            "document": canonical({"messages": said, "tool_calls": out}),
+            "document": f'{{"messages":[{",".join(messages)}],"tool_calls":[{",".join(c["document"] for c in out)}]}}',
         }
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
             [("conv_id", pa.int64()), *((c, pa.int64()) for c in ("n_calls", "n_ok", "n_unlinked", "n_invalid", "n_cyclic")), ("document", pa.string())]
         )
-        conv, held = None, []
+        conv, messages, calls = None, [], []
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                if held and row["conv_id"] != conv:
-                    out.append(document(conv, held))
-                    held = []
+                if (messages or calls) and row["conv_id"] != conv:
+                    out.append(document(conv, messages, calls))
+                    messages, calls = [], []
                 conv = row["conv_id"]
-                held.append(row)
+                if row["kind"]:
+                    calls.append(made(row))
+                else:
+                    messages.append(said(row))
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
-        if held:
-            yield pa.RecordBatch.from_pylist([document(conv, held)], schema=schema)
+        if messages or calls:
+            yield pa.RecordBatch.from_pylist([document(conv, messages, calls)], schema=schema)
 
     return sent.withColumn("conv_id", F.col("conv_id").cast("long")).mapInArrow(write, FORMATTED)
 
