@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from changeflow.llm import (
+    alignment,
     exact_dedup,
+    hard_negatives,
     jaccard,
     line_chunks,
     mixing,
     packing,
     quality,
+    simhash,
     suffix_dedup,
     tool_calls,
     topk,
@@ -26,6 +29,9 @@ _MODULES = {
     "op8_best_fit_packing": packing,
     "op9_mixing": mixing,
     "op10_top_k": topk,
+    "op11_alignment": alignment,
+    "op12_hard_negatives": hard_negatives,
+    "op13_simhash": simhash,
 }
 
 QUERIES = {name: module.query for name, module in _MODULES.items()} | {"op5_line_chunks": line_chunks.runs_query}
