@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +16,19 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def own_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings for what is started within, for instance a stream; the session has its own again afterwards."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory for checkpoints and staged files, reachable by every executor.
 

@@ -1,32 +1,35 @@
-"""Current state kept up to date batch by batch instead of rebuilt.
+"""Current state kept up to date by a streaming aggregation.
 
-A state is a folder with a base and the winners of each batch since, its deltas. Which of them belong
-together is said by the newest file under ``pointers``; files are never changed, so a reader sees one version
-whatever is being written. A batch costs what it holds; now and then the whole is folded into a new base.
-Deleted keys stay in it, or a late older event would bring a row back. No watermark: an event counts however
-late it comes.
+The newest event of every key is the state of the aggregation, held by Spark's RocksDB state store. A micro-batch
+gives the newest events of the keys that it touched; they become one partition of a table, by stream and batch, so a batch
+that is run again takes the place of its first attempt. Whoever reads the table takes the newest event per key.
+Deleted keys stay in it, or a late older event would bring a row back. No watermark: an event counts however late
+it comes.
 """
 
 from __future__ import annotations
 
 import hashlib
-import json
-import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.current_state import flat_events, newest_per_key
 from changeflow.plans.shop import ShopTable
 from changeflow.plans.silver import with_times
+from changeflow.session import own_conf
 
-#: Deltas after which they are folded into a new base.
-FOLD_EVERY = 50
-
-EMPTY = {"base": None, "deltas": []}
+# Spark's settings for its state store.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+ONLY_OWN_PARTITIONS = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+#: The stream of partitions that :func:`compact` writes.
+SETTLED = "settled"
 
 
 def state_schema(table: ShopTable) -> T.StructType:
@@ -35,114 +38,79 @@ def state_schema(table: ShopTable) -> T.StructType:
     return T.StructType([image[c] for c in order] + T.StructType.fromDDL("op string, ts_ms bigint, lsn bigint").fields)
 
 
-def read_all(spark: SparkSession, table: ShopTable, path: str) -> DataFrame:
+def create_state(spark: SparkSession, table: ShopTable, target: str) -> None:
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in state_schema(table))
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {target} ({columns}, stream string, batch bigint) USING parquet PARTITIONED BY (stream, batch)")
+
+
+def read_all(spark: SparkSession, table: ShopTable, target: str) -> DataFrame:
     """Newest event of every key, deleted ones included; empty if nothing was written yet."""
-    return _read(spark, table, path, _current(spark, path)[1])
+    if not spark.catalog.tableExists(target):
+        return spark.createDataFrame([], state_schema(table))
+    return newest_per_key(spark.table(target).drop("stream", "batch"), table.key, table.columns)
 
 
-def read_current(spark: SparkSession, table: ShopTable, path: str) -> DataFrame:
-    rows = read_all(spark, table, path).where("op <> 'd'").select(table.key, *table.columns)
+def read_current(spark: SparkSession, table: ShopTable, target: str) -> DataFrame:
+    rows = read_all(spark, table, target).where("op <> 'd'").select(table.key, *table.columns)
     return with_times(rows, table)
 
 
-def _read(spark: SparkSession, table: ShopTable, path: str, version: dict) -> DataFrame:
-    schema = state_schema(table)
-    folders = [f for f in [version["base"], *(d["folder"] for d in version["deltas"])] if f]
-    if not folders:
-        return spark.createDataFrame([], schema)
-    parts = [spark.read.schema(schema).parquet(f"{path}/{f}") for f in folders]
-    if len(parts) == 1:
-        return parts[0]
-    return newest_per_key(reduce(DataFrame.unionByName, parts), table.key, table.columns)
+def newest_events(envelopes: DataFrame, table: ShopTable) -> DataFrame:
+    """The newest event of every key as an aggregate, which streams allow, in the columns of the state."""
+    content = ", ".join(("ts_ms", "lsn", "op", *table.columns))
+    newest = f"max_by(struct({content}), struct({content}))"
+    flat = flat_events(envelopes, table.key, table.columns)
+    return flat.groupBy(table.key).agg(F.expr(newest).alias("e")).selectExpr(table.key, *[f"e.{c}" for c in state_schema(table).names[1:]])
 
 
-def merge_batch(table: ShopTable, path: str, stream: str, fold_every: int = FOLD_EVERY) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that adds the winners of a micro-batch of envelopes to the state at ``path``.
+def write_batch(reader: SparkSession, table: ShopTable, target: str, stream: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes a batch's rows of the state as the partition of its stream and number.
 
-    A batch that is run again takes the place of its first attempt; ``stream`` tells the batches of one stream
-    from those of another. Merging the same events twice changes nothing. Only one stream may write a state at
-    a time: a second one meets the first at a pointer that exists already, and stops.
+    Batches run in a session of their own, so ``reader``, the one that started the stream, is told of new files.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        number, version = _current(spark, path)
-        folder = f"delta-{uuid.uuid4().hex}"
-        winners = newest_per_key(flat_events(batch, table.key, table.columns), table.key, table.columns)
-        winners.write.parquet(f"{path}/{folder}")
-        kept = [d for d in version["deltas"] if (d["stream"], d["batch"]) != (stream, batch_id)]
-        version = {"base": version["base"], "deltas": [*kept, {"stream": stream, "batch": batch_id, "folder": folder}]}
-        _point(spark, path, number + 1, version)
-        if len(version["deltas"]) >= fold_every:
-            fold(spark, table, path)
-
-    return merge
-
-
-def fold(spark: SparkSession, table: ShopTable, path: str) -> None:
-    """Write base and deltas as one new base. Files that neither this nor the version before names are dropped."""
-    number, version = _current(spark, path)
-    if not version["deltas"]:
-        return
-    folder = f"base-{uuid.uuid4().hex}"
-    _read(spark, table, path, version).write.parquet(f"{path}/{folder}")
-    _point(spark, path, number + 1, {"base": folder, "deltas": []})
-    named = {folder, version["base"], *(d["folder"] for d in version["deltas"])}
-    root, fs = _file_system(spark, path)
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith(("base-", "delta-")) and name not in named:
-            fs.delete(status.getPath(), True)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        create_state(batch.sparkSession, table, target)
+        rows = batch.select(*state_schema(table).names, F.lit(stream).alias("stream"), F.lit(batch_id).cast("bigint").alias("batch"))
+        with own_conf(batch.sparkSession, ONLY_OWN_PARTITIONS):
+            rows.write.mode("overwrite").insertInto(target)
+        reader.catalog.refreshTable(target)
+
+    return write
 
 
 def maintain(
     envelopes: DataFrame,
     table: ShopTable,
-    path: str,
+    target: str,
     checkpoint: str,
     available_now: bool = False,
     interval: str = "10 seconds",
-    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
-    """Keep the current state of one table from a stream of its envelopes."""
+    """Keep the current state of one table from a stream of its envelopes.
+
+    The checkpoint holds the aggregation's state. Without it the stream starts over under the same name: its
+    batches replace those of before, and what they have not reached yet stands until then.
+    """
+    spark = envelopes.sparkSession
     stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
-    writer = envelopes.writeStream.foreachBatch(merge_batch(table, path, stream, fold_every))
-    writer = writer.option("checkpointLocation", checkpoint)
+    writer = newest_events(envelopes, table).writeStream.outputMode("update")
+    writer = writer.foreachBatch(write_batch(spark, table, target, stream)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
-    return writer.start()
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _current(spark: SparkSession, path: str) -> tuple[int, dict]:
-    """Number and content of the newest pointer."""
-    folder, fs = _file_system(spark, f"{path}/pointers")
-    if not fs.exists(folder):
-        return 0, EMPTY
-    names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    numbers = [int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith(".")]
-    if not numbers:
-        return 0, EMPTY
-    newest, _ = _file_system(spark, f"{path}/pointers/{max(numbers):012d}.json")
-    stream = fs.open(newest)
-    try:
-        return max(numbers), json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-
-
-def _point(spark: SparkSession, path: str, number: int, version: dict) -> None:
-    """Written aside and renamed, so a pointer is whole or not there."""
-    aside, fs = _file_system(spark, f"{path}/pointers/.{uuid.uuid4().hex}")
-    final, _ = _file_system(spark, f"{path}/pointers/{number:012d}.json")
-    stream = fs.create(aside)
-    try:
-        stream.write(bytearray(json.dumps(version).encode()))
-    finally:
-        stream.close()
-    if fs.exists(final) or not fs.rename(aside, final):
-        raise RuntimeError(f"{path}: another writer made version {number}")
+    with own_conf(spark, STATE_STORE):
+        return writer.start()
+
+
+def compact(spark: SparkSession, table: ShopTable, target: str) -> None:
+    """Write the newest events as one partition and drop those they came from.
+
+    If it stops in between, events are there twice, which readers absorb; a reader that still lists dropped files
+    has to start again.
+    """
+    found = [r.partition for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
+    old = [dict(p.split("=", 1) for p in f.split("/")) for f in found]
+    batch = 1 + max((int(p["batch"]) for p in old if p["stream"] == SETTLED), default=0)
+    write_batch(spark, table, target, SETTLED)(read_all(spark, table, target), batch)
+    for p in old:
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION (stream = '{p['stream']}', batch = {p['batch']})")
+    spark.catalog.refreshTable(target)

@@ -36,17 +36,16 @@ def stream_bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql.silver("order_items"))
 def stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events come in any order over several batches, so many are late and meet stored rows."""
-    root = shared_dir(spark, "state")
+    root, target = shared_dir(spark, "state"), f"default.state_{uuid.uuid4().hex}"
     events = order_item_events(table(spark, sf_dir, "lineitem"))
     dealt = F.pmod(F.xxhash64("before", "ts_ms"), F.lit(BATCHES))
     events.withColumn("batch", dealt).repartition(BATCHES, "batch").drop("batch").write.parquet(f"{root}/events")
     files = len(spark.read.parquet(f"{root}/events").inputFiles())
     per_batch = max(1, -(-files // BATCHES))
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", per_batch).parquet(f"{root}/events")
-    maintain(stream, ORDER_ITEMS, f"{root}/order_items", f"{root}/checkpoint", True, fold_every=4).awaitTermination()
-    for done in ("events", "checkpoint"):
-        remove_dir(spark, f"{root}/{done}")
-    return read_current(spark, ORDER_ITEMS, f"{root}/order_items")
+    maintain(stream, ORDER_ITEMS, target, f"{root}/checkpoint", True).awaitTermination()
+    remove_dir(spark, root)
+    return read_current(spark, ORDER_ITEMS, target)
 
 
 # The product stream before and after its row image grew and a number widened.

@@ -95,20 +95,23 @@ def write_in_parts(events, path, parts):
         share.coalesce(1).write.mode("append").parquet(path)
 
 
-def follow(spark, events, path, target, checkpoint, fold_every=50):
+def follow(spark, events, path, target, checkpoint):
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    query = state.maintain(stream, ORDERS, target, checkpoint, available_now=True, fold_every=fold_every)
+    query = state.maintain(stream, ORDERS, target, checkpoint, available_now=True)
     query.awaitTermination()
     return len([p for p in query.recentProgress if p.numInputRows])
 
 
-@pytest.mark.parametrize("fold_every", [2, 50])
-def test_stream_equals_batch(spark, tmp_path, fold_every):
+def batches(spark, target):
+    return {(r.stream, r.batch): r.n for r in spark.table(target).groupBy("stream", "batch").agg(F.count("*").alias("n")).collect()}
+
+
+def test_stream_equals_batch(spark, namespace, tmp_path):
     """Events in arbitrary batches, so that many come late, give what a full rebuild gives."""
     events = bronze(spark, "/root/testdata/sf0.001", "orders")
-    src, target, checkpoint = str(tmp_path / "src"), str(tmp_path / "t"), str(tmp_path / "c")
+    src, target, checkpoint = str(tmp_path / "src"), "bronze.state", str(tmp_path / "c")
     write_in_parts(events, src, 3)
-    assert follow(spark, events, src, target, checkpoint, fold_every) == 3
+    assert follow(spark, events, src, target, checkpoint) == 3
     same_rows(state.read_current(spark, ORDERS, target), silver.silver_orders(events))
     assert follow(spark, events, src, target, checkpoint) == 0
 
@@ -117,61 +120,93 @@ def test_stream_equals_batch(spark, tmp_path, fold_every):
     same_rows(state.read_current(spark, ORDERS, target), silver.silver_orders(events))
 
 
-def test_late_event_does_not_revive_a_deleted_key(spark, tmp_path):
-    target = str(tmp_path / "t")
-    merge = state.merge_batch(ORDERS, target, "s")
+def test_state_lies_in_rocksdb_and_leaves_the_session_alone(spark, namespace, tmp_path):
+    events = seed(spark, "orders")
+    src = str(tmp_path / "src")
+    events.coalesce(1).write.parquet(src)
+    follow(spark, events, src, "bronze.state", str(tmp_path / "c"))
+    held = [f.suffix for f in (tmp_path / "c" / "state").rglob("*") if f.is_file()]
+    assert ".changelog" in held or ".zip" in held
+    assert all(spark.conf.get(k, None) != v for k, v in state.STATE_STORE.items() if "provider" in k)
+
+
+def in_steps(spark, tmp_path, *steps):
+    """Each step's events as a file of their own; the stream is stopped and started again before every one."""
+    src = str(tmp_path / "src")
+    for events in steps:
+        events.coalesce(1).write.mode("append").parquet(src)
+        assert follow(spark, events, src, "bronze.state", str(tmp_path / "c")) == 1
+
+
+def test_late_event_does_not_revive_a_deleted_key(spark, namespace, tmp_path):
     row = (2, 2, "shipped", NOON, NOON)
-    merge(seed(spark, "orders"), 0)
-    merge(log(spark, "orders", [event("orders", "d", row, None, T0 + 50, 50)]), 1)
-    merge(log(spark, "orders", [event("orders", "u", row, row, T0 + 10, 40)]), 2)
-    assert {r.order_id for r in state.read_current(spark, ORDERS, target).collect()} == {1, 3}
-    assert {r.order_id for r in state.read_all(spark, ORDERS, target).collect()} == {1, 2, 3}
+    in_steps(
+        spark,
+        tmp_path,
+        seed(spark, "orders"),
+        log(spark, "orders", [event("orders", "d", row, None, T0 + 50, 50)]),
+        log(spark, "orders", [event("orders", "u", row, row, T0 + 10, 40)]),
+    )
+    assert {r.order_id for r in state.read_current(spark, ORDERS, "bronze.state").collect()} == {1, 3}
+    assert {r.order_id: r.op for r in state.read_all(spark, ORDERS, "bronze.state").collect()} == {1: "r", 2: "d", 3: "r"}
 
 
 DELIVERED = event("orders", "u", None, (2, 2, "delivered", NOON, NOON), T0 + 5, 90)
 
 
-def test_batch_run_again_replaces_its_first_attempt(spark, tmp_path):
-    target = str(tmp_path / "t")
-    merge = state.merge_batch(ORDERS, target, "s")
-    merge(seed(spark, "orders"), 0)
+def newest(spark, *events):
+    return state.newest_events(log(spark, "orders", list(events)), ORDERS)
+
+
+def test_batch_run_again_replaces_its_first_attempt(spark, namespace):
+    write = state.write_batch(spark, ORDERS, "bronze.state", "s")
+    write(state.newest_events(seed(spark, "orders"), ORDERS), 0)
     for _ in range(2):
-        merge(log(spark, "orders", [DELIVERED]), 1)
-    got = {r.order_id: r.status for r in state.read_current(spark, ORDERS, target).collect()}
+        write(newest(spark, DELIVERED), 1)
+    got = {r.order_id: r.status for r in state.read_current(spark, ORDERS, "bronze.state").collect()}
     assert got == {1: "placed", 2: "delivered", 3: "placed"}
-    assert len(state._current(spark, target)[1]["deltas"]) == 2
+    assert batches(spark, "bronze.state") == {("s", 0): 3, ("s", 1): 1}
     # the first batch of another stream is another batch
-    state.merge_batch(ORDERS, target, "other")(log(spark, "orders", [DELIVERED]), 0)
-    assert state.read_current(spark, ORDERS, target).count() == 3
-
-
-def test_reader_sees_one_version_through_a_fold(spark, tmp_path):
-    target = str(tmp_path / "t")
-    merge = state.merge_batch(ORDERS, target, "s")
-    merge(seed(spark, "orders"), 0)
-    before = state.read_current(spark, ORDERS, target)
-    merge(log(spark, "orders", [DELIVERED]), 1)
-    state.fold(spark, ORDERS, target)
-    assert {r.status for r in before.collect()} == {"placed", "shipped"}
-    assert state.read_all(spark, ORDERS, target).count() == 3
-    assert len(list((tmp_path / "t").glob("base-*"))) == 1
-
-
-def test_a_batch_costs_what_it_holds(spark, tmp_path):
-    target = str(tmp_path / "t")
-    merge = state.merge_batch(ORDERS, target, "s")
-    merge(bronze(spark, "/root/testdata/sf0.01", "orders"), 0)
-    size = lambda: sum(f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet"))
-    first = size()
-    merge(log(spark, "orders", [DELIVERED]), 1)
-    assert size() - first < first / 20
-
-
-def test_two_writers_do_not_mix(spark, tmp_path):
-    target = str(tmp_path / "t")
-    state.merge_batch(ORDERS, target, "s")(seed(spark, "orders"), 0)
-    with pytest.raises(RuntimeError, match="another writer"):
-        state._point(spark, target, 1, state.EMPTY)
+    state.write_batch(spark, ORDERS, "bronze.state", "other")(newest(spark, DELIVERED), 0)
+    assert batches(spark, "bronze.state") == {("s", 0): 3, ("s", 1): 1, ("other", 0): 1}
+    assert state.read_current(spark, ORDERS, "bronze.state").count() == 3
+
+
+def test_compact_keeps_the_newest_of_all_keys(spark, namespace):
+    write = state.write_batch(spark, ORDERS, "bronze.state", "s")
+    write(state.newest_events(seed(spark, "orders"), ORDERS), 0)
+    write(newest(spark, DELIVERED, event("orders", "d", (3, 3, "placed", NOON, NOON), None, T0 + 9, 91)), 1)
+    before = {tuple(r) for r in state.read_all(spark, ORDERS, "bronze.state").collect()}
+    for settled in (1, 2):
+        state.compact(spark, ORDERS, "bronze.state")
+        assert batches(spark, "bronze.state") == {(state.SETTLED, settled): 3}
+        assert {tuple(r) for r in state.read_all(spark, ORDERS, "bronze.state").collect()} == before
+    # a batch from before that comes again changes nothing
+    write(state.newest_events(seed(spark, "orders"), ORDERS), 0)
+    assert {tuple(r) for r in state.read_all(spark, ORDERS, "bronze.state").collect()} == before
+
+
+def test_a_batch_costs_what_it_holds(spark, namespace, tmp_path):
+    """A batch writes the keys that it touched, whatever the state holds."""
+    many = bronze(spark, "/root/testdata/sf0.001", "orders")
+    in_steps(spark, tmp_path, many, log(spark, "orders", [DELIVERED]))
+    sizes = {b: n for (_, b), n in batches(spark, "bronze.state").items()}
+    assert sizes == {0: 1500, 1: 1}
+
+
+def test_events_without_key_time_or_code(spark, namespace, tmp_path):
+    odd = [
+        event("orders", None, None, (1, 1, "x", NOON, NOON), T0 + 10, 50),
+        event("orders", "u", None, (2, 2, "lost", NOON, NOON), None, 99),
+        event("orders", "c", None, (None, 1, "placed", NOON, NOON), T0, 71),
+    ]
+    events = seed(spark, "orders", odd)
+    in_steps(spark, tmp_path, seed(spark, "orders"), log(spark, "orders", odd))
+    same_rows(state.read_current(spark, ORDERS, "bronze.state"), silver.silver_orders(events))
+
+
+def test_no_state_yet(spark):
+    assert state.read_current(spark, ORDERS, "default.none_yet").isEmpty()
 
 
 def test_row_image_grows_and_widens(spark, tmp_path):
