@@ -42,9 +42,16 @@ def gold_order_summary(
     Orders and customers hold a key at most once, so summing the items first gives what grouping the
     joined rows would, without carrying names through an aggregate.
     """
+    return gold_from_totals(orders, customers, order_totals(items), hot_customers)
+
+
+def gold_from_totals(
+    orders: DataFrame, customers: DataFrame, totals: DataFrame, hot_customers: DataFrame | None = None
+) -> DataFrame:
+    """The mart from totals that hold an order at most once; an order without totals has no items."""
     hot = hot_keys(orders, "customer_id") if hot_customers is None else hot_customers
     summed = orders.select("order_id", "customer_id", "status", "placed_at").join(
-        order_totals(items), "order_id", "left"
+        totals, "order_id", "left"
     )
     return orders_with_customer(summed, customers, hot).select(
         "order_id",
