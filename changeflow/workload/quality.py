@@ -11,9 +11,9 @@ from changeflow.operators import audit, contracts
 from changeflow.operators import expectations as ex
 from changeflow.plans.checks import GOLD_CHECKS
 from changeflow.plans.gold import GOLD_ORDER_SUMMARY
-from changeflow.plans.shop import ORDER_STATUSES, ORDERS, PRODUCTS, TABLES, ShopTable
+from changeflow.plans.shop import ORDER_ITEMS, ORDER_STATUSES, ORDERS, PRODUCTS, TABLES, ShopTable
 from changeflow.workload import sql
-from changeflow.workload.derive import base_rows
+from changeflow.workload.derive import base_rows, order_item_events, table
 from changeflow.workload.registry import query
 from changeflow.workload.state import gold_of, silver_of
 
@@ -254,7 +254,7 @@ def layer_disagreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.verdict(checked).select(F.lit(shape_ok).alias("shape_ok"), F.col("success").alias("values_ok"))
 
 
-CONTRACTS = {"products": PRODUCTS.image, "orders": ORDERS.image}
+CONTRACTS = {t.name: t.image for t in (PRODUCTS, ORDERS, ORDER_ITEMS)}
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +278,9 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = base_rows(spark, sf_dir, name).drop("base_ms")
         return rows.select(F.lit(name).alias("subject"), F.to_json(F.struct("*")).alias("value"))
 
-    return reduce(DataFrame.unionByName, [products, plain("orders"), plain("customers")])
+    items = order_item_events(table(spark, sf_dir, "lineitem")).select("before.*")
+    items = items.select(F.lit("order_items").alias("subject"), F.to_json(F.struct("*")).alias("value"))
+    return reduce(DataFrame.unionByName, [products, plain("orders"), plain("customers"), items])
 
 
 @query(
@@ -293,6 +295,8 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
               UNION ALL SELECT 'products', 'legacy_code', 'extra' FROM readable WHERE k % 19 = 0
               UNION ALL SELECT 'orders', f, 'ok' FROM orders,
                      (VALUES ('order_id'), ('customer_id'), ('status'), ('placed_at'), ('updated_at')) t(f)
+              UNION ALL SELECT 'order_items', f, 'ok' FROM lineitem,
+                     (VALUES ('order_item_id'), ('order_id'), ('product_id'), ('quantity'), ('unit_price_cents')) t(f)
               UNION ALL SELECT 'customers', '*', 'unchecked' FROM customer)
        SELECT subject, field, verdict, count(*) AS n FROM v GROUP BY ALL"""
 )
@@ -309,6 +313,7 @@ def schema_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
                      THEN 'quarantined' ELSE 'accepted' END AS verdict
          FROM part
          UNION ALL SELECT 'orders', '*', 'accepted' FROM orders
+         UNION ALL SELECT 'order_items', '*', 'accepted' FROM lineitem
          UNION ALL SELECT 'customers', '*', 'accepted' FROM customer)
        SELECT subject, field, verdict, count(*) AS n FROM v GROUP BY ALL"""
 )
@@ -318,3 +323,54 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("subject", "field", "verdict")
         .agg(F.count("*").alias("n"))
     )
+
+
+# Versions of two contracts by product key; the second subject takes any change.
+VERSIONS = (
+    ("products", 0, "product_id bigint, price int", None, ()),
+    ("products", 50, "product_id bigint, price bigint", None, ()),
+    ("products", 120, "product_id bigint, price double, tags array<string>", None, ("tags",)),
+    ("prices", 20, "product_id bigint, price int", "NONE", ()),
+    ("prices", 50, "product_id bigint, price decimal(12,2)", None, ()),
+    ("prices", 120, "product_id bigint, price boolean", None, ()),
+)
+
+
+@query(
+    """WITH p AS (SELECT s AS subject, p_partkey AS k,
+                         CASE WHEN p_partkey >= 120 THEN 3 WHEN p_partkey >= 50 THEN 2
+                              WHEN s = 'products' OR p_partkey >= 20 THEN 1 END AS version,
+                         CASE WHEN p_partkey % 11 = 0 THEN 'text' WHEN p_partkey % 13 = 0 THEN 'large'
+                              WHEN p_partkey % 7 = 0 THEN 'cents' WHEN p_partkey % 5 = 0 THEN 'mills' ELSE 'int' END AS price
+                  FROM part, (VALUES ('products'), ('prices')) t(s)),
+            v AS (
+              SELECT subject, version, '*' AS field, 'unchecked' AS verdict FROM p WHERE version IS NULL
+              UNION ALL SELECT subject, version, 'product_id', 'ok' FROM p WHERE version IS NOT NULL
+              UNION ALL SELECT subject, version, 'price',
+                     CASE WHEN price = 'text' OR (subject = 'prices' AND version = 3) THEN 'type_mismatch'
+                          WHEN version = 1 THEN CASE price WHEN 'large' THEN 'out_of_range' WHEN 'int' THEN 'ok' ELSE 'type_mismatch' END
+                          WHEN subject = 'prices' THEN CASE price WHEN 'mills' THEN 'out_of_range' ELSE 'ok' END
+                          WHEN version = 2 THEN CASE WHEN price IN ('cents', 'mills') THEN 'type_mismatch' ELSE 'ok' END
+                          ELSE 'ok' END
+              FROM p WHERE version IS NOT NULL
+              UNION ALL SELECT subject, version, 'tags',
+                     CASE WHEN subject = 'prices' OR version < 3 THEN 'extra' WHEN k % 3 = 0 THEN 'type_mismatch' ELSE 'ok' END
+              FROM p WHERE version IS NOT NULL AND k % 3 < 2
+              UNION ALL SELECT subject, version, 'tags', 'missing' FROM p WHERE subject = 'products' AND version = 3 AND k % 3 = 2)
+       SELECT subject, version, field, verdict, count(*) AS n FROM v GROUP BY ALL"""
+)
+def contract_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices as text, too large, with cents and with mills; tags of both kinds or none; judged by the version of their time."""
+    registry = spark.createDataFrame([], contracts.REGISTRY)
+    for subject, since, contract, rule, defaults in VERSIONS:
+        registry = registry.unionByName(contracts.register(registry, subject, since, contract, rule, defaults))
+    k = F.col("product_id")
+    price = (
+        F.when(k % 11 == 0, '"12"').when(k % 13 == 0, "3000000000").when(k % 7 == 0, "12.75").when(k % 5 == 0, "12.345")
+        .otherwise(F.col("price_cents").cast("string"))
+    )
+    tags = F.when(k % 3 == 0, ',"tags":["a",1]').when(k % 3 == 1, ',"tags":["a",null]').otherwise("")
+    text = F.concat(F.lit('{"product_id":'), k.cast("string"), F.lit(',"price":'), price, tags, F.lit("}"))
+    subject = F.explode(F.array(F.lit("products"), F.lit("prices"))).alias("subject")
+    rows = base_rows(spark, sf_dir, "products").select(subject, k.alias("position"), text.alias("value"))
+    return contracts.versioned_conformance(rows, registry, 1000)
