@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from changeflow.operators.evolve import to_schema, unified_schema
-from changeflow.sources.envelope import source_struct
+from changeflow.sources.envelope import event_key, source_struct
 
 
 def read_jdbc_snapshot(
@@ -65,3 +65,33 @@ def apply_changes(old: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     clear = changes.where("op <> '?'")
     kept = to_schema(old.join(clear.select(F.col("k").alias(key)), key, "left_anti"), changes.schema["after"].dataType)
     return kept.unionByName(clear.where("op <> 'd'").select("after.*"))
+
+
+def chunk_of(key: Column, size: int) -> Column:
+    """The number of the key range of ``size`` that a key lies in; the null key has a chunk of its own."""
+    return F.coalesce(F.floor(key / size), F.lit(-(2**62)).cast("bigint"))
+
+
+def merge_snapshot(rows: DataFrame, windows: DataFrame, log: DataFrame, key: str, size: int, table: str) -> DataFrame:
+    """Envelopes of a snapshot that was read chunk by chunk while the log ran on, and of that log.
+
+    ``rows`` are the rows as read. ``windows`` has for each chunk of keys (:func:`chunk_of`) the log's positions before and after
+    it was read, ``chunk, low, high``, each a struct ``ts_ms, lsn``; ``log`` holds every event after the lowest ``low``. A row whose
+    key has an event in its chunk's window may be older or newer than that event, so it is dropped: the event holds the
+    whole row. All others were the same throughout the window; they become read events at its end, later than what
+    they show and earlier than what follows. Each chunk depends on its own window only. Rows of a chunk without a window
+    are not taken.
+    """
+    place = F.struct(F.col("ts_ms"), F.col("source.lsn").alias("lsn"))
+    moved = log.select(event_key(key).alias("moved"), place.alias("at")).withColumn("chunk", chunk_of(F.col("moved"), size))
+    moved = moved.join(windows, "chunk").where((F.col("at") > F.col("low")) & (F.col("at") <= F.col("high"))).select("moved").distinct()
+    still = rows.join(moved, F.col(key).eqNullSafe(F.col("moved")), "left_anti")
+    image = F.struct(*[F.col(c) for c in rows.columns])
+    read = still.select(chunk_of(F.col(key), size).alias("chunk"), image.alias("row")).join(windows.select("chunk", "high"), "chunk")
+    return read.select(
+        F.lit(None).cast(rows.schema).alias("before"),
+        F.col("row").alias("after"),
+        F.lit("r").alias("op"),
+        F.col("high.ts_ms").cast("bigint").alias("ts_ms"),
+        source_struct(table, F.col("high.lsn"), F.col("high.ts_ms")).alias("source"),
+    ).unionByName(log.select("before", "after", "op", "ts_ms", "source"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.operators.current_state import deleted_keys
+from changeflow.operators.current_state import current_state, deleted_keys
 from changeflow.operators.skew import hot_keys
 from changeflow.plans import gold, silver
 from changeflow.plans.shop import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, ShopTable
-from changeflow.sources.capture import snapshot_envelopes
+from changeflow.sources.capture import chunk_of, merge_snapshot, snapshot_envelopes
+from changeflow.sources.envelope import event_key
 from changeflow.workload import sql
 from changeflow.workload.derive import bronze, hot_customer_log, iso
 from changeflow.workload.registry import query
@@ -108,4 +109,33 @@ def gold_order_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_millis(gold_of(spark, sf_dir))
 
 
+#: Keys of a chunk, when the log that is still there begins, and how far chunks and the ends of their windows are apart.
+CHUNK, LOG_FROM, CHUNK_MS, WINDOW_MS = 500, 788_918_400_000, 86_400_000 * 9, 86_400_000 * 400
+
+
+def chunked_snapshot(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of the orders as the readers of their chunks saw them, the chunks' windows, and the log since the first.
+
+    A row that is inserted in its chunk's window is seen half a minute later, before its updates; others halfway through.
+    """
+    key = event_key(ORDERS.key)
+    low = F.lit(LOG_FROM) + F.pmod(F.col("chunk"), F.lit(40)) * CHUNK_MS
+    at = [F.struct((low + i * WINDOW_MS).alias("ts_ms"), F.lit(0).cast("bigint").alias("lsn")).alias(n) for i, n in enumerate(("low", "high"))]
+    log = log.withColumns({"key": key, "chunk": chunk_of(key, CHUNK)})
+    windows = log.select("chunk").distinct().select("chunk", *at)
+    begun = log.where("op IN ('r', 'c')").groupBy("key").agg(F.min("ts_ms").alias("begun"))
+    half = F.col("low.ts_ms") + WINDOW_MS // 2
+    inside = (F.col("begun") >= F.col("low.ts_ms")) & (F.col("begun") < F.col("high.ts_ms") - 60_000)
+    seen = log.join(windows, "chunk").join(begun, "key").where(F.col("ts_ms") <= F.when(inside, F.col("begun") + 30_000).otherwise(half))
+    rows = current_state(seen, ORDERS.key, ORDERS.columns)
+    return rows, windows, log.where(F.col("ts_ms") >= LOG_FROM).drop("key", "chunk")
+
+
+@query(sql.silver("orders"))
+def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of the log is lost; chunks were read at different times, so many rows are stale or ahead of it."""
+    rows, windows, log = chunked_snapshot(bronze(spark, sf_dir, "orders"))
+    return in_millis(silver.silver_orders(merge_snapshot(rows, windows, log, ORDERS.key, CHUNK, "orders")))
+
+
 __all__ = ["PRODUCTS", "gold_of", "in_millis", "silver_of"]
