@@ -3,13 +3,15 @@
 Two sets link if ``100 * |intersection| >= 75 * |union|``, that is ``7 * |intersection| >= 3 * (|s| + |t|)``.
 
 1. Every document's set of shingles is profiled: size, digests, smallest hashes under three permutations. Equal
-   sets are one node from here on. A count-min sketch of fixed size orders shingles, rare ones first.
+   sets are one node from here on. Shingles that many sets hold are counted; the order of shingles puts them last.
 2. Nodes that share a smallest hash are compared to the least node among them: a star, not all pairs. A node so
    linked joins its leader's family and keeps what it has more and less than the leader.
 3. An inverted index over prefixes: linked sets share a shingle among the first quarter of both. Lists whose sets
-   are all in one component already are skipped whole, and within a list blocks are skipped by size and position.
-4. Candidates between components are checked exactly, the likeliest of each component before all others. A leader's overlap with a set is computed once; those of its
-   family are derived from it by the few shingles they have more or less.
+   are all in one component already are skipped whole. Each list's components are compared to one of its sets, twice.
+4. What is left is indexed by family: of each list a family has a row per size, and within a list blocks are skipped by
+   size and position. A pair of families is one candidate, however many members meet.
+5. The leaders of two families are compared exactly. That bounds the overlap of all their members, whose sets are the
+   leader's but for a few shingles; only members that could still link are compared, their overlaps derived from the leader's.
 """
 
 from __future__ import annotations
@@ -27,11 +29,19 @@ from changeflow.llm.shingles import BASE, in_chunks, mixed
 from changeflow.operators.skew import hot_from_counts, salted_left_join
 from changeflow.session import materialise
 
-#: Buckets of the sketch of shingle counts, and bits of the filter on nodes; both fixed, whatever the input.
-BUCKETS = 1 << 16
-FILTER_BITS = 1 << 23
+#: A shingle that more than this share of all sets hold is frequent; at most so many are, the most frequent ones.
+SHARE = 1 / 2000
+FREQUENT = 1 << 18
+#: Shingles that a task counts at once, and counts that it keeps.
+COUNTED = 1 << 21
+#: Bits of the filter on texts: for each that is wanted, and at most.
+BITS_PER_TEXT = 16
+FILTER_BITS = 1 << 27
 PERMUTATIONS = 3
 
+#: Times that the components of each list are compared to one of its sets before all that is left is.
+STAR_TURNS = 2
+
 #: Entries of a list that are handled together, and of the blocks that are skipped within.
 LIST = 2048
 BLOCK = 128
@@ -60,11 +70,45 @@ def nonempty(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return full, np.concatenate([edges[full], edges[-1:]])
 
 
+class Counter:
+    """Counts of the shingles that recur among some million of a task, over distinct sets; they only choose an order."""
+
+    def __init__(self) -> None:
+        self.keys, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.empty()
+
+    def empty(self) -> None:
+        self.held, self.seen, self.size = [], set(), 0
+
+    def add(self, flat: np.ndarray, own: np.ndarray, node: np.ndarray) -> None:
+        for i, x in enumerate(node.tolist()):
+            if x not in self.seen:
+                self.seen.add(x)
+                self.held.append(flat[own[i] : own[i + 1]])
+                self.size += int(own[i + 1] - own[i])
+        if self.size >= COUNTED:
+            self.settle()
+
+    def settle(self) -> None:
+        if self.held:
+            keys, n = np.unique(np.concatenate(self.held), return_counts=True)
+            often = n >= max(2, len(self.seen) * SHARE)
+            keys, n = np.concatenate([self.keys, keys[often]]), np.concatenate([self.n, n[often]])
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], n[order]
+            begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+            self.keys, self.n = keys[begins], np.add.reduceat(n, begins) if len(begins) else n
+            if len(self.keys) > COUNTED:
+                most = np.sort(np.argpartition(-self.n, COUNTED // 2)[: COUNTED // 2])
+                self.keys, self.n = self.keys[most], self.n[most]
+        self.empty()
+
+
 def profiles(docs: DataFrame) -> DataFrame:
-    """A row per document, and one per task (``n`` = -1) with its part of the sketch."""
+    """A row per document, and some per task (``n`` = -1) with its counts of shingles."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
+        counter = Counter()
         turns = mixed(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64))
         names = [c.split()[0] for c in PROFILE.split(", ")]
 
@@ -78,79 +122,97 @@ def profiles(docs: DataFrame) -> DataFrame:
                 full, own = nonempty(edges)
                 rows = [(d, h, 0, *[None] * 6) for d, h in zip(ids[at : at + len(edges) - 1], text_hashes[at:], strict=False)]
                 if len(full):
-                    counts += np.bincount((flat >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
                     least = [signed(np.minimum.reduceat(mixed(flat ^ t), own[:-1])) for t in turns]
                     columns = (np.diff(own), *digests(flat, own), *least)
+                    counter.add(flat, own, columns[1])
                     for i, *values in zip(full.tolist(), *(c.tolist() for c in columns), strict=True):
                         rows[i] = (*rows[i][:2], *values, None)
                 yield made(rows)
-        if counts.any():
-            yield made([(None, None, -1, None, None, None, None, None, counts.tobytes())])
+        counter.settle()
+        for at in range(0, len(counter.keys), 1 << 16):
+            some = slice(at, at + (1 << 16))
+            yield made([(None, None, -1, *[None] * 5, counter.keys[some].tobytes() + counter.n[some].tobytes())])
 
     read = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text")
     return materialise(read.mapInArrow(profile, PROFILE), "profiles")
 
 
-def ranks(profiled: DataFrame) -> np.ndarray:
-    """The rank of every bucket of shingles by how often its shingles occur in all documents."""
+def frequent(profiled: DataFrame, n_sets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent shingles, sorted, and the rank of each by how many sets hold it; fewer than :data:`FREQUENT`, since
+    each holds more than that part of all counts."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for counts in batch[0].to_pylist():
-                counts = np.frombuffer(counts, np.int64)
-                at = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["bucket", "n"])
-
-    rows = profiled.where("n = -1").select("counts").mapInArrow(unpack, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(BUCKETS, np.int64)
-    total[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    place = np.empty(BUCKETS, np.uint64)
-    place[np.lexsort((np.arange(BUCKETS), total))] = np.arange(BUCKETS, dtype=np.uint64)
-    return place
-
-
-def in_order(hashes: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Hashes as keys that sort rare shingles first; the bucket's rank takes the place of its number."""
-    return (place[(hashes >> np.uint64(48)).astype(np.int64)] << np.uint64(48)) | (hashes & np.uint64((1 << 48) - 1))
-
-
-def node_filter(nodes: DataFrame, column: str = "node") -> np.ndarray:
-    """A bit per node at its number modulo :data:`FILTER_BITS`; it lets through all ``nodes``, and others by chance."""
-    bit = F.col(column).bitwiseAND(FILTER_BITS - 1)
-    rows = nodes.groupBy(F.shiftright(bit, 15).alias("part")).agg(F.bitmap_construct_agg(bit.bitwiseAND(32767)).alias("bits")).collect()
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+                both = np.frombuffer(counts, np.int64).reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["shingle", "n"])
+
+    counted = profiled.where("n = -1").select("counts").mapInArrow(unpack, "shingle long, n long")
+    counted = materialise(counted.groupBy("shingle").agg(F.sum("n").alias("n")), "counted")
+    total = counted.agg(F.sum("n").alias("n")).first().n or 0
+    rows = counted.where(F.col("n") > max(n_sets * SHARE, total / FREQUENT)).toArrow()
+    shingles, n = rows["shingle"].to_numpy().view(np.uint64), rows["n"].to_numpy()
+    rank = np.empty(len(n), np.uint64)
+    rank[np.lexsort((shingles, n))] = np.arange(len(n), dtype=np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], rank[order]
+
+
+def in_order(hashes: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Hashes as keys: frequent shingles last, by rank, the others by 63 bits of their hash."""
+    known, rank = often
+    tokens = hashes >> np.uint64(1)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        hit = known[at] == hashes
+        tokens[hit] = rank[at[hit]] | np.uint64(1 << 63)
+    return tokens
+
+
+def text_filter(wanted: DataFrame) -> np.ndarray:
+    """A bit per ``text_hash`` of ``wanted``: it lets through all of them, and few others. Above some
+    :data:`FILTER_BITS` / 16 texts more pass, which costs time only."""
+    n_bits = 1 << 16
+    while n_bits < min(FILTER_BITS, BITS_PER_TEXT * wanted.count()):
+        n_bits *= 2
+    bit = F.col("text_hash").bitwiseAND(n_bits - 1)
+    rows = wanted.groupBy(F.shiftright(bit, 15).alias("part")).agg(F.bitmap_construct_agg(bit.bitwiseAND(32767)).alias("bits")).collect()
+    bits = np.zeros(n_bits // 8, np.uint8)
     for r in rows:
         bits[r.part * 4096 : (r.part + 1) * 4096] = np.frombuffer(r.bits, np.uint8)
     return bits
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, members``: the sets of ``nodes`` as sorted 64-bit numbers, made anew from the texts."""
-    bits = node_filter(nodes)
+def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, members``: the sets of ``wanted`` (``node``) as sorted 64-bit numbers, made anew from their texts, of
+    which ``nodes`` (``node, text_hash``) has one each."""
+    wanted = materialise(nodes.select("node", "text_hash").join(wanted.select("node").distinct(), "node", "left_semi"), "wanted")
+    bits = text_filter(wanted)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {}
-            for _, flat, edges in in_chunks(batch[0].to_pylist()):
+            text_hash = batch[0].to_numpy()
+            at = text_hash & (8 * len(bits) - 1)
+            hit = np.flatnonzero(bits[at >> 3] >> (at & 7) & 1)
+            hit = hit[np.sort(np.unique(text_hash[hit], return_index=True)[1])]
+            for _, flat, edges in in_chunks(batch[1].take(pa.array(hit)).to_pylist()):
                 _, own = nonempty(edges)
-                if len(own) < 2:
-                    continue
-                node = digests(flat, own)[0]
-                at = node & (FILTER_BITS - 1)
-                for i in np.flatnonzero(bits[at >> 3] >> (at & 7) & 1).tolist():
-                    found[int(node[i])] = flat[own[i] : own[i + 1]].tobytes()
+                if len(own) >= 2:
+                    for i, node in enumerate(digests(flat, own)[0].tolist()):
+                        found[node] = flat[own[i] : own[i + 1]].tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["node", "members"])
 
-    made = docs.select("text").mapInArrow(fetch, "node long, members binary")
-    made = made.join(nodes.select("node").distinct(), "node", "left_semi")
+    made = docs.select(F.xxhash64("text"), "text").mapInArrow(fetch, "node long, members binary")
+    made = made.join(wanted.select("node"), "node", "left_semi")
     return materialise(made.groupBy("node").agg(F.first("members").alias("members")), "sets")
 
 
-MET = "s long, t long, linked boolean, more binary, less binary"
+MET = "s long, t long, linked boolean, shared long, more binary, less binary"
 
 
 def meet(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Check ``pairs`` (``s, t, lead, more, less``): whether ``s`` links with ``t``, as ``s, t, linked, more, less``.
+    """Check ``pairs`` (``s, t, lead, more, less``): whether ``s`` links with ``t``, as ``s, t, linked, shared, more, less``.
 
     ``s`` is the set of ``lead`` without ``less`` and with ``more``, binaries as in :func:`sets_of`. The overlap of ``lead``
     with ``t`` is computed once, those of its family are derived. Where ``s`` is ``lead`` itself, what ``s`` has
@@ -173,9 +235,9 @@ def meet(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         of, lead = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         shared = 0
         names = [c.split()[0] for c in MET.split(", ")]
-        types = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()]
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [])
             for t, lead_id, kind, s, members, more, less in zip(*(batch[c].to_pylist() for c in last if c != "salt"), strict=True):
                 if kind == 0:
                     of = np.frombuffer(members, np.uint64)
@@ -189,7 +251,7 @@ def meet(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     linked = 7 * common >= 3 * (size + len(of))
                     own = linked and s == lead_id
                     values = (
-                        s, t, linked,
+                        s, t, linked, common,
                         np.setdiff1d(lead, of, True).tobytes() if own else None,
                         np.setdiff1d(of, lead, True).tobytes() if own else None,
                     )
@@ -208,7 +270,7 @@ def beyond_prefix(n):
     return (3 * n + 3) // 4 - 1
 
 
-def entries(docs: DataFrame, place: np.ndarray) -> DataFrame:
+def entries(docs: DataFrame, often: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """The prefixes of all sets: with ``n`` shingles, the first ``n - ceil(3n/4) + 1`` in order. Equal sets of a batch count once."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +281,7 @@ def entries(docs: DataFrame, place: np.ndarray) -> DataFrame:
                 if len(own) < 2:
                     continue
                 node, n = digests(flat, own)[0], np.diff(own)
-                tokens = in_order(flat, place)
+                tokens = in_order(flat, often)
                 fresh = np.array([x not in seen and not seen.add(x) for x in node.tolist()])
                 for a, b in zip(own[:-1][fresh].tolist(), own[1:][fresh].tolist(), strict=True):
                     tokens[a:b].sort()
@@ -267,28 +329,32 @@ def shared_entries(index: DataFrame) -> DataFrame:
     return materialise(ordered.mapInArrow(keep, ENTRY), "lists")
 
 
-def pairs_in(n: np.ndarray, place: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def pairs_in(n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of one list, sorted by size, that may link by size and position and lie in different components;
     and for each whether the shared shingle may be the first that they share.
 
-    ``place`` shingles of a set stand before the shared one. At most the smaller ``n - place`` are shared from here on
-    and the smaller ``place`` before. Blocks whose sizes or sums cannot suffice are passed over.
+    From ``first`` to ``last`` shingles of a set stand before the shared one. At most the smaller ``n - first`` are shared
+    from here on and the smaller ``last`` before. Blocks that lie in one component or whose sizes or sums cannot suffice
+    are passed over.
     """
-    rest = n - place
+    rest = n - first
     found, firsts = [], []
     edges = list(range(0, len(n), BLOCK)) + [len(n)]
     spans = [slice(a, b) for a, b in zip(edges, edges[1:], strict=False)]
-    most = [(int(rest[s].max()), int(place[s].max())) for s in spans]
+    most = [(int(rest[s].max()), int(last[s].max())) for s in spans]
+    within = [(int(component[s].min()), int(component[s].max())) for s in spans]
     for i, a in enumerate(spans):
         for j in range(i, len(spans)):
             b = spans[j]
             if 3 * int(n[b.start]) > 4 * int(n[a.stop - 1]):
                 break
+            if within[i][0] == within[i][1] == within[j][0] == within[j][1]:
+                continue
             if 7 * (min(most[i][0], most[j][0]) + min(most[i][1], most[j][1])) < 3 * (int(n[a.start]) + int(n[b.start])):
                 continue
             need = 3 * (n[a][:, None] + n[b][None])
             after = 7 * np.minimum(rest[a][:, None], rest[b][None])
-            bound = after + 7 * np.minimum(place[a][:, None], place[b][None]) >= need
+            bound = after + 7 * np.minimum(last[a][:, None], last[b][None]) >= need
             bound &= (component[a][:, None] != component[b][None]) & (4 * n[a][:, None] >= 3 * n[b][None])
             x, y = np.nonzero(np.triu(bound, 1) if i == j else bound)
             found.append(np.stack([x + a.start, y + b.start], 1))
@@ -298,28 +364,49 @@ def pairs_in(n: np.ndarray, place: np.ndarray, component: np.ndarray) -> tuple[n
     return np.concatenate(found), np.concatenate(firsts)
 
 
-SHARED = "s long, t long, n_s long, n_t long, of_s long, of_t long, shared long, begins boolean"
+def list_stars(lists: DataFrame, tags: DataFrame, turn: int) -> DataFrame:
+    """``s, t``: of the sets that share a list with another component's, each component's likeliest pair with a list's
+    leader. Every ``turn`` has other leaders; a row per entry, so linear in the lists."""
+    lists = tagged(lists, tags)
+    lead = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), F.col("node").alias("t"), F.col("n").alias("n_t"), F.col("component").alias("of_t")))
+    open_lists = lists.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), lead.alias("lead"))
+    open_lists = open_lists.where("lo < hi").select("token", "lead.t", "lead.n_t", "lead.of_t")
+    close = (3 * F.col("n") <= 4 * F.col("n_t")) & (3 * F.col("n_t") <= 4 * F.col("n"))
+    met = lists.join(open_lists, "token").where((F.col("component") != F.col("of_t")) & close)
+    counted = met.groupBy(F.col("node").alias("s"), "t", F.col("component").alias("of_s"), "of_t", "n", "n_t").agg(F.count("*").alias("shared"))
+    likely = (F.col("shared") / (F.col("n") + F.col("n_t"))).alias("likely")
+    return likeliest(materialise(counted.select("s", "t", "of_s", "of_t", likely), "starred"))
+
 
+def tagged(lists: DataFrame, tags: DataFrame) -> DataFrame:
+    """Entries with the ``component`` and the ``family`` of their node; a node without either is its own."""
+    own = lambda c: F.coalesce(c, "node").alias(c)
+    return lists.join(tags, "node", "left").select(*lists.columns, own("component"), own("family"))
 
-def candidates(lists: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs ``s, t`` of different components (``known``: ``node, component``) from the lists, each once.
 
-    Lists within one component are dropped before they meet. A list longer than :data:`LIST` is dealt into
-    parts by hash, and every two parts meet in a task of their own. The shingles that the two prefixes share are
-    counted: let the prefix of ``x`` end first in order, then what the sets share beyond it is at most the rest of
-    ``x``. So a pair whose count and larger rest together are too few cannot link.
+SHARED = "f long, g long, f_lo long, f_hi long, g_lo long, g_hi long, of_f long, of_g long, shared long, begins boolean"
+
+
+def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
+    """Pairs ``f, g`` of families in different components (``tags``: ``node, component, family``), each once.
+
+    Lists within one component are dropped before they meet. Of each list a family has one row per size. A list longer than
+    :data:`LIST` is dealt into parts by hash, and every two parts meet in a task of their own. The shingles that prefixes
+    of the two families share are counted: let the prefix of ``x`` end first in order, then what two sets share beyond it is at
+    most the rest of ``x``. So a pair whose count and larger rest together are too few cannot link.
     """
-    lists = lists.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lists = tagged(lists, tags).groupBy("token", "family", "component", "n").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    lists = materialise(lists, "family_lists")
     open_lists = (
         lists.groupBy("token")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("length"))
         .where("lo < hi")
         .select("token", F.ceil(F.col("length") / LIST).cast("int").alias("parts"))
     )
-    met = lists.join(open_lists, "token").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    met = lists.join(open_lists, "token").withColumn("part", F.pmod(F.xxhash64("family", "n"), F.col("parts")).cast("int"))
     others = F.sequence(F.lit(0), F.col("parts") - 1)
     met = met.withColumn("other", F.explode(others)).select(
-        "token", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "node", "n", "place", "component"
+        "token", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "family", "n", "first", "last", "component"
     )
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,25 +415,33 @@ def candidates(lists: DataFrame, known: DataFrame) -> DataFrame:
             key = np.flatnonzero(
                 np.concatenate([[True], (c["token"][1:] != c["token"][:-1]) | (c["one"][1:] != c["one"][:-1]) | (c["two"][1:] != c["two"][:-1])])
             )
-            nodes, sizes, owners, firsts = [], [], [], []
-            for a, b in zip(key, [*key[1:], len(c["token"])], strict=True):
-                x, first = pairs_in(c["n"][a:b].astype(np.int64), c["place"][a:b].astype(np.int64), c["component"][a:b])
+            pairs, firsts, of_list = [], [], []
+            for i, (a, b) in enumerate(zip(key, [*key[1:], len(c["token"])], strict=True)):
+                x, first = pairs_in(*(c[k][a:b].astype(np.int64) for k in ("n", "first", "last")), c["component"][a:b])
                 x += a
                 if c["one"][a] != c["two"][a]:
                     across = c["part"][x[:, 0]] != c["part"][x[:, 1]]
                     x, first = x[across], first[across]
-                flip = c["node"][x[:, 0]] > c["node"][x[:, 1]]
+                flip = c["family"][x[:, 0]] > c["family"][x[:, 1]]
                 x[flip] = x[flip][:, ::-1]
-                nodes.append(c["node"][x])
-                sizes.append(c["n"][x])
-                owners.append(c["component"][x])
+                pairs.append(x)
                 firsts.append(first)
-            s_t, n, of, first = (np.concatenate(v) for v in (nodes, sizes, owners, firsts))
-            pairs, one, inverse, shared = np.unique(s_t, axis=0, return_index=True, return_inverse=True, return_counts=True)
-            begins = np.zeros(len(pairs), bool)
-            np.logical_or.at(begins, inverse.ravel(), first)
-            n, of = n[one].astype(np.int64), of[one]
-            columns = (pairs[:, 0], pairs[:, 1], n[:, 0], n[:, 1], of[:, 0], of[:, 1], shared.astype(np.int64), begins)
+                of_list.append(np.full(len(x), i))
+            x, first, of_list = (np.concatenate(v) for v in (pairs, firsts, of_list))
+            f, g = (c["family"][x[:, i]] for i in (0, 1))
+            order = np.lexsort((of_list, g, f))
+            f, g, x, first, of_list = (v[order] for v in (f, g, x, first, of_list))
+            new = np.ones(len(f), bool)
+            new[1:] = (f[1:] != f[:-1]) | (g[1:] != g[:-1])
+            in_list = new.copy()
+            in_list[1:] |= of_list[1:] != of_list[:-1]
+            at = np.flatnonzero(new)
+            n = c["n"].astype(np.int64)
+            over = lambda how, v: how.reduceat(v, at) if len(at) else v[:0]
+            columns = (
+                f[at], g[at], *(over(how, n[x[:, i]]) for i in (0, 1) for how in (np.minimum, np.maximum)),
+                *(c["component"][x[at, i]] for i in (0, 1)), over(np.add, in_list.astype(np.int64)), over(np.logical_or, first),
+            )
             return pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=[v.split()[0] for v in SHARED.split(", ")])
 
         held = None
@@ -365,14 +460,15 @@ def candidates(lists: DataFrame, known: DataFrame) -> DataFrame:
         if held is not None and held.num_rows:
             yield found(held)
 
-    columns = ("token", "one", "two", "part", "node", "n", "place", "component")
-    sorted_lists = met.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two", "n", "node")
+    columns = ("token", "one", "two", "part", "family", "n", "first", "last", "component")
+    sorted_lists = met.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two", "n", "family")
     shared = sorted_lists.select(*columns).mapInArrow(pair, SHARED)
-    counted = shared.groupBy("s", "t", "n_s", "n_t", "of_s", "of_t").agg(F.sum("shared").alias("shared"), F.max("begins").alias("begins"))
-    rest = F.ceil(3 * F.greatest("n_s", "n_t") / 4) - 1
-    enough = 7 * (F.col("shared") + rest) >= 3 * (F.col("n_s") + F.col("n_t"))
-    likely = (F.col("shared") / (F.col("n_s") + F.col("n_t"))).alias("likely")
-    return materialise(counted.where(F.col("begins") & enough).select("s", "t", "of_s", "of_t", likely), "candidates")
+    ends = [F.min("f_lo").alias("f_lo"), F.max("f_hi").alias("f_hi"), F.min("g_lo").alias("g_lo"), F.max("g_hi").alias("g_hi")]
+    counted = shared.groupBy("f", "g", "of_f", "of_g").agg(*ends, F.sum("shared").alias("shared"), F.max("begins").alias("begins"))
+    small, large = F.least("f_lo", "g_lo"), F.greatest("f_hi", "g_hi")
+    enough = 7 * (F.col("shared") + F.ceil(3 * large / 4) - 1) >= 3 * (small + large)
+    kept = counted.where(F.col("begins") & enough)
+    return materialise(kept.select(F.col("f").alias("s"), F.col("g").alias("t"), F.col("of_f").alias("of_s"), F.col("of_g").alias("of_t")), "candidates")
 
 
 def likeliest(pairs: DataFrame) -> DataFrame:
@@ -406,6 +502,33 @@ def stars(nodes: DataFrame) -> DataFrame:
     return materialise(pairs, "stars")
 
 
+def members_to_try(pairs: DataFrame, families: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``s, t``: members of two families whose leaders share ``shared`` shingles, but do not link, that could link themselves.
+
+    Two members share at most what the leaders share and what each has more than its leader. Families that cannot reach
+    the threshold with their smallest set and their largest addition are dropped before any member is listed.
+    """
+    has = lambda c: (F.octet_length(c) / 8).cast("long")
+    sizes = nodes.select(F.col("node").alias("member"), "n")
+    members = families.select(F.col("s").alias("member"), "lead", has("more").alias("more")).join(sizes, "member")
+    asked = pairs.select(F.col("s").alias("lead")).union(pairs.select(F.col("t").alias("lead"))).distinct()
+    # a leader is a member too, and often the only one
+    leads = asked.select(F.col("lead").alias("member"), "lead", F.lit(0).cast("long").alias("more")).join(sizes, "member")
+    every = members.join(asked, "lead", "left_semi").unionByName(leads)
+    every = materialise(every, "members")
+    spans = every.groupBy("lead").agg(F.min("n").alias("n"), F.max("more").alias("more"))
+
+    def joined(pairs: DataFrame, rows: DataFrame, side: str) -> DataFrame:
+        named = rows.select(F.col("lead").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "lead"])
+        return pairs.join(named, side)
+
+    could = 7 * (F.col("shared") + F.col("more_s") + F.col("more_t")) >= 3 * (F.col("n_s") + F.col("n_t"))
+    reach = joined(joined(pairs, spans, "s"), spans, "t").where(could).select("s", "t", "shared")
+    found = joined(joined(reach, every, "s"), every, "t").where(could & ~((F.col("member_s") == F.col("s")) & (F.col("member_t") == F.col("t"))))
+    close = (3 * F.col("n_s") <= 4 * F.col("n_t")) & (3 * F.col("n_t") <= 4 * F.col("n_s"))
+    return materialise(found.where(close).select(F.col("member_s").alias("s"), F.col("member_t").alias("t")).distinct(), "tried")
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, n_shingles, node, component, component_id`` for every row of ``docs`` (``doc_id, text``).
 
@@ -416,35 +539,49 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """
     profiled = profiles(docs)
     nodes = profiled.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("n").alias("n"), F.min("doc_id").alias("first_id"), F.count("*").alias("docs"), *[F.min(f"k{i}").alias(f"k{i}") for i in range(PERMUTATIONS)]
+        F.min("n").alias("n"),
+        F.min("doc_id").alias("first_id"),
+        F.min("text_hash").alias("text_hash"),
+        F.count("*").alias("docs"),
+        *[F.min(f"k{i}").alias(f"k{i}") for i in range(PERMUTATIONS)],
     )
     nodes = materialise(nodes, "nodes")
-    place = ranks(profiled)
+    often = frequent(profiled, nodes.count())
+    none = F.lit(None).cast("binary")
+
+    def compared(asked: DataFrame) -> DataFrame:
+        involved = asked.select(F.col("lead").alias("node")).union(asked.select(F.col("t").alias("node")))
+        return meet(asked, sets_of(docs, nodes, involved))
 
     tried = stars(nodes)
-    involved = tried.select(F.col("s").alias("node")).union(tried.select(F.col("t").alias("node"))).distinct()
-    none = F.lit(None).cast("binary")
-    star = meet(tried.select("s", "t", F.col("s").alias("lead"), none.alias("more"), none.alias("less")), sets_of(docs, involved)).where("linked")
-    known = components(star.select(F.col("s").alias("a"), F.col("t").alias("b")))
+    star = compared(tried.select("s", "t", F.col("s").alias("lead"), none.alias("more"), none.alias("less"))).where("linked")
+    links = star.select("s", "t")
     # a set's family is that of the leader it differs from least
     small = F.struct((F.octet_length("more") + F.octet_length("less")).alias("by"), "t", "more", "less")
     families = star.groupBy("s").agg(F.min(small).alias("of")).select("s", F.col("of.t").alias("lead"), "of.more", "of.less")
     families = materialise(families, "families")
 
-    def checked(pairs: DataFrame) -> DataFrame:
+    def of_family(pairs: DataFrame) -> DataFrame:
         asked = pairs.select("s", "t").join(families, "s", "left").select("s", "t", F.coalesce("lead", "s").alias("lead"), "more", "less")
-        asked = materialise(asked, "asked")
-        involved = asked.select(F.col("lead").alias("node")).union(asked.select(F.col("t").alias("node"))).distinct()
-        return meet(asked, sets_of(docs, involved)).where("linked").select("s", "t")
-
-    links = star.select("s", "t")
-    pairs = candidates(shared_entries(entries(docs, place)), known)
-    # each component tries its likeliest pair first; most others then lie within one component
-    first = checked(likeliest(pairs))
-    joined = pairs.join(first, ["s", "t"], "left_semi").select(F.col("of_s").alias("a"), F.col("of_t").alias("b"))
-    pairs = still_open(pairs, joined)
-    links = links.union(first).union(checked(pairs)).select(F.col("s").alias("a"), F.col("t").alias("b"))
-    whole = components(links)
+        return materialise(asked, "asked")
+
+    def tags() -> DataFrame:
+        known = components(links.select(F.col("s").alias("a"), F.col("t").alias("b")))
+        tagged_nodes = known.join(families.select(F.col("s").alias("node"), F.col("lead").alias("family")), "node", "left")
+        return materialise(tagged_nodes, "tags")
+
+    lists = shared_entries(entries(docs, often))
+    for turn in range(STAR_TURNS):
+        found = compared(of_family(list_stars(lists, tags(), turn))).where("linked")
+        links = links.union(found.select("s", "t"))
+    pairs = candidates(lists, tags())
+    # leaders first: they bound what their members can share
+    led = compared(pairs.select("s", "t", F.col("s").alias("lead"), none.alias("more"), none.alias("less")))
+    links = links.union(led.where("linked").select("s", "t"))
+    left = pairs.join(led.where("NOT linked").select("s", "t", "shared"), ["s", "t"])
+    joined = pairs.join(led.where("linked").select("s", "t"), ["s", "t"], "left_semi").select(F.col("of_s").alias("a"), F.col("of_t").alias("b"))
+    links = links.union(compared(of_family(members_to_try(still_open(left, joined), families, nodes))).where("linked").select("s", "t"))
+    whole = components(links.select(F.col("s").alias("a"), F.col("t").alias("b")))
 
     placed = nodes.join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
     firsts = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))

@@ -86,7 +86,7 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("limits", [{}, {"LIST": 16, "BLOCK": 4, "MEETINGS": 5}])
+@pytest.mark.parametrize("limits", [{}, {"LIST": 16, "BLOCK": 4, "MEETINGS": 5, "STAR_TURNS": 0, "COUNTED": 64}, {"STAR_TURNS": 0, "SHARE": 2.0}])
 def test_near_groups_equal_brute_force(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(jaccard, name, value)
@@ -105,6 +105,66 @@ def test_near_groups_without_stars_are_found_by_the_index(spark, monkeypatch):
     assert got == brute.near_components(rows)
 
 
+def split_families():
+    """Two families of sets of numbered words whose leaders do not link, though some of their members do."""
+    random.seed(11)
+    words = [f"w{i}" for i in range(400)]
+    base = words[:160]
+    far = base[:128] + [f"x{i}" for i in range(32)]
+    rows, n = [], 0
+    for start in (base, far):
+        for step in range(40):
+            text = list(start)
+            for _ in range(step % 9):
+                text[random.randrange(len(text))] = f"y{random.randrange(10_000)}"
+            if start is base:
+                text = text[: 160 - step % 30]
+            rows.append((n, " ".join(text)))
+            n += 1
+    return rows
+
+
+@pytest.mark.parametrize("turns", [0, 2])
+def test_members_link_where_leaders_do_not(spark, monkeypatch, turns):
+    monkeypatch.setattr(jaccard, "STAR_TURNS", turns)
+    rows = split_families()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_groups(docs).collect()}
+    assert got == brute.near_components(rows)
+
+
+def test_many_near_copies_make_few_candidates(spark, monkeypatch):
+    """Of 2000 near copies no pair of families is left when the index is searched, or hardly any."""
+    random.seed(5)
+    base = [f"w{random.randrange(5000)}" for _ in range(200)]
+    rows = []
+    for i in range(2000):
+        text = list(base)
+        for _ in range(1 + i % 2):
+            text[random.randrange(200)] = f"z{random.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    seen = []
+    whole = jaccard.candidates
+    monkeypatch.setattr(jaccard, "candidates", lambda lists, tags: seen.append(whole(lists, tags)) or seen[-1])
+    got = jaccard.near_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    assert {r.component_id for r in got} == {0}
+    assert seen[0].count() <= 2000
+
+
+def test_frequent_shingles_come_last():
+    often = np.array([5, 2**63 + 8], np.uint64), np.array([1, 0], np.uint64)
+    tokens = jaccard.in_order(np.array([5, 2**63 + 8, 2**64 - 1, 0], np.uint64), often)
+    assert tokens.tolist() == [2**63 + 1, 2**63, 2**63 - 1, 0]
+
+
+def test_counts_of_shingles_are_over_distinct_sets():
+    counter = jaccard.Counter()
+    flat, own, node = np.array([1, 2, 3, 2, 3, 1, 2, 3], np.uint64), np.array([0, 3, 5, 8]), np.array([7, 8, 7])
+    counter.add(flat, own, node)
+    counter.settle()
+    assert dict(zip(counter.keys.tolist(), counter.n.tolist())) == {2: 2, 3: 2}
+
+
 def test_near_groups_of_odd_rows(odd_docs, no_docs):
     got = jaccard.near_groups(odd_docs).collect()
     assert len(got) == odd_docs.count()
