@@ -37,6 +37,56 @@ def canonical(value) -> str:
     return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
+# The keywords of a schema that calls are checked against, and those that say nothing about a value.
+CHECKED = ("type", "enum", "minimum", "maximum", "minLength", "items", "required", "properties", "additionalProperties")
+REMARKS = ("title", "description", "default", "examples", "$schema")
+
+
+def refuse_unknown(schema: dict, where: str = "$") -> None:
+    """Raises for a keyword, or a form of one, that :func:`faults` does not check, at any depth."""
+    for word in schema:
+        if word not in (*CHECKED, *REMARKS):
+            raise ValueError(f"{where}: no check for {word}")
+    kinds = schema.get("type", [])
+    for kind in [kinds] if isinstance(kinds, str) else kinds:
+        if kind not in KINDS:
+            raise ValueError(f"{where}: no type {kind}")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        raise ValueError(f"{where}: no check for a schema of additionalProperties")
+    if "items" in schema:
+        refuse_unknown(schema["items"], f"{where}[]")
+    for name, inner in schema.get("properties", {}).items():
+        refuse_unknown(inner, f"{where}.{name}")
+
+
+def finite(text: str) -> float:
+    """A number that a double holds; others are no value that could be written again."""
+    number = float(text)
+    if not math.isfinite(number):
+        raise ValueError(f"out of range: {text}")
+    return number
+
+
+def read_call(name: str, text: str | None, call_id: str, status: str, schemas: dict[str, dict]) -> tuple[str, bool]:
+    """A call's JSON up to its result, and whether it is invalid.
+
+    Arguments that are no JSON, or JSON that cannot be written again as UTF-8 (numbers beyond a double, half
+    characters, nesting beyond what is parsed), are kept as text.
+    """
+    late = ["$: answered before it was called"] if status == "early" else []
+
+    def written(arguments, errors: list[str]) -> tuple[str, bool]:
+        piece = canonical({"arguments": arguments, "errors": errors + late, "id": call_id, "name": name})[:-1]
+        piece.encode()
+        return piece, bool(errors + late)
+
+    try:
+        arguments = json.loads(text or "{}", parse_float=finite, parse_constant=finite)
+        return written(arguments, faults(arguments, schemas[name]) if name in schemas else ["$: unknown tool"])
+    except (ValueError, RecursionError):
+        return written(text, ["$: not JSON"])
+
+
 def faults(value, schema: dict, where: str = "$") -> list[str]:
     """What of ``value`` breaks ``schema``: type, enum, minimum, maximum, minLength, items, required, properties, additionalProperties."""
     kinds = schema.get("type")
@@ -81,12 +131,16 @@ def linked(messages: DataFrame) -> DataFrame:
     """
     calls = messages.where("calls IS NOT NULL").select("conv_id", "turn", F.posexplode("calls").alias("place", "call"))
     calls = calls.select("conv_id", F.col("call.id").alias("call_id"), "turn", "place", "call.name", "call.arguments", "call.after")
-    nth_call = F.row_number().over(W.partitionBy("conv_id", "call_id").orderBy("turn", "place", "name", "arguments"))
+    # rows without an identifier are not numbered, so they need not meet
+    apart = lambda *by: F.when(F.col("call_id").isNull(), F.xxhash64(*by))
+    calls = calls.withColumn("apart", apart("turn", "place", "name", "arguments"))
+    nth_call = F.row_number().over(W.partitionBy("conv_id", "call_id", "apart").orderBy("turn", "place", "name", "arguments"))
     calls = calls.withColumn("nth", F.when(F.col("call_id").isNotNull(), nth_call))
     results = messages.where("role = 'tool'").select(
         "conv_id", F.col("result_of").alias("call_id"), F.col("turn").alias("result_turn"), F.col("text").alias("result")
     )
-    nth_result = F.row_number().over(W.partitionBy("conv_id", "call_id").orderBy("result_turn", "result"))
+    results = results.withColumn("apart", apart("result_turn", "result"))
+    nth_result = F.row_number().over(W.partitionBy("conv_id", "call_id", "apart").orderBy("result_turn", "result"))
     results = results.withColumn("nth", F.when(F.col("call_id").isNotNull(), nth_result))
     status = (
         F.when(F.col("nth") > 1, "repeated")
@@ -95,7 +149,12 @@ def linked(messages: DataFrame) -> DataFrame:
         .when(F.col("result_turn") <= F.col("turn"), "early")
         .otherwise("ok")
     )
-    return calls.join(results, ["conv_id", "call_id", "nth"], "full").withColumn("status", status).drop("nth")
+    calls, results = calls.drop("apart"), results.drop("apart")
+    named = F.col("call_id").isNotNull()
+    joined = calls.where(named).join(results.where(named), ["conv_id", "call_id", "nth"], "full")
+    for rest in (calls.where(~named), results.where(~named)):
+        joined = joined.unionByName(rest, allowMissingColumns=True)
+    return joined.withColumn("status", status).drop("nth")
 
 
 FORMATTED = (
@@ -132,8 +191,10 @@ def ordered(calls: list[dict]) -> tuple[list[dict], list[dict]]:
 def judged(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """``calls`` of :func:`linked`, each row by itself: ``invalid``, and ``piece``, its JSON up to the result, instead of name and arguments.
 
-    Both are null for calls that no document lists.
+    Both are null for calls that no document lists. A schema with a keyword that is not checked is refused at once.
     """
+    for schema in schemas.values():
+        refuse_unknown(schema)
     kept = [c for c in calls.columns if c not in ("name", "arguments")]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,15 +205,9 @@ def judged(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
                     pieces.append(None)
                     invalid.append(None)
                     continue
-                try:
-                    arguments = json.loads(text or "{}", parse_constant=lambda c: (_ for _ in ()).throw(ValueError(c)))
-                    errors = faults(arguments, schemas[name]) if name in schemas else ["$: unknown tool"]
-                except ValueError:
-                    arguments, errors = text, ["$: not JSON"]
-                if status == "early":
-                    errors.append("$: answered before it was called")
-                pieces.append(canonical({"arguments": arguments, "errors": errors, "id": call_id, "name": name})[:-1])
-                invalid.append(bool(errors))
+                piece, bad = read_call(name, text, call_id, status, schemas)
+                pieces.append(piece)
+                invalid.append(bad)
             arrays = [*(batch[c] for c in kept), pa.array(pieces, pa.string()), pa.array(invalid, pa.bool_())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "piece", "invalid"])
 
