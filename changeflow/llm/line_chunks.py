@@ -1,4 +1,9 @@
-"""Line dedup: runs of lines, or content-defined chunks of them, removed where they repeat anywhere in the corpus."""
+"""Line dedup: content-defined chunks of lines, and the runs of lines at their edges, removed where they repeat anywhere.
+
+A rolling hash over line hashes says where chunks end, so a passage is cut alike wherever it stands, but for the
+chunks at its two ends. Chunks that an earlier place has too settle all lines in them. What they leave open, runs of
+two lines that lie across a boundary or in a chunk that does not repeat as a whole, is looked up by itself.
+"""
 
 from __future__ import annotations
 
@@ -15,9 +20,11 @@ from changeflow.llm.exact_dedup import row_keys, whole_rows
 from changeflow.operators.skew import hot_from_counts, salted_left_join
 from changeflow.session import materialise
 
-#: Lines that the rolling hash sees, and mean lines of a chunk.
+#: Lines that the rolling hash sees, and mean lines of a chunk: where only whole chunks go, and where runs at their edges do too.
 WINDOW = 3
 MEAN = 4
+RUN_WINDOW = 1
+RUN_MEAN = 3
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -51,13 +58,13 @@ def windows_of(text: str | None, lines: int) -> list[bytes]:
     return [b"".join(held[i : i + lines]).rstrip(b"\n") for i in range(len(held) - lines + 1)]
 
 
-def chunks_of(text: str | None) -> list[tuple[int, bytes]]:
+def chunks_of(text: str | None, window: int = WINDOW, mean: int = MEAN) -> list[tuple[int, bytes]]:
     """``(lines, bytes)`` of each chunk; joined, the bytes are the text, with its line ends. No text, no chunk."""
     lines = lines_of(text)
     if not lines:
         return []
     found, start = [], 0
-    for end in boundaries([x.rstrip(b"\n") for x in lines]):
+    for end in boundaries([x.rstrip(b"\n") for x in lines], window, mean):
         found.append((end - start, b"".join(lines[start:end])))
         start = end
     return found
@@ -117,8 +124,8 @@ def repeated_chunks(docs: DataFrame, least_lines: int = 2) -> DataFrame:
     return compared.where((F.col("bytes") == F.col("leader")) & ~F.col("leads")).select("_id", "_hash", "place", "lines")
 
 
-WINDOWS = "_id string, _hash long, doc_id long, place int, digest binary"
-HELD = "_id string, _hash long, place int, digest binary, leads boolean, bytes binary"
+RUNS = "_id string, _hash long, doc_id long, place int, lines int, digest binary, runs array<binary>"
+HELD = "_id string, _hash long, place int, lines int, digest binary, leads boolean, bytes binary"
 
 
 def arrow_rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -126,62 +133,85 @@ def arrow_rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
-def repeated_windows(docs: DataFrame, least_lines: int = 2) -> DataFrame:
-    """Runs of ``least_lines`` lines that an earlier place of the corpus has too, whatever stands around them:
-    ``_id, _hash, place``, the number of their first line.
+def first_places(found: DataFrame, least_lines: int) -> DataFrame:
+    """Rows of ``found`` (``_id, _hash, doc_id, place, lines, digest``, more) whose digest another place has too, with ``leads``
+    for those at its first place. What overlaps the first place in the same text is no repeat of it."""
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_id", "_hash", "place")
+    groups = found.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    groups = materialise(groups, "repeated")
+    hot = hot_from_counts(groups, "digest", "n")
+    # spread by document, as the texts of copies have one hash
+    marked = salted_left_join(found, groups.select("digest", "first"), "digest", "_id", hot).where("first IS NOT NULL")
+    overlaps = (F.col("_id") == F.col("first._id")) & (F.col("_hash") == F.col("first._hash")) & (F.col("place") - F.col("first.place") < least_lines)
+    return marked.withColumn("leads", place == F.col("first")).where(F.col("leads") | ~overlaps).drop("first")
+
+
+def repeated_runs(docs: DataFrame, least_lines: int = 2) -> DataFrame:
+    """Chunks, and runs of ``least_lines`` lines that no repeated chunk holds, that an earlier place of the corpus has too,
+    whatever stands around them: ``_id, _hash, place, lines``, the number of their first line and how many they are.
 
-    Places are ordered as for :func:`repeated_chunks`. A run does not repeat one of the same text that it overlaps.
-    Every longer run of lines that repeats consists of such runs, so none is missed. Digests only nominate;
-    only nominated runs give their bytes, which must equal those of the first place.
+    Places are ordered as for :func:`repeated_chunks`. Every longer run of lines that repeats consists of such runs, so none
+    is missed: those within a repeated chunk are also within the first one, which stands earlier and is looked at.
+    Digests only nominate; only nominated chunks and runs give their bytes, which must equal those of the first place.
     """
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("_id", pa.string()), ("_hash", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32()), ("digest", pa.binary())])
+        schema = pa.schema(
+            [("_id", pa.string()), ("_hash", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32()), ("lines", pa.int32()), ("digest", pa.binary()), ("runs", pa.list_(pa.binary()))]
+        )
         for batch in batches:
             rows: list[tuple] = []
             for key, text_hash, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows += [(key, text_hash, doc_id, i, digest_of(w)) for i, w in enumerate(windows_of(text, least_lines))]
+                runs = [digest_of(w) for w in windows_of(text, least_lines)]
+                at = 0
+                for lines, chunk in chunks_of(text, RUN_WINDOW, RUN_MEAN):
+                    rows.append((key, text_hash, doc_id, at, lines, digest_of(chunk), runs[at : at + lines]))
+                    at += lines
             yield arrow_rows(rows, schema)
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
-            [("_id", pa.string()), ("_hash", pa.int64()), ("place", pa.int32()), ("digest", pa.binary()), ("leads", pa.bool_()), ("bytes", pa.binary())]
+            [("_id", pa.string()), ("_hash", pa.int64()), ("place", pa.int32()), ("lines", pa.int32()), ("digest", pa.binary()), ("leads", pa.bool_()), ("bytes", pa.binary())]
         )
         for batch in batches:
             rows: list[tuple] = []
             for key, text_hash, wanted, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = windows_of(text, least_lines)
-                rows += [(key, text_hash, w["place"], w["digest"], w["leads"], found[w["place"]]) for w in wanted]
+                lines = lines_of(text)
+                for w in wanted:
+                    bare = b"".join(lines[w["place"] : w["place"] + w["lines"]]).rstrip(b"\n")
+                    rows.append((key, text_hash, w["place"], w["lines"], w["digest"], w["leads"], bare))
             yield arrow_rows(rows, schema)
 
     keyed = docs.select("doc_id", "text").withColumns(row_keys("doc_id", F.xxhash64("text")))
-    thin = keyed.select("_id", "_hash", F.col("doc_id").cast("long"), "text").mapInArrow(digests, WINDOWS)
-    thin = materialise(thin, "windows")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_id", "_hash", "place")
-    groups = thin.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    groups = materialise(groups, "repeated")
-    hot = hot_from_counts(groups, "digest", "n")
-    # spread by document, as the texts of copies have one hash
-    marked = salted_left_join(thin, groups.select("digest", "first"), "digest", "_id", hot).where("first IS NOT NULL")
-    overlaps = (F.col("_id") == F.col("first._id")) & (F.col("_hash") == F.col("first._hash")) & (F.col("place") - F.col("first.place") < least_lines)
-    marked = marked.withColumn("leads", place == F.col("first")).where(F.col("leads") | ~overlaps)
-    wanted = marked.groupBy("_id", "_hash").agg(F.collect_set(F.struct("place", "digest", "leads")).alias("wanted"))
+    thin = keyed.select("_id", "_hash", F.col("doc_id").cast("long"), "text").mapInArrow(digests, RUNS)
+    thin = materialise(thin, "chunks")
+    place = ["_id", "_hash", "place"]
+    long_chunks = thin.where(F.col("lines") >= least_lines).drop("runs")
+    chunks = materialise(first_places(long_chunks, least_lines), "repeated_chunks")
+    # runs within a later copy of a chunk are settled; the last of a chunk reach into the next one
+    settled = chunks.where("NOT leads").select(*place, F.lit(True).alias("settled"))
+    runs = thin.drop("digest").join(settled, place, "left").select("*", F.posexplode("runs").alias("at", "digest"))
+    runs = runs.where(F.col("settled").isNull() | (F.col("at") > F.col("lines") - least_lines))
+    runs = runs.select("_id", "_hash", "doc_id", (F.col("place") + F.col("at")).alias("place"), F.lit(least_lines).alias("lines"), "digest")
+    marked = chunks.unionByName(first_places(runs, least_lines))
+    wanted = marked.groupBy("_id", "_hash").agg(F.collect_set(F.struct("place", "lines", "digest", "leads")).alias("wanted"))
     full = keyed.join(wanted, ["_id", "_hash"]).select("_id", "_hash", "wanted", "text").mapInArrow(held, HELD)
     full = materialise(full, "bytes")
     leaders = full.where("leads").groupBy("digest").agg(F.min("bytes").alias("leader"))
+    hot = hot_from_counts(full.groupBy("digest").agg(F.count("*").alias("n")), "digest", "n")
     compared = salted_left_join(full.where("NOT leads"), leaders, "digest", "_id", hot)
-    return compared.where(F.col("bytes") == F.col("leader")).select("_id", "_hash", "place")
+    return compared.where(F.col("bytes") == F.col("leader")).select("_id", "_hash", "place", "lines")
 
 
 ADDED = "n_lines long, n_chunks long, n_removed_chunks long, n_removed_lines long"
 
 
-def cut(docs: DataFrame, removed: DataFrame, lines: int | None) -> DataFrame:
-    """``docs`` without what stands at the places ``removed`` (``_id, _hash, place``), and what that was.
+def cut(docs: DataFrame, removed: DataFrame, chunks: tuple[int, int] | None = None) -> DataFrame:
+    """``docs`` without what stands at the places ``removed`` (``_id, _hash, place, lines``), and what that was.
 
-    Places are those of chunks, or where ``lines`` is given those of the first of as many lines.
+    Places are numbers of chunks, or where ``chunks`` gives their window and mean, numbers of first lines.
     """
-    removed = removed.groupBy("_id", "_hash").agg(F.collect_set("place").alias("_places"))
+    removed = removed.groupBy("_id", "_hash").agg(F.collect_set(F.struct("place", "lines")).alias("_places"))
     docs = docs.drop(*(a.split()[0] for a in ADDED.split(", ")))
     joined = whole_rows(docs).join(removed, ["_id", "_hash"], "left")
     columns = docs.columns
@@ -191,12 +221,10 @@ def cut(docs: DataFrame, removed: DataFrame, lines: int | None) -> DataFrame:
             texts, counts = [], []
             doc = dict(zip(columns, batch["doc"].flatten(), strict=True))
             for text, places in zip(doc["text"].to_pylist(), batch["_places"].to_pylist(), strict=True):
-                found, places = chunks_of(text), set(places or ())
+                found = chunks_of(text, *(chunks or ()))
                 starts = np.cumsum([0, *(n for n, _ in found)]).tolist()
-                if lines is None:
-                    gone = {line for i in places for line in range(starts[i], starts[i + 1])}
-                else:
-                    gone = {line for i in places for line in range(i, i + lines)}
+                begins = [(p["place"] if chunks else starts[p["place"]], p["lines"]) for p in places or ()]
+                gone = {line for i, n in begins for line in range(i, i + n)}
                 whole = sum(gone.issuperset(range(a, b)) for a, b in zip(starts, starts[1:], strict=False))
                 kept = b"".join(x for i, x in enumerate(lines_of(text)) if i not in gone) if gone else b""
                 texts.append(kept.decode("utf-8", "surrogatepass") if gone else text)
@@ -217,15 +245,16 @@ def without_repeats(docs: DataFrame, least_lines: int = 2) -> DataFrame:
     and cut alike, so a whole repeated row loses nothing to its twin. What is left of a text keeps its order.
     Only repeats that fill whole chunks are found; :func:`without_repeated_runs` finds all.
     """
-    return cut(docs, repeated_chunks(docs, least_lines), None)
+    return cut(docs, repeated_chunks(docs, least_lines))
 
 
 def without_repeated_runs(docs: DataFrame, least_lines: int = 2) -> DataFrame:
     """``docs`` without the lines of every run of at least ``least_lines`` lines that an earlier place has too.
 
-    Columns and rows as for :func:`without_repeats`; a chunk counts as removed if all of its lines are.
+    Columns and rows as for :func:`without_repeats`; a chunk counts as removed if all of its lines are. A blank line is a
+    line like any other. An empty table gives no rows.
     """
-    return cut(docs, repeated_windows(docs, least_lines), least_lines)
+    return cut(docs, repeated_runs(docs, least_lines), (RUN_WINDOW, RUN_MEAN))
 
 
 def summed(kept: DataFrame) -> DataFrame:
