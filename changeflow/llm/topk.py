@@ -15,7 +15,12 @@ from changeflow.session import materialise
 #: Vectors of a candidate block and of a query block, and dimensions added up between two cuts.
 CANDIDATES = 1024
 QUERIES = 1024
-DIMENSIONS = 16
+DIMENSIONS = 8
+
+#: Share of pairs below which they are carried on one by one, and blocks that a task takes one after the other at least,
+#: so that the later ones meet the scores of the first.
+FEW = 1 / 8
+BLOCKS = 8
 
 
 class Best:
@@ -48,37 +53,43 @@ def exact(values: np.ndarray) -> np.ndarray:
 def search_block(queries: np.ndarray, query_rows: np.ndarray, block: np.ndarray, ids: np.ndarray, rows: np.ndarray, best: Best) -> int:
     """Offer to ``best`` what can still be among the best of each query; returns the products computed.
 
-    ``queries`` and ``block`` are columnar: a dimension per row. Scores are added up a block of dimensions
-    at a time. What the rest can add is at most the product of the lengths that both have left
-    (Cauchy-Schwarz). A candidate whose sum and rest stay below the k-th best of a query, or below the k-th
-    largest of the sums less their rests in the block, is out; a block is compacted to the candidates that
-    at least one query still needs.
+    ``queries`` and ``block`` are columnar: a dimension per row, taken here by falling energy. Scores are added up a block
+    of dimensions at a time. What the rest can add is at most the sum, over the blocks to come, of the products of the lengths
+    that both have in them (Cauchy-Schwarz). A candidate whose sum and rest stay below the k-th best of a query, or below the k-th
+    largest of the sums less their rests in the block, is out for that query. A block is compacted to the candidates that at
+    least one query still needs; once few pairs are left, only those are carried on.
     """
     dims, n_queries = queries.shape
     if dims != block.shape[0] or not n_queries or not block.shape[1]:
         return 0
     both = exact(np.concatenate([queries, block], 1))
+    squares = both.astype(np.float64) ** 2
+    falling = np.argsort(-(squares[:, :n_queries].sum(1) * squares[:, n_queries:].sum(1)), kind="stable")
+    both, squares = both[falling], squares[falling]
     q, c = both[:, :n_queries], both[:, n_queries:]
-    rest_q, rest_c = (np.sqrt(np.cumsum((m.astype(np.float64) ** 2)[::-1], 0)[::-1]) for m in (q, c))
+    edges = np.arange(0, dims, DIMENSIONS)
+    lengths = np.sqrt(np.add.reduceat(squares, edges, 0))
+    of_q, of_c = lengths[:, :n_queries], lengths[:, n_queries:]
     sums = np.zeros((n_queries, c.shape[1]), both.dtype)
-    own = query_rows[:, None] == rows[None, :]
-    alive = ~own
+    alive = query_rows[:, None] != rows[None, :]
     done = 0
-    for at in range(0, dims, DIMENSIONS):
+    for i, at in enumerate(edges.tolist()):
         stop = min(at + DIMENSIONS, dims)
         sums += q[at:stop].T @ c[at:stop]
         done += n_queries * c.shape[1] * (stop - at)
         if stop == dims:
             break
-        slack = np.outer(rest_q[stop], rest_c[stop]) * (1 + 1e-9) + 1
+        slack = of_q[i + 1 :].T @ of_c[i + 1 :] * (1 + 1e-9) + 1
         floor = best.least().astype(np.float64)
         if c.shape[1] > best.k:
             low = np.where(alive, sums - slack, -np.inf)
             floor = np.maximum(floor, np.partition(low, -best.k, 1)[:, -best.k])
         alive &= sums + slack >= floor[:, None]
+        if alive.sum() <= FEW * alive.size:
+            return done + finish(q, c, of_q, of_c, i + 1, *np.nonzero(alive), sums, floor, ids, rows, best)
         needed = alive.any(0)
         if needed.mean() < 0.8:
-            c, rest_c, sums, alive, ids, rows = c[:, needed], rest_c[:, needed], sums[:, needed], alive[:, needed], ids[needed], rows[needed]
+            c, of_c, sums, alive, ids, rows = c[:, needed], of_c[:, needed], sums[:, needed], alive[:, needed], ids[needed], rows[needed]
             if not c.shape[1]:
                 return done
     for query in np.flatnonzero((alive & (sums >= best.least()[:, None])).any(1)):
@@ -87,6 +98,22 @@ def search_block(queries: np.ndarray, query_rows: np.ndarray, block: np.ndarray,
     return done
 
 
+def finish(q, c, of_q, of_c, block: int, query, place, sums, floor, ids, rows, best: Best) -> int:
+    """Carry single pairs, ``query`` and ``place`` of a candidate, from a block of dimensions to the last; returns the products computed."""
+    sums, done = sums[query, place], 0
+    for i in range(block, len(of_q)):
+        at, stop = i * DIMENSIONS, min((i + 1) * DIMENSIONS, len(q))
+        sums = sums + np.einsum("dn,dn->n", q[at:stop][:, query], c[at:stop][:, place])
+        done += len(query) * (stop - at)
+        rest = np.einsum("dn,dn->n", of_q[i + 1 :][:, query], of_c[i + 1 :][:, place]) * (1 + 1e-9) + 1
+        on = sums + rest >= floor[query]
+        query, place, sums = query[on], place[on], sums[on]
+    begins = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]])) if len(query) else query
+    for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(query)], strict=True) if len(query) else ():
+        best.offer(int(query[a]), sums[a:b].astype(np.int64), ids[place[a:b]], rows[place[a:b]])
+    return done
+
+
 def blocks(vectors: DataFrame, size: int, per: str) -> DataFrame:
     """Pack ``(dims, row, vec_id, values)`` into columnar blocks ``(dims, ids, rows, columns)``, ``size`` at most, by ``per``."""
 
@@ -141,9 +168,10 @@ def top_k(vectors: DataFrame, is_query: str, k: int = 10, queries: int = QUERIES
         "vectors",
     )
     numbered = F.monotonically_increasing_id()
-    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     asked = blocks(made.where("is_query"), queries, "queries").withColumn("block", numbered)
-    offered = blocks(made, candidates, "candidates").withColumn("part", F.pmod(F.xxhash64("ids", "rows"), F.lit(parts)))
+    offered = blocks(made, candidates, "candidates")
+    parts = min(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), max(1, -(-offered.count() // BLOCKS)))
+    offered = offered.withColumn("part", F.pmod(F.xxhash64("ids", "rows"), F.lit(parts)))
     left = asked.select("dims", "block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(0).alias("kind"), "ids", "rows", "columns")
     of = asked.groupBy("dims").agg(F.collect_list("block").alias("blocks"))
     right = offered.join(of, "dims").select(

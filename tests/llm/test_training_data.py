@@ -370,3 +370,19 @@ def test_bounds_cut_the_work():
     scores[np.arange(5), np.arange(5)] = -(2**62)
     assert (best.score == -np.sort(-scores, 1)[:, :10]).all()
     assert done < 0.7 * 5 * 2000 * 64
+
+
+def test_bounds_cut_the_work_on_clusters():
+    """Later blocks of a part meet the scores of the first; single pairs are carried on where few are left."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(64, 40))
+    vectors = centres[:, rng.integers(0, 40, 4096)] + 0.3 * rng.normal(size=(64, 4096))
+    vectors = np.floor(vectors / np.linalg.norm(vectors, axis=0) * 1024).astype(np.int64)
+    asked, best, done, rows = vectors[:, :32].copy(), topk.Best(32, 10), 0, np.arange(4096)
+    for at in range(0, 4096, 512):
+        some = slice(at, at + 512)
+        done += topk.search_block(asked, np.arange(32), vectors[:, some].copy(), rows[some], rows[some], best)
+    scores = asked.T @ vectors
+    scores[np.arange(32), np.arange(32)] = -(2**62)
+    assert (best.score == -np.sort(-scores, 1)[:, :10]).all()
+    assert done < 0.7 * 32 * 4096 * 64
