@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.operators import runs
+from changeflow.operators import positions, runs
 from changeflow.workload.derive import table
 from changeflow.workload.registry import query
 
@@ -95,3 +95,42 @@ def cdc_latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
             (source_ms + F.round(F.col("value") * 100).cast("bigint")).alias("ingest_ms"),
         )
     )
+
+
+POSITIONS_SQL = """
+    SELECT 'events' AS topic, CASE WHEN event_id % 10 < 7 THEN 0 ELSE event_id % 10 - 6 END AS part,
+           CASE WHEN event_id % 10 < 7 THEN event_id // 10 * 7 + event_id % 10 ELSE event_id // 10 END AS o
+    FROM events"""
+
+
+def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of one topic; its first partition holds most of them."""
+    last = F.col("event_id") % 10
+    tens = F.floor(F.col("event_id") / 10)
+    return table(spark, sf_dir, "events").select(
+        F.lit("events").alias("topic"),
+        F.when(last < 7, 0).otherwise(last - 6).cast("int").alias("partition"),
+        F.when(last < 7, tens * 7 + last).otherwise(tens).alias("offset"),
+    )
+
+
+@query(
+    f"""WITH sent AS ({POSITIONS_SQL}),
+            landed AS (SELECT * FROM sent WHERE o % 97 NOT BETWEEN 10 AND 14 AND NOT (part = 0 AND o BETWEEN 150 AND 400)
+                       UNION ALL SELECT * FROM sent WHERE o % 61 IN (5, 6) AND o % 97 NOT BETWEEN 10 AND 14 AND NOT (part = 0 AND o BETWEEN 150 AND 400)),
+            ends AS (SELECT topic, part, min(o) - 2 AS lo, max(o) + 4 AS hi FROM sent GROUP BY ALL),
+            expected AS (SELECT topic, part, unnest(range(lo, hi)) AS o FROM ends),
+            faults AS (SELECT topic, part, 'missing' AS kind, o, 1 AS n FROM expected ANTI JOIN landed USING (topic, part, o)
+                       UNION ALL SELECT topic, part, 'doubled', o, count(*) - 1 FROM landed GROUP BY topic, part, o HAVING count(*) > 1),
+            runs AS (SELECT *, o - row_number() OVER (PARTITION BY topic, part, kind ORDER BY o) AS run FROM faults)
+       SELECT topic, CAST(part AS INTEGER) AS part, kind, min(o) AS first, max(o) AS last, CAST(sum(n) AS BIGINT) AS n
+       FROM runs GROUP BY topic, part, kind, run"""
+)
+def position_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some offsets never land, one long range too, and some land twice."""
+    sent = _positions(spark, sf_dir)
+    ends = sent.groupBy("topic", "partition").agg((F.min("offset") - 2).alias("begin"), (F.max("offset") + 4).alias("finish"))
+    lost = F.expr("offset % 97 BETWEEN 10 AND 14 OR (partition = 0 AND offset BETWEEN 150 AND 400)")
+    copies = F.when(F.col("offset") % 61 == 5, 2).when(F.col("offset") % 61 == 6, 2).otherwise(1)
+    landed = sent.where(~lost).withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
+    return positions.position_audit(landed, ends).withColumnRenamed("partition", "part")

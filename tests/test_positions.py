@@ -1,0 +1,83 @@
+"""Missing and doubled offsets against plain Python."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from changeflow.operators import positions
+
+ROW = "topic string, partition int, offset bigint"
+BOUNDS = "topic string, partition int, begin bigint, finish bigint"
+
+
+def plain(rows, bounds):
+    out = []
+    logs = {(t, p) for t, p, o in rows if None not in (t, p, o)} | {b[:2] for b in bounds or ()}
+    ends = {b[:2]: b[2:] for b in bounds or ()}
+    for log in logs:
+        seen = {}
+        for t, p, o in rows:
+            if (t, p) == log and o is not None:
+                seen[o] = seen.get(o, 0) + 1
+        span = set(range(min(seen), max(seen) + 1)) if seen else set()
+        span |= set(range(*ends[log])) if log in ends else set()
+        faults = {("missing", o): 1 for o in span - set(seen)} | {("doubled", o): n - 1 for o, n in seen.items() if n > 1}
+        for kind in ("missing", "doubled"):
+            at = sorted(o for k, o in faults if k == kind)
+            while at:
+                run = [at.pop(0)]
+                while at and at[0] == run[-1] + 1:
+                    run.append(at.pop(0))
+                out.append((*log, kind, run[0], run[-1], sum(faults[kind, o] for o in run)))
+    return sorted(out)
+
+
+def found(spark, rows, bounds=None):
+    ends = spark.createDataFrame(bounds, BOUNDS) if bounds is not None else None
+    got = positions.position_audit(spark.createDataFrame(rows, ROW).repartition(3), ends)
+    assert got.columns == ["topic", "partition", "kind", "first", "last", "n"]
+    return sorted(tuple(r) for r in got.collect())
+
+
+@pytest.mark.parametrize("stretch", [8, 32768])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_losses_and_copies(spark, monkeypatch, stretch, seed):
+    monkeypatch.setattr(positions, "STRETCH", stretch)
+    random.seed(seed)
+    rows = []
+    for topic, part, n in (("t", 0, 300), ("t", 1, 40), ("u", 0, 9), ("u", 7, 1)):
+        lost = set(random.sample(range(n), n // 7)) | (set(range(100, 180)) if n == 300 else set())
+        for o in range(3, n + 3):
+            if o not in lost:
+                rows += [(topic, part, o)] * random.choice([1, 1, 1, 1, 2, 3])
+    rows += [(None, 0, 5), ("t", None, 5), ("t", 0, None)]
+    assert found(spark, rows) == plain(rows, None)
+    bounds = [("t", 0, 0, 320), ("t", 1, 5, 30), ("u", 0, 3, 12), ("u", 3, 10, 25), ("u", 4, 10, 10)]
+    assert found(spark, rows, bounds) == plain(rows, bounds)
+
+
+def test_nothing_landed(spark):
+    assert found(spark, []) == []
+    assert found(spark, [], [("t", 0, 2, 9), ("t", 1, 4, 4)]) == [("t", 0, "missing", 2, 8, 7)]
+
+
+def test_whole_stretches_are_not_looked_at_again(spark):
+    """A very long partition with one fault: one stretch goes through the detailed step, and all are spread over tasks."""
+    n = 40 * positions.STRETCH
+    landed = spark.range(n).where(f"id <> {5 * positions.STRETCH + 17}").selectExpr("'t' AS topic", "0 AS partition", "id AS offset")
+    got = positions.position_audit(landed)
+    assert [tuple(r) for r in got.collect()] == [("t", 0, "missing", 5 * positions.STRETCH + 17, 5 * positions.STRETCH + 17, 1)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("bitmap_construct_agg") >= 1
+
+
+def test_lost_between_two_stretches(spark):
+    s = positions.STRETCH
+    rows = [("t", 0, o) for o in (s - 3, s - 2, 3 * s + 1, 3 * s + 2, 3 * s + 2)]
+    assert found(spark, rows) == [("t", 0, "doubled", 3 * s + 2, 3 * s + 2, 1), ("t", 0, "missing", s - 1, 3 * s, 2 * s + 2)]
+
+
+def test_columns_with_clashing_names(spark):
+    rows = spark.createDataFrame([("t", 0, 1), ("t", 0, 3)], ROW).withColumn("kind", F.lit(9)).withColumn("n", F.lit("x")).withColumn("stretch", F.lit(None).cast("int"))
+    assert [tuple(r) for r in positions.position_audit(rows).collect()] == [("t", 0, "missing", 2, 2, 1)]
