@@ -41,6 +41,11 @@ PERMUTATIONS = 3
 
 #: Times that the components of each list are compared to one of its sets before all that is left is.
 STAR_TURNS = 2
+#: A set is compared to a leader that it shares lists with for one in so many of its shingles.
+LIKELY = 64
+
+#: Entries of a list that is paired at once with others like it.
+SHORT = 24
 
 #: Entries of a list that are handled together, and of the blocks that are skipped within.
 LIST = 2048
@@ -329,6 +334,28 @@ def shared_entries(index: DataFrame) -> DataFrame:
     return materialise(ordered.mapInArrow(keep, ENTRY), "lists")
 
 
+def pairs_of_lists(n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`pairs_in` of lists that follow one another, and the number of the list of each pair; short lists all at once."""
+    ends = np.append(begins[1:], len(n))
+    sizes = ends - begins
+    short = sizes <= SHORT
+    x = np.flatnonzero(np.repeat(short, sizes))
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    times = ends[of[x]] - x - 1
+    i = np.repeat(x, times)
+    j = np.arange(len(i)) - np.repeat(np.cumsum(times) - times, times) + i + 1
+    need, after = 3 * (n[i] + n[j]), 7 * np.minimum(n[i] - first[i], n[j] - first[j])
+    on = (component[i] != component[j]) & (4 * n[i] >= 3 * n[j]) & (after + 7 * np.minimum(last[i], last[j]) >= need)
+    pairs, firsts, lists = [np.stack([i[on], j[on]], 1)], [(after >= need)[on]], [of[i[on]]]
+    for k in np.flatnonzero(~short).tolist():
+        some = slice(begins[k], ends[k])
+        found, begin = pairs_in(n[some], first[some], last[some], component[some])
+        pairs.append(found + begins[k])
+        firsts.append(begin)
+        lists.append(np.full(len(found), k))
+    return np.concatenate(pairs), np.concatenate(firsts), np.concatenate(lists)
+
+
 def pairs_in(n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of one list, sorted by size, that may link by size and position and lie in different components;
     and for each whether the shared shingle may be the first that they share.
@@ -374,6 +401,8 @@ def list_stars(lists: DataFrame, tags: DataFrame, turn: int) -> DataFrame:
     close = (3 * F.col("n") <= 4 * F.col("n_t")) & (3 * F.col("n_t") <= 4 * F.col("n"))
     met = lists.join(open_lists, "token").where((F.col("component") != F.col("of_t")) & close)
     counted = met.groupBy(F.col("node").alias("s"), "t", F.col("component").alias("of_s"), "of_t", "n", "n_t").agg(F.count("*").alias("shared"))
+    # near copies have most lists in common, and with them the leaders; what is passed over here is a candidate later
+    counted = counted.where(LIKELY * F.col("shared") >= F.least("n", "n_t"))
     likely = (F.col("shared") / (F.col("n") + F.col("n_t"))).alias("likely")
     return likeliest(materialise(counted.select("s", "t", "of_s", "of_t", likely), "starred"))
 
@@ -415,19 +444,11 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
             key = np.flatnonzero(
                 np.concatenate([[True], (c["token"][1:] != c["token"][:-1]) | (c["one"][1:] != c["one"][:-1]) | (c["two"][1:] != c["two"][:-1])])
             )
-            pairs, firsts, of_list = [], [], []
-            for i, (a, b) in enumerate(zip(key, [*key[1:], len(c["token"])], strict=True)):
-                x, first = pairs_in(*(c[k][a:b].astype(np.int64) for k in ("n", "first", "last")), c["component"][a:b])
-                x += a
-                if c["one"][a] != c["two"][a]:
-                    across = c["part"][x[:, 0]] != c["part"][x[:, 1]]
-                    x, first = x[across], first[across]
-                flip = c["family"][x[:, 0]] > c["family"][x[:, 1]]
-                x[flip] = x[flip][:, ::-1]
-                pairs.append(x)
-                firsts.append(first)
-                of_list.append(np.full(len(x), i))
-            x, first, of_list = (np.concatenate(v) for v in (pairs, firsts, of_list))
+            x, first, of_list = pairs_of_lists(*(c[k].astype(np.int64) for k in ("n", "first", "last")), c["component"], key)
+            met_here = (c["one"][x[:, 0]] == c["two"][x[:, 0]]) | (c["part"][x[:, 0]] != c["part"][x[:, 1]])
+            x, first, of_list = x[met_here], first[met_here], of_list[met_here]
+            flip = c["family"][x[:, 0]] > c["family"][x[:, 1]]
+            x[flip] = x[flip][:, ::-1]
             f, g = (c["family"][x[:, i]] for i in (0, 1))
             order = np.lexsort((of_list, g, f))
             f, g, x, first, of_list = (v[order] for v in (f, g, x, first, of_list))

@@ -151,6 +151,27 @@ def test_many_near_copies_make_few_candidates(spark, monkeypatch):
     assert seen[0].count() <= 2000
 
 
+@pytest.mark.parametrize("short", [0, 3, 1000])
+def test_lists_are_paired_alike_at_once_or_by_blocks(monkeypatch, short):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(jaccard, "SHORT", short)
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    sizes = rng.integers(1, 30, 40)
+    begins = np.cumsum(sizes) - sizes
+    n = np.concatenate([np.sort(rng.integers(4, 40, k)) for k in sizes])
+    first = (n * rng.random(len(n)) / 4).astype(np.int64)
+    last, component = first + rng.integers(0, 3, len(n)), rng.integers(0, 4, len(n))
+    x, begin, of = jaccard.pairs_of_lists(n, first, last, component, begins)
+    want = set()
+    for k, (a, size) in enumerate(zip(begins.tolist(), sizes.tolist())):
+        for i in range(a, a + size):
+            for j in range(i + 1, a + size):
+                after, need = 7 * min(n[i] - first[i], n[j] - first[j]), 3 * (n[i] + n[j])
+                if component[i] != component[j] and 4 * n[i] >= 3 * n[j] and after + 7 * min(last[i], last[j]) >= need:
+                    want.add((i, j, bool(after >= need), k))
+    assert {(int(i), int(j), bool(b), int(k)) for (i, j), b, k in zip(x, begin, of)} == want and len(x) == len(want)
+
+
 def test_frequent_shingles_come_last():
     often = np.array([5, 2**63 + 8], np.uint64), np.array([1, 0], np.uint64)
     tokens = jaccard.in_order(np.array([5, 2**63 + 8, 2**64 - 1, 0], np.uint64), often)
