@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from changeflow.operators.evolve import to_schema, unified_schema
+from changeflow.session import materialise
 from changeflow.sources.envelope import event_key, source_struct
 
 
@@ -95,3 +96,56 @@ def merge_snapshot(rows: DataFrame, windows: DataFrame, log: DataFrame, key: str
         F.col("high.ts_ms").cast("bigint").alias("ts_ms"),
         source_struct(table, F.col("high.lsn"), F.col("high.ts_ms")).alias("source"),
     ).unionByName(log.select("before", "after", "op", "ts_ms", "source"))
+
+
+#: Ranges that a span of keys is cut into, twice over: the first are compared before the second.
+RANGES = 1024
+
+
+def row_digests(rows: DataFrame, *by: str) -> DataFrame:
+    """``n, d0 .. d3`` per group of rows (``row``, a struct): sums of two 64-bit hashes of each row, by halves, in any order.
+
+    Hashing passes over NULL, so which columns are NULL is hashed as well.
+    """
+    fields = [F.col(f"row.{f}") for f in rows.schema["row"].dataType.names]
+    nulls = F.concat(*[F.when(f.isNull(), "1").otherwise("0") for f in fields])
+    one, two = F.xxhash64(nulls, *fields), F.xxhash64(*fields, nulls, F.lit(1))
+    halves = [h for x in (one, two) for h in (F.shiftright(x, 32), x.bitwiseAND(0xFFFFFFFF))]
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), *[F.sum(h).alias(f"d{i}") for i, h in enumerate(halves)])
+
+
+def differing(old: DataFrame, new: DataFrame, by: str) -> DataFrame:
+    """The values of ``by`` whose rows differ between the two sides."""
+    facts = ("n", "d0", "d1", "d2", "d3")
+    sides = [row_digests(x, by).select(F.col(by).alias(f"{by}_{s}"), F.struct(*facts).alias(s)) for x, s in ((old, "a"), (new, "b"))]
+    met = sides[0].join(sides[1], F.col(f"{by}_a").eqNullSafe(F.col(f"{by}_b")), "full")
+    # the null key is a key like any other, so a side that is not there is told by its digest
+    value = F.when(F.col("a").isNull(), F.col(f"{by}_b")).otherwise(F.col(f"{by}_a"))
+    return met.where(~F.col("a").eqNullSafe(F.col("b"))).select(value.alias(by))
+
+
+def snapshot_diff_by_range(old: DataFrame, new: DataFrame, key: str, ranges: int = RANGES) -> DataFrame:
+    """:func:`snapshot_diff` where most of the rows are alike: only rows of key ranges that differ are shuffled and joined.
+
+    The span of the integer ``key`` is cut into ``ranges`` ranges, and each of those again. Both sides are digested per range, with
+    map-side combine, and compared: first the large ranges, then the small ones within those that differ. There are at most
+    ``ranges`` of the first and its square of the second, which bounds what is sent to the tasks to choose rows by. At last the keys are
+    compared: one whose rows are alike on both sides is not reported, however often it comes.
+    """
+    schema = unified_schema(old.schema, new.schema)
+    names = [key, *[f.name for f in schema if f.name != key]]
+    ends = old.select(key).union(new.select(key)).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    lo, width = ends.lo or 0, 1 + ((ends.hi or 0) - (ends.lo or 0)) // ranges**2
+    small = F.coalesce(F.floor((F.col(key) - lo) / width), F.lit(-1))
+
+    def side(rows: DataFrame) -> DataFrame:
+        rows = to_schema(rows, schema).withColumn("row", F.struct(*names)).select(F.col(key).alias("k"), "row", small.alias("small"))
+        return rows.withColumn("large", F.floor(F.col("small") / ranges))
+
+    sides = [side(old), side(new)]
+    for level in ("large", "small"):
+        chosen = materialise(differing(*sides, level), level)
+        sides = [s.join(F.broadcast(chosen), level, "left_semi") for s in sides]
+    keys = differing(*[s.select("k", "row") for s in sides], "k").withColumnRenamed("k", "changed")
+    found = snapshot_diff(*[s.select("row.*") for s in sides], key)
+    return found.join(keys, F.col("k").eqNullSafe(F.col("changed")), "left_semi")

@@ -14,6 +14,7 @@ from changeflow.operators.reconcile import reconcile_markers
 from changeflow.plans.shop import ORDERS, TABLES
 from changeflow.sources import routing
 from changeflow.sources.capture import snapshot_diff as diff
+from changeflow.sources.capture import snapshot_diff_by_range as diff_by_range
 from changeflow.sources.capture import snapshot_envelopes as snapshot_events
 from changeflow.sources.decode import decode_envelopes as decode
 from changeflow.sources.decode import drop_tombstones as without_tombstones
@@ -252,6 +253,26 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH base AS (SELECT k, min(customer_id) AS customer_id, min(status) AS status, count(*) AS n
+                      FROM ({sql.BASE['orders']}) GROUP BY k),
+             old AS (SELECT * FROM base WHERE k % 1000 NOT BETWEEN 120 AND 124),
+             new AS (SELECT k, customer_id, CASE WHEN k % 1000 BETWEEN 40 AND 60 AND k % 3 = 0 THEN 'cancelled' ELSE status END AS status, n
+                     FROM base WHERE k % 1000 NOT BETWEEN 100 AND 110)
+        SELECT coalesce(o.k, n.k) AS k, o.status AS old_status, n.status AS new_status,
+               CASE WHEN o.n > 1 OR n.n > 1 THEN '?' WHEN o.k IS NULL THEN 'c' WHEN n.k IS NULL THEN 'd' ELSE 'u' END AS op
+        FROM old o FULL JOIN new n ON o.k = n.k WHERE o.status IS DISTINCT FROM n.status OR o.n IS DISTINCT FROM n.n"""
+)
+def snapshot_diff_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots that differ in a few ranges of keys only."""
+    k = F.col("order_id")
+    rows = base_rows(spark, sf_dir, "orders").drop("base_ms")
+    status = F.when((k % 1000).between(40, 60) & (k % 3 == 0), "cancelled").otherwise(F.col("status"))
+    new = rows.where(~(k % 1000).between(100, 110)).withColumn("status", status)
+    found = diff_by_range(rows.where(~(k % 1000).between(120, 124)), new, "order_id")
+    return found.select("k", "op", F.col("before.status").alias("old_status"), F.col("after.status").alias("new_status"))
+
+
 @query(
     f"""WITH wanted AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 97 = 0),
              came AS (SELECT k, count(*) AS n FROM ({sql.events('orders')})

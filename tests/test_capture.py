@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from changeflow.plans import silver
 from changeflow.plans.shop import ORDERS
-from changeflow.sources.capture import chunk_of, merge_snapshot
+from changeflow.sources.capture import chunk_of, merge_snapshot, snapshot_diff, snapshot_diff_by_range
 from changeflow.workload.derive import bronze
 from changeflow.workload.state import CHUNK, chunked_snapshot
 from shopdata import NOON, T0, event, log
@@ -95,3 +95,46 @@ def test_one_chunk_with_most_events(spark):
 
 def test_orders_schema():
     assert ORDERS.image == ROW
+
+
+def snapshots(spark):
+    old = spark.createDataFrame([(i, f"s{i % 5}", i) for i in range(3000)] + [(None, "n", 0), (77, "s2", 77), (900, "s0", 900)], "id bigint, s string, n int")
+    new = spark.createDataFrame(
+        [(i, "new" if i % 1000 == 7 else f"s{i % 5}", i) for i in range(3000) if i not in (5, 2999)] + [(None, "m", 0), (77, "s2", 77), (4000, None, None)],
+        "id bigint, s string, n int",
+    )
+    return old, new
+
+
+@pytest.mark.parametrize("ranges", [2, 16, 1024])
+def test_diff_by_range_equals_the_whole_diff(spark, ranges):
+    old, new = snapshots(spark)
+    want = {str(r.k): (r.op, r.before, r.after) for r in snapshot_diff(old, new, "id").collect()}
+    got = {str(r.k): (r.op, r.before, r.after) for r in snapshot_diff_by_range(old, new, "id", ranges).collect()}
+    # a key that comes twice and alike on both sides is no change
+    assert want.pop("77")[0] == "?"
+    assert got == want and {v[0] for v in got.values()} == {"c", "u", "d", "?"}
+
+
+def test_diff_by_range_of_other_columns_and_empty_sides(spark):
+    old, new = snapshots(spark)
+    wide = new.withColumn("row", F.when(F.col("id") == 9, 1)).withColumn("k", F.lit(None).cast("string")).withColumn("small", F.lit(None).cast("int"))
+    got = {r.k for r in snapshot_diff_by_range(new, wide, "id", 16).collect()}
+    assert got == {9}
+    none = old.where("false")
+    assert snapshot_diff_by_range(none, none, "id").isEmpty()
+    assert snapshot_diff_by_range(none, new, "id", 16).count() == new.select("id").distinct().count()
+    swapped = spark.createDataFrame([(1, None, 5), (2, "5", None)], "id bigint, s string, n int")
+    assert snapshot_diff_by_range(swapped, swapped.withColumn("n", F.lit(None).cast("int")), "id").count() == 1
+
+
+def test_rows_of_like_ranges_are_not_shuffled(spark):
+    """The rows that meet in the join at the end are those of the few ranges that differ."""
+    rows = spark.range(200_000).selectExpr("id", "concat('x', id) AS s")
+    new = rows.withColumn("s", F.when(F.col("id") == 123_456, "y").otherwise(F.col("s")))
+    found = snapshot_diff_by_range(rows, new, "id", 64)
+    assert [(r.k, r.op) for r in found.collect()] == [(123_456, "u")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    chosen = found._jdf.queryExecution().optimizedPlan().toString()
+    assert chosen.count("LeftSemi") >= 4
