@@ -7,7 +7,7 @@ Two sets link if ``100 * |intersection| >= 75 * |union|``, that is ``7 * |inters
 2. Nodes that share a smallest hash are compared to the least node among them: a star, not all pairs. A node so
    linked joins its leader's family and keeps what it has more and less than the leader.
 3. An inverted index over prefixes: linked sets share a shingle among the first quarter of both. Lists whose sets
-   are all in one component already are skipped whole. Each list's components are compared to one of its sets, twice.
+   are all in one component already are skipped whole. Each list's components are compared to one of its sets.
 4. What is left is indexed by family: of each list a family has a row per size, and within a list blocks are skipped by
    size and position. A pair of families is one candidate, however many members meet.
 5. The leaders of two families are compared exactly. That bounds the overlap of all their members, whose sets are the
@@ -29,9 +29,9 @@ from changeflow.llm.shingles import BASE, in_chunks, mixed
 from changeflow.operators.skew import hot_from_counts, salted_left_join
 from changeflow.session import materialise
 
-#: A shingle that more than this share of all sets hold is frequent; at most so many are, the most frequent ones.
-SHARE = 1 / 2000
-FREQUENT = 1 << 18
+#: A shingle that more sets than these hold is frequent; at most so many are, the most frequent ones.
+OFTEN = 16
+FREQUENT = 1 << 20
 #: Shingles that a task counts at once, and counts that it keeps.
 COUNTED = 1 << 21
 #: Bits of the filter on texts: for each that is wanted, and at most.
@@ -40,7 +40,7 @@ FILTER_BITS = 1 << 27
 PERMUTATIONS = 3
 
 #: Times that the components of each list are compared to one of its sets before all that is left is.
-STAR_TURNS = 2
+STAR_TURNS = 1
 #: A set is compared to a leader that it shares lists with for one in so many of its shingles.
 LIKELY = 64
 
@@ -51,6 +51,9 @@ SHORT = 24
 LIST = 2048
 BLOCK = 128
 
+#: Pairs that a task holds.
+PAIRS = 1 << 20
+
 #: Sets that meet one set in a task.
 MEETINGS = 256
 
@@ -97,7 +100,7 @@ class Counter:
     def settle(self) -> None:
         if self.held:
             keys, n = np.unique(np.concatenate(self.held), return_counts=True)
-            often = n >= max(2, len(self.seen) * SHARE)
+            often = n > 1
             keys, n = np.concatenate([self.keys, keys[often]]), np.concatenate([self.n, n[often]])
             order = np.argsort(keys, kind="stable")
             keys, n = keys[order], n[order]
@@ -142,7 +145,7 @@ def profiles(docs: DataFrame) -> DataFrame:
     return materialise(read.mapInArrow(profile, PROFILE), "profiles")
 
 
-def frequent(profiled: DataFrame, n_sets: int) -> tuple[np.ndarray, np.ndarray]:
+def frequent(profiled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The frequent shingles, sorted, and the rank of each by how many sets hold it; fewer than :data:`FREQUENT`, since
     each holds more than that part of all counts."""
 
@@ -155,7 +158,7 @@ def frequent(profiled: DataFrame, n_sets: int) -> tuple[np.ndarray, np.ndarray]:
     counted = profiled.where("n = -1").select("counts").mapInArrow(unpack, "shingle long, n long")
     counted = materialise(counted.groupBy("shingle").agg(F.sum("n").alias("n")), "counted")
     total = counted.agg(F.sum("n").alias("n")).first().n or 0
-    rows = counted.where(F.col("n") > max(n_sets * SHARE, total / FREQUENT)).toArrow()
+    rows = counted.where(F.col("n") > max(OFTEN, total / FREQUENT)).toArrow()
     shingles, n = rows["shingle"].to_numpy().view(np.uint64), rows["n"].to_numpy()
     rank = np.empty(len(n), np.uint64)
     rank[np.lexsort((shingles, n))] = np.arange(len(n), dtype=np.uint64)
@@ -439,7 +442,7 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
     )
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(table: pa.Table) -> pa.RecordBatch:
+        def found(table: pa.Table) -> list[np.ndarray]:
             c = {name: table[name].to_numpy() for name in table.column_names}
             key = np.flatnonzero(
                 np.concatenate([[True], (c["token"][1:] != c["token"][:-1]) | (c["one"][1:] != c["one"][:-1]) | (c["two"][1:] != c["two"][:-1])])
@@ -450,21 +453,44 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
             flip = c["family"][x[:, 0]] > c["family"][x[:, 1]]
             x[flip] = x[flip][:, ::-1]
             f, g = (c["family"][x[:, i]] for i in (0, 1))
+            n = c["n"].astype(np.int64)[x]
+            # a pair counts once for each list
             order = np.lexsort((of_list, g, f))
-            f, g, x, first, of_list = (v[order] for v in (f, g, x, first, of_list))
-            new = np.ones(len(f), bool)
-            new[1:] = (f[1:] != f[:-1]) | (g[1:] != g[:-1])
-            in_list = new.copy()
-            in_list[1:] |= of_list[1:] != of_list[:-1]
+            new = np.ones(len(order), bool)
+            new[1:] = (np.diff(f[order]) != 0) | (np.diff(g[order]) != 0) | (np.diff(of_list[order]) != 0)
+            counts = np.zeros(len(order), np.int64)
+            counts[order[new]] = 1
+            return [f, g, n[:, 0], n[:, 0], n[:, 1], n[:, 1], *(c["component"][x[:, i]] for i in (0, 1)), counts, first]
+
+        def combined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+            """One row for each pair."""
+            columns = [np.concatenate(v) for v in zip(*parts, strict=True)]
+            order = np.lexsort((columns[1], columns[0]))
+            columns = [v[order] for v in columns]
+            new = np.ones(len(order), bool)
+            new[1:] = (np.diff(columns[0]) != 0) | (np.diff(columns[1]) != 0)
             at = np.flatnonzero(new)
-            n = c["n"].astype(np.int64)
-            over = lambda how, v: how.reduceat(v, at) if len(at) else v[:0]
-            columns = (
-                f[at], g[at], *(over(how, n[x[:, i]]) for i in (0, 1) for how in (np.minimum, np.maximum)),
-                *(c["component"][x[at, i]] for i in (0, 1)), over(np.add, in_list.astype(np.int64)), over(np.logical_or, first),
-            )
+            if not len(at):
+                return columns
+            f, g, f_lo, f_hi, g_lo, g_hi, of_f, of_g, shared, first = columns
+            spans = [how.reduceat(v, at) for how, v in ((np.minimum, f_lo), (np.maximum, f_hi), (np.minimum, g_lo), (np.maximum, g_hi))]
+            return [f[at], g[at], *spans, of_f[at], of_g[at], np.add.reduceat(shared, at), np.logical_or.reduceat(first, at)]
+
+        def sent(columns: list[np.ndarray]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=[v.split()[0] for v in SHARED.split(", ")])
 
+        made: list[list[np.ndarray]] = []
+
+        def gathered(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            """Pairs of a task are held together as long as they are not too many."""
+            nonlocal made
+            made.append(found(table))
+            if sum(len(m[0]) for m in made) > PAIRS:
+                made = [combined(made)]
+                if len(made[0][0]) > PAIRS // 2:
+                    yield sent(made[0])
+                    made = []
+
         held = None
         for batch in batches:
             batch = pa.RecordBatch.from_arrays(batch.columns, names=batch.schema.names)
@@ -476,13 +502,17 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
             if (token[0], one[0], two[0]) == (token[-1], one[-1], two[-1]):
                 open_at = 0
             if open_at:
-                yield found(table.slice(0, open_at))
+                yield from gathered(table.slice(0, open_at))
             held = table.slice(open_at)
         if held is not None and held.num_rows:
-            yield found(held)
+            yield from gathered(held)
+        if made:
+            yield sent(combined(made))
 
     columns = ("token", "one", "two", "part", "family", "n", "first", "last", "component")
-    sorted_lists = met.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two", "n", "family")
+    # frequent shingles of neighbouring ranks mostly stem from one passage: their lists hold the same pairs
+    near = F.when(F.col("token") < 0, F.shiftright("token", 6)).otherwise(F.col("token"))
+    sorted_lists = met.repartition(near, "one", "two").sortWithinPartitions("token", "one", "two", "n", "family")
     shared = sorted_lists.select(*columns).mapInArrow(pair, SHARED)
     ends = [F.min("f_lo").alias("f_lo"), F.max("f_hi").alias("f_hi"), F.min("g_lo").alias("g_lo"), F.max("g_hi").alias("g_hi")]
     counted = shared.groupBy("f", "g", "of_f", "of_g").agg(*ends, F.sum("shared").alias("shared"), F.max("begins").alias("begins"))
@@ -567,7 +597,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
         *[F.min(f"k{i}").alias(f"k{i}") for i in range(PERMUTATIONS)],
     )
     nodes = materialise(nodes, "nodes")
-    often = frequent(profiled, nodes.count())
+    often = frequent(profiled)
     none = F.lit(None).cast("binary")
 
     def compared(asked: DataFrame) -> DataFrame:

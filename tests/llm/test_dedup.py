@@ -86,7 +86,7 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("limits", [{}, {"LIST": 16, "BLOCK": 4, "MEETINGS": 5, "STAR_TURNS": 0, "COUNTED": 64}, {"STAR_TURNS": 0, "SHARE": 2.0}])
+@pytest.mark.parametrize("limits", [{}, {"LIST": 16, "BLOCK": 4, "MEETINGS": 5, "STAR_TURNS": 0, "COUNTED": 64}, {"STAR_TURNS": 0, "OFTEN": 2, "PAIRS": 50}])
 def test_near_groups_equal_brute_force(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(jaccard, name, value)
@@ -124,7 +124,7 @@ def split_families():
     return rows
 
 
-@pytest.mark.parametrize("turns", [0, 2])
+@pytest.mark.parametrize("turns", [0, 1])
 def test_members_link_where_leaders_do_not(spark, monkeypatch, turns):
     monkeypatch.setattr(jaccard, "STAR_TURNS", turns)
     rows = split_families()
