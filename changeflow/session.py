@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -32,10 +33,15 @@ def own_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory for checkpoints and staged files, reachable by every executor.
 
-    It lies under ``spark.checkpoint.dir``, or where that is unset beside the tables in
-    ``spark.sql.warehouse.dir``, which executors share in any deployment.
+    It lies under ``spark.checkpoint.dir``, or where that is unset beside the tables in ``spark.sql.warehouse.dir``. On
+    a cluster a warehouse in a local folder would be another one on each machine, so it is refused there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_staged"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir") + "/_staged"
+        one_machine = re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master"))
+        if not one_machine and re.match(r"/|file:", root):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
