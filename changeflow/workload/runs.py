@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.functions import sketches
 from changeflow.operators import positions, runs
+from changeflow.session import materialise
 from changeflow.workload.derive import table
 from changeflow.workload.registry import query
 
@@ -97,6 +99,28 @@ def cdc_latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, true AS p50_within, true AS p95_within
+       FROM events GROUP BY ALL"""
+)
+def latency_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of each day from stored sketches of its hours, held against the values themselves."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.round(F.col("value") * 100).cast("bigint").alias("latency")
+    )
+    hourly = materialise(sketches.interval_sketches(events, "latency", "ts"), "sketches")
+    wanted = {"p50": 0.5, "p95": 0.95}
+    daily = sketches.merged_percentiles(hourly, wanted)
+    compared = events.withColumn("start", F.date_trunc("day", "ts")).join(daily, "start")
+    counts = [F.count_if(F.expr(f"latency {op} {p}")).alias(f"{p}_{side}") for p in wanted for op, side in (("<", "below"), ("<=", "upto"))]
+    ranked = compared.groupBy("start", "n").agg(*counts)
+    within = [
+        ((F.col(f"{p}_below") <= (share + sketches.RANK_ERROR) * F.col("n")) & (F.col(f"{p}_upto") >= (share - sketches.RANK_ERROR) * F.col("n"))).alias(f"{p}_within")
+        for p, share in wanted.items()
+    ]
+    return ranked.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "n", *within)
+
+
 POSITIONS_SQL = """
     SELECT 'events' AS topic, CASE WHEN event_id % 10 < 7 THEN 0 ELSE event_id % 10 - 6 END AS part,
            CASE WHEN event_id % 10 < 7 THEN event_id // 10 * 7 + event_id % 10 ELSE event_id // 10 END AS o
