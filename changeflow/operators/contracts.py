@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,6 +137,11 @@ def backward_differences(old: str, new: str, defaults: tuple[str, ...] = ()) ->
 REGISTRY = "subject string, version int, valid_from bigint, rule string, contract string"
 
 
+def empty_registry(spark: SparkSession) -> DataFrame:
+    """A registry without versions."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(REGISTRY)])
+
+
 def register(
     registry: DataFrame, subject: str, valid_from: int, contract: str, rule: str | None = None, defaults: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -158,7 +163,8 @@ def register(
         if found:
             raise ContractViolation(f"{subject}: " + "; ".join(found))
     row = (subject, newest.version + 1 if newest else 1, valid_from, rule, contract)
-    return registry.sparkSession.createDataFrame([row], REGISTRY)
+    fields = T.StructType.fromDDL(REGISTRY)
+    return registry.sparkSession.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields, strict=True)])
 
 
 def _verdict(value: Column, kind: T.DataType) -> Column:

@@ -361,7 +361,7 @@ VERSIONS = (
 )
 def contract_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices as text, too large, with cents and with mills; tags of both kinds or none; judged by the version of their time."""
-    registry = spark.createDataFrame([], contracts.REGISTRY)
+    registry = contracts.empty_registry(spark)
     for subject, since, contract, rule, defaults in VERSIONS:
         registry = registry.unionByName(contracts.register(registry, subject, since, contract, rule, defaults))
     k = F.col("product_id")

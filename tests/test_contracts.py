@@ -87,7 +87,7 @@ def test_default_by_path():
 
 @pytest.fixture
 def registry(spark):
-    return spark.createDataFrame([], contracts.REGISTRY)
+    return contracts.empty_registry(spark)
 
 
 def test_registration_decides(spark, registry):
