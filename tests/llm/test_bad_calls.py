@@ -22,7 +22,7 @@ def conversation(conv, arguments):
 def test_one_bad_call_spoils_no_other(spark):
     messages = spark.createDataFrame(conversation(1, BAD) + conversation(2, GOOD) + conversation(3, GOOD + BAD), MESSAGES)
     got = {r.conv_id: r for r in tool_calls.formatted(messages, {"find": SCHEMA}).collect()}
-    assert {c: (r.n_ok, r.n_invalid) for c, r in got.items()} == {1: (len(BAD), len(BAD)), 2: (len(GOOD), 0), 3: (len(GOOD + BAD), len(BAD))}
+    assert {c: (r.n_ok, r.n_invalid) for c, r in got.items()} == {1: (0, len(BAD)), 2: (len(GOOD), 0), 3: (len(GOOD), len(BAD))}
     for call in json.loads(got[1].document)["tool_calls"]:
         assert call["errors"] == ["$: not JSON"] and call["arguments"] == BAD[int(call["id"][1:])]
     assert [c["arguments"] for c in json.loads(got[2].document)["tool_calls"]] == [{"limit": 1e300}, {"limit": 3}, {"q": "\U0001f600"}, {}, {}, {"q": "é"}]
