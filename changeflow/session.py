@@ -57,3 +57,10 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder of :func:`shared_dir` that is no longer needed, by the file system it lies on."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the folder of a frame that :func:`materialise` returned, or of one that only filters it, once it is read to its end."""
+    files = df.inputFiles()
+    if files:
+        remove_dir(df.sparkSession, files[0].rsplit("/", 1)[0])

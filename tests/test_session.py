@@ -2,7 +2,7 @@
 
 import pytest
 
-from changeflow.session import own_conf, shared_dir
+from changeflow.session import drop_staged, materialise, own_conf, shared_dir
 
 
 class Conf:
@@ -44,3 +44,13 @@ def test_own_conf_is_taken_back(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3" and spark.conf.get("spark.changeflow.x") == "1"
         raise ValueError
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8" and spark.conf.get("spark.changeflow.x", None) is None
+
+
+def test_staged_frames_are_dropped_alone(spark):
+    one, two = (materialise(spark.range(5), "one"), materialise(spark.range(7).where("id > 9"), "two"))
+    drop_staged(one.where("id > 2"))
+    drop_staged(two)
+    three = materialise(spark.range(3), "three")
+    assert three.count() == 3
+    with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST"):
+        one.count()
