@@ -27,7 +27,7 @@ from changeflow.llm.components import components
 from changeflow.llm.exact_dedup import one_of_each
 from changeflow.llm.shingles import BASE, in_chunks, mixed
 from changeflow.operators.skew import hot_from_counts, salted_left_join
-from changeflow.session import materialise
+from changeflow.session import drop_staged, materialise
 
 #: A shingle that more sets than these hold is frequent; at most so many are, the most frequent ones.
 OFTEN = 16
@@ -511,7 +511,7 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
 
     columns = ("token", "one", "two", "part", "family", "n", "first", "last", "component")
     # frequent shingles of neighbouring ranks mostly stem from one passage: their lists hold the same pairs
-    near = F.when(F.col("token") < 0, F.shiftright("token", 6)).otherwise(F.col("token"))
+    near = F.when(F.col("token") < 0, F.shiftright("token", 8)).otherwise(F.col("token"))
     sorted_lists = met.repartition(near, "one", "two").sortWithinPartitions("token", "one", "two", "n", "family")
     shared = sorted_lists.select(*columns).mapInArrow(pair, SHARED)
     ends = [F.min("f_lo").alias("f_lo"), F.max("f_hi").alias("f_hi"), F.min("g_lo").alias("g_lo"), F.max("g_hi").alias("g_hi")]
@@ -602,15 +602,19 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     def compared(asked: DataFrame) -> DataFrame:
         involved = asked.select(F.col("lead").alias("node")).union(asked.select(F.col("t").alias("node")))
-        return meet(asked, sets_of(docs, nodes, involved))
+        sets = sets_of(docs, nodes, involved)
+        found = meet(asked, sets)
+        drop_staged(sets)  # the largest of what is staged, and read to its end
+        return found
 
     tried = stars(nodes)
     star = compared(tried.select("s", "t", F.col("s").alias("lead"), none.alias("more"), none.alias("less"))).where("linked")
-    links = star.select("s", "t")
+    links = materialise(star.select("s", "t"), "links")
     # a set's family is that of the leader it differs from least
     small = F.struct((F.octet_length("more") + F.octet_length("less")).alias("by"), "t", "more", "less")
     families = star.groupBy("s").agg(F.min(small).alias("of")).select("s", F.col("of.t").alias("lead"), "of.more", "of.less")
     families = materialise(families, "families")
+    drop_staged(star)
 
     def of_family(pairs: DataFrame) -> DataFrame:
         asked = pairs.select("s", "t").join(families, "s", "left").select("s", "t", F.coalesce("lead", "s").alias("lead"), "more", "less")
