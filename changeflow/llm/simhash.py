@@ -7,8 +7,8 @@
    they share beyond those of the nodes above it.
 3. A fingerprint walks down the tree of its part and adds up, node by node, in how many of the shared bits it differs;
    a node is left out with all below it where the sum is over 4, and where all below it are in its component already.
-4. Parts of one block's value meet each other if their shared bits allow it, after their entries were sorted by
-   component: parts that lie in one component are not compared.
+4. The entries of a block's value with several parts are sorted by component and cut into parts anew. A part meets itself
+   and, if their shared bits allow it, each other part of the value; what lies in one component is not compared.
 """
 
 from __future__ import annotations
@@ -179,10 +179,11 @@ class Union:
         return np.array(used, np.int64)
 
 
-def linked_within(codes: np.ndarray, edges: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links, by place, that join all entries of a part which chains of links join; each joins two components."""
+def linked_within(codes: np.ndarray, edges: np.ndarray, most: int, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links, by place, that join all entries of a part which chains of links join; each joins two components. ``label``:
+    the components that are known, if any."""
     forest = Forest(codes, edges)
-    union = Union(np.arange(len(codes)))
+    union = Union(np.arange(len(codes)) if label is None else label)
     next_to = np.flatnonzero((forest.root_of[1:] == forest.root_of[:-1]) & (np.bitwise_count(codes[1:] ^ codes[:-1]) <= most))
     union.join(next_to, next_to + 1)
     found = [(next_to, next_to + 1)]
@@ -297,22 +298,25 @@ def unturned(codes: np.ndarray, turns: np.ndarray, edges: list[int]) -> pa.Array
 
 
 def links_within(made: DataFrame, most: int) -> DataFrame:
-    """``a, b``: links between fingerprints of one part, as few as join them."""
+    """``a, b``: links between fingerprints of one part, as few as join them; parts with labels join known components."""
     edges = edges_of(most)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             turn, codes = batch[0].to_numpy(), [np.frombuffer(c, np.uint64) for c in batch[1].to_pylist()]
+            labels = batch[2].to_pylist()
             sizes = np.array([len(c) for c in codes], np.int64)
             groups = np.cumsum(sizes) // FOREST
             for group in np.unique(groups):
                 some = np.flatnonzero(groups == group)
                 all_codes = np.concatenate([codes[i] for i in some])
-                a, b = linked_within(all_codes, np.concatenate([[0], np.cumsum(sizes[some])]), most)
+                known = [labels[i] for i in some if labels[i] is not None]
+                label = np.concatenate([np.frombuffer(x, np.int64) for x in known]) if known else None
+                a, b = linked_within(all_codes, np.concatenate([[0], np.cumsum(sizes[some])]), most, label)
                 turns = np.repeat(turn[some], sizes[some])
                 yield pa.RecordBatch.from_arrays([unturned(all_codes[x], turns[x], edges) for x in (a, b)], names=["a", "b"])
 
-    return made.select("turn", "codes").mapInArrow(search, LINKS)
+    return made.select("turn", "codes", "labels").mapInArrow(search, LINKS)
 
 
 def links_across(made: DataFrame, most: int) -> DataFrame:
@@ -356,8 +360,10 @@ def print_components(prints: DataFrame, most: int = 4) -> DataFrame:
         named = materialise(named, "named")
         again = entries(named, most).join(F.broadcast(cut), ["turn", "block"], "left_semi")
         again = again.repartitionByRange("turn", "block", "component", "rank").sortWithinPartitions("turn", "block", "component", "rank")
-        across = links_across(materialise(parts(again, True), "parts"), most)
-        known = components(links.unionByName(materialise(across, "links")))
+        second = materialise(parts(again, True), "parts")
+        # the new order puts entries of different first parts together
+        joined = links_within(second.where("lo < hi"), most).unionByName(links_across(second, most))
+        known = components(links.unionByName(materialise(joined, "links")))
         named = prints.select("print").join(known.withColumnRenamed("node", "print"), "print", "left").withColumn("component", F.coalesce("component", "print"))
     return named
 

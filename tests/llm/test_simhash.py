@@ -93,6 +93,21 @@ def test_components_of_prints(spark, monkeypatch, shape, part):
     assert all(c == min(members) for c, members in mine.items())
 
 
+@pytest.mark.parametrize("seed", [6, 7])
+def test_pairs_that_only_the_second_order_brings_together(spark, monkeypatch, seed):
+    """One block in common: pairs of one value lie in different first parts and in one part by component."""
+    random.seed(seed)
+    prints = set()
+    for _ in range(60):
+        x = random.getrandbits(52)
+        prints |= {x, x ^ sum(1 << random.randrange(64 - hi, 64 - lo) for lo, hi in ((12, 25), (25, 38), (38, 51), (51, 64)))}
+    monkeypatch.setattr(simhash, "PART", 16)
+    signed = [(int(np.uint64(p).view(np.int64)),) for p in prints]
+    got = {r.print: r.component for r in simhash.print_components(spark.createDataFrame(signed, "print long")).collect()}
+    in_order = sorted(prints)
+    assert got == {p: in_order[i] for p, i in plain_components(prints).items()}
+
+
 def test_walk_finds_what_all_pairs_find():
     codes = np.array(sorted(balls(5, 30, 40, 5)), np.uint64)
     codes = codes[np.argsort(simhash.gray_rank(codes))]
