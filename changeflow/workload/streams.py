@@ -22,6 +22,8 @@ from changeflow.workload.registry import query
 
 #: Micro-batches that the state is built from.
 BATCHES = 6
+#: Events of a file, about; a batch has as many files as it needs.
+FILE_EVENTS = 1 << 19
 
 
 @query(f"SELECT op, count(*) AS n FROM ({sql.events('order_items')}) GROUP BY op")
@@ -38,8 +40,8 @@ def stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events come in any order over several batches, so many are late and meet stored rows."""
     root, target = shared_dir(spark, "state"), f"default.state_{uuid.uuid4().hex}"
     events = order_item_events(table(spark, sf_dir, "lineitem"))
-    dealt = F.pmod(F.xxhash64("before", "ts_ms"), F.lit(BATCHES))
-    events.withColumn("batch", dealt).repartition(BATCHES, "batch").drop("batch").write.parquet(f"{root}/events")
+    parts = BATCHES * max(1, -(-events.count() // (BATCHES * FILE_EVENTS)))
+    events.repartition(parts, "before", "ts_ms").write.parquet(f"{root}/events")
     files = len(spark.read.parquet(f"{root}/events").inputFiles())
     per_batch = max(1, -(-files // BATCHES))
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", per_batch).parquet(f"{root}/events")

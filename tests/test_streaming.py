@@ -13,6 +13,7 @@ from changeflow.sources.envelope import envelope_schema
 from changeflow.sources.topics import MESSAGE, POSITIONED, subscribe_files, topic_name
 from changeflow.streaming import state
 from changeflow.streaming.bronze import land, land_or_quarantine
+from changeflow.workload import streams
 from changeflow.workload.derive import bronze
 from shopdata import NOON, T0, event, log, seed
 from test_state import same_rows
@@ -289,3 +290,20 @@ def test_quarantine_lands_the_rest(spark, namespace, tmp_path):
     assert {r.order_id for r in silver.silver_orders(spark.table("bronze.orders")).collect()} == {2, 3}
     held = {r.value: r.field for r in spark.table("bronze.orders_held").collect()}
     assert held == {bad[0]: "*", bad[1]: "*", bad[2]: "order_id", bad[3]: "*", bad[4]: "*"}
+
+
+def test_events_are_dealt_into_files_of_bounded_size(spark, monkeypatch, tmp_path):
+    """However long the log, a task that deals it out gets about as many events as a file may hold."""
+    rows = spark.range(6000).selectExpr(
+        "id % 2500 AS l_orderkey", "cast(id % 4 AS int) AS l_linenumber", "id % 7 AS l_partkey", "id % 5 AS l_suppkey", "cast(id AS double) AS l_quantity",
+        "cast(id AS double) AS l_extendedprice", "if(id % 3 = 0, 'R', 'N') AS l_returnflag", "date_add(date'2024-01-01', cast(id % 900 AS int)) AS l_shipdate",
+    )
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(streams, "FILE_EVENTS", 200, raising=False)
+    monkeypatch.setattr(streams, "shared_dir", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    monkeypatch.setattr(streams, "remove_dir", lambda spark, path: None)
+    got = streams.stream_current_state(spark, str(tmp_path))
+    same_rows(got, silver.silver_order_items(bronze(spark, str(tmp_path), "order_items")))
+    sizes = [r["count"] for r in spark.read.parquet(f"{tmp_path}/state/events").groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 400
+    assert len(spark.read.text(f"{tmp_path}/state/checkpoint/commits").select(F.input_file_name()).distinct().collect()) == streams.BATCHES
