@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm.components import components
@@ -394,11 +394,27 @@ def pairs_in(n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.n
     return np.concatenate(found), np.concatenate(firsts)
 
 
+def enough_open(n: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of sets that share a shingle, one to a row: whether it may be the first that they share, and whether they
+    may link at all, by the lists that each shares with anyone ``before`` it and from it on (``after``).
+
+    What both prefixes hold is in such lists; the set whose prefix ends first has no more left than is beyond the larger's.
+    """
+    need, after = 3 * n.sum(axis=1), 7 * (after.min(axis=1) + beyond_prefix(n.max(axis=1)))
+    return after >= need, after + 7 * before.min(axis=1) >= need
+
+
 def list_stars(lists: DataFrame, tags: DataFrame, turn: int) -> DataFrame:
     """``s, t``: of the sets that share a list with another component's, each component's likeliest pair with a list's
-    leader. Every ``turn`` has other leaders; a row per entry, so linear in the lists."""
+    leader. Every ``turn`` has other leaders; a row per entry, so linear in the lists.
+
+    What is edited in a copy gives shingles of its own, which come before the frequent ones: at first the leader of a
+    frequent shingle is the set that has least before it, the least edited one, with which most copies link.
+    """
     lists = tagged(lists, tags)
-    lead = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), F.col("node").alias("t"), F.col("n").alias("n_t"), F.col("component").alias("of_t")))
+    edited = F.when(F.col("token") < 0, F.col("place") / F.col("n")).otherwise(0.0) if turn == 0 else F.lit(0.0)
+    by = F.struct(edited.alias("edited"), F.xxhash64("node", F.lit(turn)).alias("hash"))
+    lead = F.min(F.struct(by.alias("by"), F.col("node").alias("t"), F.col("n").alias("n_t"), F.col("component").alias("of_t")))
     open_lists = lists.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), lead.alias("lead"))
     open_lists = open_lists.where("lo < hi").select("token", "lead.t", "lead.n_t", "lead.of_t")
     close = (3 * F.col("n") <= 4 * F.col("n_t")) & (3 * F.col("n_t") <= 4 * F.col("n"))
@@ -425,7 +441,8 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
     Lists within one component are dropped before they meet. Of each list a family has one row per size. A list longer than
     :data:`LIST` is dealt into parts by hash, and every two parts meet in a task of their own. The shingles that prefixes
     of the two families share are counted: let the prefix of ``x`` end first in order, then what two sets share beyond it is at
-    most the rest of ``x``. So a pair whose count and larger rest together are too few cannot link.
+    most the rest of ``x``. So a pair whose count and larger rest together are too few cannot link. Nor can one whose open
+    lists, which bound that count on either side of a shared shingle, are too few: it is not made at all.
     """
     lists = tagged(lists, tags).groupBy("token", "family", "component", "n").agg(F.min("place").alias("first"), F.max("place").alias("last"))
     lists = materialise(lists, "family_lists")
@@ -436,10 +453,13 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
         .select("token", F.ceil(F.col("length") / LIST).cast("int").alias("parts"))
     )
     met = lists.join(open_lists, "token").withColumn("part", F.pmod(F.xxhash64("family", "n"), F.col("parts")).cast("int"))
+    own = Window.partitionBy("family", "n")
+    # the open lists of sets of one size of a family before a list, and from it on
+    met = met.withColumn("before", F.row_number().over(own.orderBy(F.col("token") < 0, "token")) - 1)
+    met = met.withColumn("after", (F.count("*").over(own) - F.col("before")).cast("int"))
     others = F.sequence(F.lit(0), F.col("parts") - 1)
-    met = met.withColumn("other", F.explode(others)).select(
-        "token", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "family", "n", "first", "last", "component"
-    )
+    columns = ("token", "one", "two", "part", "family", "n", "first", "last", "component", "before", "after")
+    met = met.withColumn("other", F.explode(others)).withColumns({"one": F.least("part", "other"), "two": F.greatest("part", "other")}).select(*columns)
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(table: pa.Table) -> list[np.ndarray]:
@@ -448,8 +468,9 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
                 np.concatenate([[True], (c["token"][1:] != c["token"][:-1]) | (c["one"][1:] != c["one"][:-1]) | (c["two"][1:] != c["two"][:-1])])
             )
             x, first, of_list = pairs_of_lists(*(c[k].astype(np.int64) for k in ("n", "first", "last")), c["component"], key)
-            met_here = (c["one"][x[:, 0]] == c["two"][x[:, 0]]) | (c["part"][x[:, 0]] != c["part"][x[:, 1]])
-            x, first, of_list = x[met_here], first[met_here], of_list[met_here]
+            begins, could = enough_open(*(c[k].astype(np.int64)[x] for k in ("n", "before", "after")))
+            met_here = could & ((c["one"][x[:, 0]] == c["two"][x[:, 0]]) | (c["part"][x[:, 0]] != c["part"][x[:, 1]]))
+            x, first, of_list = x[met_here], (first & begins)[met_here], of_list[met_here]
             flip = c["family"][x[:, 0]] > c["family"][x[:, 1]]
             x[flip] = x[flip][:, ::-1]
             f, g = (c["family"][x[:, i]] for i in (0, 1))
@@ -509,7 +530,6 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
         if made:
             yield sent(combined(made))
 
-    columns = ("token", "one", "two", "part", "family", "n", "first", "last", "component")
     # frequent shingles of neighbouring ranks mostly stem from one passage: their lists hold the same pairs
     near = F.when(F.col("token") < 0, F.shiftright("token", 8)).otherwise(F.col("token"))
     sorted_lists = met.repartition(near, "one", "two").sortWithinPartitions("token", "one", "two", "n", "family")

@@ -331,3 +331,24 @@ def test_queries_on_documents_equal_brute_force(spark):
     words = re.compile(r"[\x20\x09-\x0D]+")
     exact = {r.doc_id: r.text_sha256 for r in exact_dedup.query(spark, sf).collect()}
     assert exact == {d: hashlib.sha256(words.sub(" ", t or "").encode()).hexdigest() for d, t in rows}
+
+
+def test_sets_that_share_too_few_lists_are_no_pair(spark):
+    """Two sets of 280 share four of the shingles at the start of their prefixes, but nothing else with anyone."""
+    entries = [(t, node, 280, t - 1) for node in (1, 2) for t in (1, 2, 3, 4)]
+    entries += [(100 + t, node, 280, 10 + t) for node in (3, 4) for t in range(60)]
+    lists = spark.createDataFrame(entries, jaccard.ENTRY)
+    tags = spark.createDataFrame([], "node long, component long, family long")
+    assert {(r.s, r.t) for r in jaccard.candidates(lists, tags).collect()} == {(3, 4)}
+    n, before, after = (np.array([v, v]) for v in ([280, 280], [0, 0], [4, 60]))
+    after[0] = [4, 60]
+    begins, could = jaccard.enough_open(n, before, after)
+    assert begins.tolist() == could.tolist() == [False, True]
+
+
+def test_least_edited_set_leads_frequent_lists(spark):
+    """Frequent shingles (negative) have the set with least before it as leader, whatever its hash."""
+    entries = [(t - 2**63, node, 400, t + 5 * (node != 7)) for node in range(1, 40) for t in range(60)]
+    tags = spark.createDataFrame([], "node long, component long, family long")
+    got = {(r.s, r.t) for r in jaccard.list_stars(spark.createDataFrame(entries, jaccard.ENTRY), tags, 0).collect()}
+    assert got == {(node, 7) for node in range(1, 40) if node != 7}
