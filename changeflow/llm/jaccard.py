@@ -337,7 +337,27 @@ def shared_entries(index: DataFrame) -> DataFrame:
     return materialise(ordered.mapInArrow(keep, ENTRY), "lists")
 
 
-def pairs_of_lists(n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def enough_open(n: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of sets that share a shingle, one to a row: whether it may be the first that they share, and whether they
+    may link at all, by the lists that each shares with anyone ``before`` it and from it on (``after``).
+
+    What both prefixes hold is in such lists; the set whose prefix ends first has no more left than is beyond the larger's.
+    """
+    need, after = 3 * n.sum(axis=1), 7 * (after.min(axis=1) + beyond_prefix(n.max(axis=1)))
+    return after >= need, after + 7 * before.min(axis=1) >= need
+
+
+def only_open(pairs: np.ndarray, firsts: np.ndarray, n: np.ndarray, *open_lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of index pairs those that :func:`enough_open` leaves."""
+    if not open_lists:
+        return pairs, firsts
+    begins, could = enough_open(n[pairs], *(v[pairs] for v in open_lists))
+    return pairs[could], (firsts & begins)[could]
+
+
+def pairs_of_lists(
+    n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.ndarray, begins: np.ndarray, *open_lists: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """:func:`pairs_in` of lists that follow one another, and the number of the list of each pair; short lists all at once."""
     ends = np.append(begins[1:], len(n))
     sizes = ends - begins
@@ -349,23 +369,24 @@ def pairs_of_lists(n: np.ndarray, first: np.ndarray, last: np.ndarray, component
     j = np.arange(len(i)) - np.repeat(np.cumsum(times) - times, times) + i + 1
     need, after = 3 * (n[i] + n[j]), 7 * np.minimum(n[i] - first[i], n[j] - first[j])
     on = (component[i] != component[j]) & (4 * n[i] >= 3 * n[j]) & (after + 7 * np.minimum(last[i], last[j]) >= need)
-    pairs, firsts, lists = [np.stack([i[on], j[on]], 1)], [(after >= need)[on]], [of[i[on]]]
+    found, begin = only_open(np.stack([i[on], j[on]], 1), (after >= need)[on], n, *open_lists)
+    pairs, firsts, lists = [found], [begin], [of[found[:, 0]]]
     for k in np.flatnonzero(~short).tolist():
         some = slice(begins[k], ends[k])
-        found, begin = pairs_in(n[some], first[some], last[some], component[some])
+        found, begin = pairs_in(n[some], first[some], last[some], component[some], *[v[some] for v in open_lists])
         pairs.append(found + begins[k])
         firsts.append(begin)
         lists.append(np.full(len(found), k))
     return np.concatenate(pairs), np.concatenate(firsts), np.concatenate(lists)
 
 
-def pairs_in(n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def pairs_in(n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.ndarray, *open_lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of one list, sorted by size, that may link by size and position and lie in different components;
     and for each whether the shared shingle may be the first that they share.
 
     From ``first`` to ``last`` shingles of a set stand before the shared one. At most the smaller ``n - first`` are shared
     from here on and the smaller ``last`` before. Blocks that lie in one component or whose sizes or sums cannot suffice
-    are passed over.
+    are passed over. ``open_lists``, if given, are those before and after for :func:`enough_open`.
     """
     rest = n - first
     found, firsts = [], []
@@ -387,23 +408,14 @@ def pairs_in(n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.n
             bound = after + 7 * np.minimum(last[a][:, None], last[b][None]) >= need
             bound &= (component[a][:, None] != component[b][None]) & (4 * n[a][:, None] >= 3 * n[b][None])
             x, y = np.nonzero(np.triu(bound, 1) if i == j else bound)
-            found.append(np.stack([x + a.start, y + b.start], 1))
-            firsts.append((after >= need)[x, y])
+            pairs, begin = only_open(np.stack([x + a.start, y + b.start], 1), (after >= need)[x, y], n, *open_lists)
+            found.append(pairs)
+            firsts.append(begin)
     if not found:
         return np.zeros((0, 2), int), np.zeros(0, bool)
     return np.concatenate(found), np.concatenate(firsts)
 
 
-def enough_open(n: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of pairs of sets that share a shingle, one to a row: whether it may be the first that they share, and whether they
-    may link at all, by the lists that each shares with anyone ``before`` it and from it on (``after``).
-
-    What both prefixes hold is in such lists; the set whose prefix ends first has no more left than is beyond the larger's.
-    """
-    need, after = 3 * n.sum(axis=1), 7 * (after.min(axis=1) + beyond_prefix(n.max(axis=1)))
-    return after >= need, after + 7 * before.min(axis=1) >= need
-
-
 def list_stars(lists: DataFrame, tags: DataFrame, turn: int) -> DataFrame:
     """``s, t``: of the sets that share a list with another component's, each component's likeliest pair with a list's
     leader. Every ``turn`` has other leaders; a row per entry, so linear in the lists.
@@ -467,14 +479,14 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
             key = np.flatnonzero(
                 np.concatenate([[True], (c["token"][1:] != c["token"][:-1]) | (c["one"][1:] != c["one"][:-1]) | (c["two"][1:] != c["two"][:-1])])
             )
-            x, first, of_list = pairs_of_lists(*(c[k].astype(np.int64) for k in ("n", "first", "last")), c["component"], key)
-            begins, could = enough_open(*(c[k].astype(np.int64)[x] for k in ("n", "before", "after")))
-            met_here = could & ((c["one"][x[:, 0]] == c["two"][x[:, 0]]) | (c["part"][x[:, 0]] != c["part"][x[:, 1]]))
-            x, first, of_list = x[met_here], (first & begins)[met_here], of_list[met_here]
+            n, first, last, before, after = (c[k].astype(np.int64) for k in ("n", "first", "last", "before", "after"))
+            x, first, of_list = pairs_of_lists(n, first, last, c["component"], key, before, after)
+            met_here = (c["one"][x[:, 0]] == c["two"][x[:, 0]]) | (c["part"][x[:, 0]] != c["part"][x[:, 1]])
+            x, first, of_list = x[met_here], first[met_here], of_list[met_here]
             flip = c["family"][x[:, 0]] > c["family"][x[:, 1]]
             x[flip] = x[flip][:, ::-1]
             f, g = (c["family"][x[:, i]] for i in (0, 1))
-            n = c["n"].astype(np.int64)[x]
+            n = n[x]
             # a pair counts once for each list
             order = np.lexsort((of_list, g, f))
             new = np.ones(len(order), bool)

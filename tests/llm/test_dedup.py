@@ -340,9 +340,7 @@ def test_sets_that_share_too_few_lists_are_no_pair(spark):
     lists = spark.createDataFrame(entries, jaccard.ENTRY)
     tags = spark.createDataFrame([], "node long, component long, family long")
     assert {(r.s, r.t) for r in jaccard.candidates(lists, tags).collect()} == {(3, 4)}
-    n, before, after = (np.array([v, v]) for v in ([280, 280], [0, 0], [4, 60]))
-    after[0] = [4, 60]
-    begins, could = jaccard.enough_open(n, before, after)
+    begins, could = jaccard.enough_open(np.full((2, 2), 280), np.zeros((2, 2), int), np.array([[4, 60], [60, 60]]))
     assert begins.tolist() == could.tolist() == [False, True]
 
 
@@ -352,3 +350,18 @@ def test_least_edited_set_leads_frequent_lists(spark):
     tags = spark.createDataFrame([], "node long, component long, family long")
     got = {(r.s, r.t) for r in jaccard.list_stars(spark.createDataFrame(entries, jaccard.ENTRY), tags, 0).collect()}
     assert got == {(node, 7) for node in range(1, 40) if node != 7}
+
+
+@pytest.mark.parametrize("short", [0, 1000])
+def test_pairs_of_too_few_open_lists_are_dropped_within_blocks(monkeypatch, short):
+    monkeypatch.setattr(jaccard, "SHORT", short)
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    rng = np.random.default_rng(4)
+    n, begins = np.repeat(np.arange(280, 290), 5), np.array([0, 20])
+    first, component = rng.integers(0, 30, 50), np.arange(50)
+    before, after = rng.integers(0, 30, 50), rng.integers(0, 70, 50)
+    every, may, of = jaccard.pairs_of_lists(n, first, first, component, begins)
+    starts, could = jaccard.enough_open(n[every], before[every], after[every])
+    x, begin, _ = jaccard.pairs_of_lists(n, first, first, component, begins, before, after)
+    want = {(*p, b) for p, b in zip(map(tuple, every[could].tolist()), (may & starts)[could].tolist())}
+    assert {(*p, b) for p, b in zip(map(tuple, x.tolist()), begin.tolist())} == want and 0 < len(x) < len(every)
