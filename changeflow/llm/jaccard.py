@@ -518,7 +518,7 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
             """Pairs of a task are held together as long as they are not too many."""
             nonlocal made
             made.append(found(table))
-            if sum(len(m[0]) for m in made) > PAIRS:
+            if sum(len(m[0]) for m in made[1:]) > max(PAIRS // 8, len(made[0][0])):
                 made = [combined(made)]
                 if len(made[0][0]) > PAIRS // 2:
                     yield sent(made[0])
