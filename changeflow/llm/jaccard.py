@@ -51,8 +51,9 @@ SHORT = 24
 LIST = 2048
 BLOCK = 128
 
-#: Pairs that a task holds.
+#: Pairs that a task holds, that are made at once, and that are sent at once.
 PAIRS = 1 << 20
+STEP = 1 << 16
 
 #: Sets that meet one set in a task.
 MEETINGS = 256
@@ -219,10 +220,11 @@ def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
 MET = "s long, t long, linked boolean, shared long, more binary, less binary"
 
 
-def meet(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Check ``pairs`` (``s, t, lead, more, less``): whether ``s`` links with ``t``, as ``s, t, linked, shared, more, less``.
+def meet(pairs: DataFrame, sets: DataFrame, families: DataFrame | None) -> DataFrame:
+    """Check ``pairs`` (``s, t, lead``): whether ``s`` links with ``t``, as ``s, t, linked, shared, more, less``.
 
-    ``s`` is the set of ``lead`` without ``less`` and with ``more``, binaries as in :func:`sets_of`. The overlap of ``lead``
+    ``s`` is ``lead`` itself, or the set of ``lead`` without ``less`` and with ``more`` of ``families`` (``s, lead, more, less``),
+    binaries as in :func:`sets_of`; they join the pairs last, so that they are dealt out once. The overlap of ``lead``
     with ``t`` is computed once, those of its family are derived. Where ``s`` is ``lead`` itself, what ``s`` has
     more and less than ``t`` comes back too. A task holds the sets of one ``t`` and one ``lead``; a ``t`` that
     meets many sets is repeated over as many salts as they need.
@@ -235,7 +237,8 @@ def meet(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     of_t = of_t.select("t", "salt", first.alias("lead"), F.lit(0).alias("kind"), first.alias("s"), "members", empty.alias("more"), empty.alias("less"))
     leads = salted.select("t", "salt", "lead").distinct().join(sets.withColumnRenamed("node", "lead"), "lead")
     leads = leads.select("t", "salt", "lead", F.lit(1).alias("kind"), first.alias("s"), "members", empty.alias("more"), empty.alias("less"))
-    family = salted.select("t", "salt", "lead", F.lit(2).alias("kind"), "s", empty.alias("members"), "more", "less")
+    differ = salted.withColumns({"more": empty, "less": empty}) if families is None else salted.join(families, ["s", "lead"], "left")
+    family = differ.select("t", "salt", "lead", F.lit(2).alias("kind"), "s", empty.alias("members"), "more", "less")
     rows = of_t.unionByName(leads).unionByName(family)
     rows = rows.repartition("t", "salt").sortWithinPartitions("t", "salt", F.col("lead").asc_nulls_first(), "kind", "s")
 
@@ -355,10 +358,11 @@ def only_open(pairs: np.ndarray, firsts: np.ndarray, n: np.ndarray, *open_lists:
     return pairs[could], (firsts & begins)[could]
 
 
-def pairs_of_lists(
+def pair_steps(
     n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.ndarray, begins: np.ndarray, *open_lists: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """:func:`pairs_in` of lists that follow one another, and the number of the list of each pair; short lists all at once."""
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """:func:`pairs_in` of lists that follow one another, and the number of the list of each pair; short lists all at once, then of
+    the others, one after the other, some :data:`STEP` pairs at a time."""
     ends = np.append(begins[1:], len(n))
     sizes = ends - begins
     short = sizes <= SHORT
@@ -370,26 +374,35 @@ def pairs_of_lists(
     need, after = 3 * (n[i] + n[j]), 7 * np.minimum(n[i] - first[i], n[j] - first[j])
     on = (component[i] != component[j]) & (4 * n[i] >= 3 * n[j]) & (after + 7 * np.minimum(last[i], last[j]) >= need)
     found, begin = only_open(np.stack([i[on], j[on]], 1), (after >= need)[on], n, *open_lists)
-    pairs, firsts, lists = [found], [begin], [of[found[:, 0]]]
+    held, size = [(found, begin, of[found[:, 0]])], len(found)
     for k in np.flatnonzero(~short).tolist():
         some = slice(begins[k], ends[k])
-        found, begin = pairs_in(n[some], first[some], last[some], component[some], *[v[some] for v in open_lists])
-        pairs.append(found + begins[k])
-        firsts.append(begin)
-        lists.append(np.full(len(found), k))
-    return np.concatenate(pairs), np.concatenate(firsts), np.concatenate(lists)
+        for found, begin in pairs_in(n[some], first[some], last[some], component[some], *[v[some] for v in open_lists]):
+            held.append((found + begins[k], begin, np.full(len(found), k)))
+            size += len(found)
+            if size >= STEP:
+                yield tuple(np.concatenate(v) for v in zip(*held, strict=True))
+                held, size = [], 0
+    if held:
+        yield tuple(np.concatenate(v) for v in zip(*held, strict=True))
 
 
-def pairs_in(n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.ndarray, *open_lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def pairs_of_lists(*lists: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All :func:`pair_steps` at once."""
+    return tuple(np.concatenate(v) for v in zip(*pair_steps(*lists), strict=True))
+
+
+def pairs_in(
+    n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.ndarray, *open_lists: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of one list, sorted by size, that may link by size and position and lie in different components;
-    and for each whether the shared shingle may be the first that they share.
+    and for each whether the shared shingle may be the first that they share. Two blocks at a time.
 
     From ``first`` to ``last`` shingles of a set stand before the shared one. At most the smaller ``n - first`` are shared
     from here on and the smaller ``last`` before. Blocks that lie in one component or whose sizes or sums cannot suffice
     are passed over. ``open_lists``, if given, are those before and after for :func:`enough_open`.
     """
     rest = n - first
-    found, firsts = [], []
     edges = list(range(0, len(n), BLOCK)) + [len(n)]
     spans = [slice(a, b) for a, b in zip(edges, edges[1:], strict=False)]
     most = [(int(rest[s].max()), int(last[s].max())) for s in spans]
@@ -409,11 +422,8 @@ def pairs_in(n: np.ndarray, first: np.ndarray, last: np.ndarray, component: np.n
             bound &= (component[a][:, None] != component[b][None]) & (4 * n[a][:, None] >= 3 * n[b][None])
             x, y = np.nonzero(np.triu(bound, 1) if i == j else bound)
             pairs, begin = only_open(np.stack([x + a.start, y + b.start], 1), (after >= need)[x, y], n, *open_lists)
-            found.append(pairs)
-            firsts.append(begin)
-    if not found:
-        return np.zeros((0, 2), int), np.zeros(0, bool)
-    return np.concatenate(found), np.concatenate(firsts)
+            if len(pairs):
+                yield pairs, begin
 
 
 def list_stars(lists: DataFrame, tags: DataFrame, turn: int) -> DataFrame:
@@ -444,7 +454,7 @@ def tagged(lists: DataFrame, tags: DataFrame) -> DataFrame:
     return lists.join(tags, "node", "left").select(*lists.columns, own("component"), own("family"))
 
 
-SHARED = "f long, g long, f_lo long, f_hi long, g_lo long, g_hi long, of_f long, of_g long, shared long, begins boolean"
+SHARED = "f long, g long, shared int, f_lo int, f_hi int, g_lo int, g_hi int, of_f long, of_g long, begins boolean"
 
 
 def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
@@ -474,55 +484,60 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
     met = met.withColumn("other", F.explode(others)).withColumns({"one": F.least("part", "other"), "two": F.greatest("part", "other")}).select(*columns)
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(table: pa.Table) -> list[np.ndarray]:
+        lists_seen = 0
+
+        def found(table: pa.Table) -> Iterator[list[np.ndarray]]:
+            nonlocal lists_seen
             c = {name: table[name].to_numpy() for name in table.column_names}
             key = np.flatnonzero(
                 np.concatenate([[True], (c["token"][1:] != c["token"][:-1]) | (c["one"][1:] != c["one"][:-1]) | (c["two"][1:] != c["two"][:-1])])
             )
-            n, first, last, before, after = (c[k].astype(np.int64) for k in ("n", "first", "last", "before", "after"))
-            x, first, of_list = pairs_of_lists(n, first, last, c["component"], key, before, after)
-            met_here = (c["one"][x[:, 0]] == c["two"][x[:, 0]]) | (c["part"][x[:, 0]] != c["part"][x[:, 1]])
-            x, first, of_list = x[met_here], first[met_here], of_list[met_here]
-            flip = c["family"][x[:, 0]] > c["family"][x[:, 1]]
-            x[flip] = x[flip][:, ::-1]
-            f, g = (c["family"][x[:, i]] for i in (0, 1))
-            n = n[x]
-            # a pair counts once for each list
-            order = np.lexsort((of_list, g, f))
-            new = np.ones(len(order), bool)
-            new[1:] = (np.diff(f[order]) != 0) | (np.diff(g[order]) != 0) | (np.diff(of_list[order]) != 0)
-            counts = np.zeros(len(order), np.int64)
-            counts[order[new]] = 1
-            return [f, g, n[:, 0], n[:, 0], n[:, 1], n[:, 1], *(c["component"][x[:, i]] for i in (0, 1)), counts, first]
+            sizes, first, last, before, after = (c[k].astype(np.int64) for k in ("n", "first", "last", "before", "after"))
+            for x, begins, of_list in pair_steps(sizes, first, last, c["component"], key, before, after):
+                met_here = (c["one"][x[:, 0]] == c["two"][x[:, 0]]) | (c["part"][x[:, 0]] != c["part"][x[:, 1]])
+                x, begins, of_list = x[met_here], begins[met_here], of_list[met_here] + lists_seen
+                flip = c["family"][x[:, 0]] > c["family"][x[:, 1]]
+                x[flip] = x[flip][:, ::-1]
+                (f, g), (n_f, n_g), of = ([c[name][x[:, i]] for i in (0, 1)] for name in ("family", "n", "component"))
+                yield [f, g, of_list, np.ones(len(f), np.int32), n_f, n_f, n_g, n_g, *of, begins]
+            lists_seen += len(key)
 
         def combined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
-            """One row for each pair."""
-            columns = [np.concatenate(v) for v in zip(*parts, strict=True)]
-            order = np.lexsort((columns[1], columns[0]))
-            columns = [v[order] for v in columns]
-            new = np.ones(len(order), bool)
-            new[1:] = (np.diff(columns[0]) != 0) | (np.diff(columns[1]) != 0)
-            at = np.flatnonzero(new)
-            if not len(at):
-                return columns
-            f, g, f_lo, f_hi, g_lo, g_hi, of_f, of_g, shared, first = columns
-            spans = [how.reduceat(v, at) for how, v in ((np.minimum, f_lo), (np.maximum, f_hi), (np.minimum, g_lo), (np.maximum, g_hi))]
-            return [f[at], g[at], *spans, of_f[at], of_g[at], np.add.reduceat(shared, at), np.logical_or.reduceat(first, at)]
-
-        def sent(columns: list[np.ndarray]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=[v.split()[0] for v in SHARED.split(", ")])
+            """One row for each pair, which counts once for each list: of pairs in the order in which they were made, those of a
+            list follow one another. A column at a time, which is taken from the parts."""
+            column = lambda: np.concatenate([p.pop(0) for p in parts])
+            if not any(len(p[0]) for p in parts):
+                return parts[0]
+            f, g = column(), column()
+            order = np.lexsort((g, f))
+            f, g, of_list, shared = f[order], g[order], column()[order], column()[order]
+            same = (f[1:] == f[:-1]) & (g[1:] == g[:-1])
+            shared[1:][same & (of_list[1:] == of_list[:-1])] = 0
+            at = np.flatnonzero(np.concatenate([[True], ~same]))
+            ends = np.append(at[1:], len(f)) - 1
+            columns = [f[at], g[at], of_list[ends], np.add.reduceat(shared, at, dtype=np.int32)]
+            del f, g, of_list, shared, same
+            columns += [how.reduceat(column()[order], at) for how in (np.minimum, np.maximum, np.minimum, np.maximum)]
+            return columns + [column()[order[at]], column()[order[at]], np.logical_or.reduceat(column()[order], at)]
+
+        def sent(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            names = [v.split()[0] for v in SHARED.split(", ")]
+            f, g, _, *others = columns
+            for at in range(0, len(f), STEP):
+                yield pa.RecordBatch.from_arrays([pa.array(v[at : at + STEP]) for v in (f, g, *others)], names=names)
 
         made: list[list[np.ndarray]] = []
 
         def gathered(table: pa.Table) -> Iterator[pa.RecordBatch]:
             """Pairs of a task are held together as long as they are not too many."""
             nonlocal made
-            made.append(found(table))
-            if sum(len(m[0]) for m in made[1:]) > max(PAIRS // 8, len(made[0][0])):
-                made = [combined(made)]
-                if len(made[0][0]) > PAIRS // 2:
-                    yield sent(made[0])
-                    made = []
+            for some in found(table):
+                made.append(some)
+                if sum(len(m[0]) for m in made[1:]) > max(PAIRS // 8, len(made[0][0])):
+                    made = [combined(made)]
+                    if len(made[0][0]) > PAIRS // 2:
+                        yield from sent(made[0])
+                        made = []
 
         held = None
         for batch in batches:
@@ -540,13 +555,13 @@ def candidates(lists: DataFrame, tags: DataFrame) -> DataFrame:
         if held is not None and held.num_rows:
             yield from gathered(held)
         if made:
-            yield sent(combined(made))
+            yield from sent(combined(made))
 
     # frequent shingles of neighbouring ranks mostly stem from one passage: their lists hold the same pairs
     near = F.when(F.col("token") < 0, F.shiftright("token", 8)).otherwise(F.col("token"))
     sorted_lists = met.repartition(near, "one", "two").sortWithinPartitions("token", "one", "two", "n", "family")
     shared = sorted_lists.select(*columns).mapInArrow(pair, SHARED)
-    ends = [F.min("f_lo").alias("f_lo"), F.max("f_hi").alias("f_hi"), F.min("g_lo").alias("g_lo"), F.max("g_hi").alias("g_hi")]
+    ends = [how(c).cast("long").alias(c) for how, c in ((F.min, "f_lo"), (F.max, "f_hi"), (F.min, "g_lo"), (F.max, "g_hi"))]
     counted = shared.groupBy("f", "g", "of_f", "of_g").agg(*ends, F.sum("shared").alias("shared"), F.max("begins").alias("begins"))
     small, large = F.least("f_lo", "g_lo"), F.greatest("f_hi", "g_hi")
     enough = 7 * (F.col("shared") + F.ceil(3 * large / 4) - 1) >= 3 * (small + large)
@@ -630,17 +645,16 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
     nodes = materialise(nodes, "nodes")
     often = frequent(profiled)
-    none = F.lit(None).cast("binary")
 
-    def compared(asked: DataFrame) -> DataFrame:
+    def compared(asked: DataFrame, families: DataFrame | None = None) -> DataFrame:
         involved = asked.select(F.col("lead").alias("node")).union(asked.select(F.col("t").alias("node")))
         sets = sets_of(docs, nodes, involved)
-        found = meet(asked, sets)
+        found = meet(asked, sets, families)
         drop_staged(sets)  # the largest of what is staged, and read to its end
         return found
 
     tried = stars(nodes)
-    star = compared(tried.select("s", "t", F.col("s").alias("lead"), none.alias("more"), none.alias("less"))).where("linked")
+    star = compared(tried.select("s", "t", F.col("s").alias("lead"))).where("linked")
     links = materialise(star.select("s", "t"), "links")
     # a set's family is that of the leader it differs from least
     small = F.struct((F.octet_length("more") + F.octet_length("less")).alias("by"), "t", "more", "less")
@@ -649,7 +663,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     drop_staged(star)
 
     def of_family(pairs: DataFrame) -> DataFrame:
-        asked = pairs.select("s", "t").join(families, "s", "left").select("s", "t", F.coalesce("lead", "s").alias("lead"), "more", "less")
+        asked = pairs.select("s", "t").join(families.select("s", "lead"), "s", "left").select("s", "t", F.coalesce("lead", "s").alias("lead"))
         return materialise(asked, "asked")
 
     def tags() -> DataFrame:
@@ -659,15 +673,15 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     lists = shared_entries(entries(docs, often))
     for turn in range(STAR_TURNS):
-        found = compared(of_family(list_stars(lists, tags(), turn))).where("linked")
+        found = compared(of_family(list_stars(lists, tags(), turn)), families).where("linked")
         links = links.union(found.select("s", "t"))
     pairs = candidates(lists, tags())
     # leaders first: they bound what their members can share
-    led = compared(pairs.select("s", "t", F.col("s").alias("lead"), none.alias("more"), none.alias("less")))
+    led = compared(pairs.select("s", "t", F.col("s").alias("lead")))
     links = links.union(led.where("linked").select("s", "t"))
     left = pairs.join(led.where("NOT linked").select("s", "t", "shared"), ["s", "t"])
     joined = pairs.join(led.where("linked").select("s", "t"), ["s", "t"], "left_semi").select(F.col("of_s").alias("a"), F.col("of_t").alias("b"))
-    links = links.union(compared(of_family(members_to_try(still_open(left, joined), families, nodes))).where("linked").select("s", "t"))
+    links = links.union(compared(of_family(members_to_try(still_open(left, joined), families, nodes)), families).where("linked").select("s", "t"))
     whole = components(links.select(F.col("s").alias("a"), F.col("t").alias("b")))
 
     placed = nodes.join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))

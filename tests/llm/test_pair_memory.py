@@ -1,0 +1,102 @@
+"""What a task of the Jaccard join holds does not grow with the pairs of a list, and its pairs are the same in any steps."""
+
+import tracemalloc
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from changeflow.llm import jaccard
+
+COLUMNS = {"token": "i8", "one": "i4", "two": "i4", "part": "i4", "family": "i8", "n": "i4", "first": "i4", "last": "i4", "component": "i8", "before": "i4", "after": "i4"}
+
+
+@pytest.fixture
+def pair(spark, monkeypatch):
+    """The function that pairs the lists of a task."""
+    found, frame = [], type(spark.range(1))
+    whole = frame.mapInArrow
+
+    def seen(self, f, schema, *rest):
+        if schema == jaccard.SHARED:
+            found.append(f)
+        return whole(self, f, schema, *rest)
+
+    monkeypatch.setattr(frame, "mapInArrow", seen)
+    lists = spark.createDataFrame([(1, 1, 20, 0), (1, 2, 20, 0)], jaccard.ENTRY)
+    jaccard.candidates(lists, spark.createDataFrame([], "node long, component long, family long"))
+    return found[0]
+
+
+def batch_of(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[c].astype(t)) for c, t in COLUMNS.items()], names=list(COLUMNS))
+
+
+def test_a_task_never_holds_all_pairs_of_a_list(pair, monkeypatch):
+    monkeypatch.setattr(jaccard, "PAIRS", 1 << 17)
+    n = 1500
+    same = np.full(n, 100)
+    ids, none = np.arange(n), np.zeros(n)
+    batch = batch_of(token=none, one=none, two=none, part=none, family=ids, n=same, first=none, last=none, component=ids, before=none, after=same)
+    tracemalloc.start()
+    try:
+        rows = largest = 0
+        for sent in pair(iter([batch])):
+            rows, largest = rows + sent.num_rows, max(largest, sent.num_rows)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == n * (n - 1) // 2
+    assert largest <= 1 << 16
+    assert peak < 48 << 20
+
+
+@pytest.mark.parametrize("limits", [{}, {"STEP": 3, "BLOCK": 4, "SHORT": 2}, {"STEP": 3, "PAIRS": 16}, {"SHORT": 0}])
+def test_pairs_of_a_task_count_once_for_each_list(pair, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(jaccard, name, value)
+    rng = np.random.default_rng(9)
+    sizes = rng.integers(1, 40, 30)
+    total = int(sizes.sum())
+    token, family = np.repeat(np.arange(30), sizes), rng.integers(0, 25, total)
+    n = np.concatenate([np.sort(rng.integers(80, 100, k)) for k in sizes])
+    parts = family % 2
+    columns = {"token": token, "one": np.zeros(total), "two": np.ones(total), "part": parts, "family": family, "n": n, "first": np.zeros(total)}
+    whole = batch_of(**columns, last=np.zeros(total), component=family, before=np.zeros(total), after=n)
+    got: dict = {}
+    sent = [r for b in pair(whole.slice(a, 50) for a in range(0, total, 50)) for r in b.to_pylist()]
+    for r in sent:
+        old = got.setdefault((r["f"], r["g"]), dict(r))
+        if old is not r:
+            old |= {k: min(old[k], r[k]) for k in ("f_lo", "g_lo")} | {k: max(old[k], r[k]) for k in ("f_hi", "g_hi")}
+    counts = defaultdict(int)
+    for r in sent:
+        counts[r["f"], r["g"]] += r["shared"]
+    want: dict = defaultdict(lambda: ([], [], set()))
+    for i in range(total):
+        for j in range(i + 1, total):
+            if token[i] == token[j] and parts[i] != parts[j] and 4 * n[i] >= 3 * n[j]:
+                f, g = sorted((i, j), key=lambda x: family[x])
+                some = want[int(family[f]), int(family[g])]
+                some[0].append(int(n[f]))
+                some[1].append(int(n[g]))
+                some[2].add(int(token[i]))
+    assert {k: (v["f_lo"], v["f_hi"], v["g_lo"], v["g_hi"], v["of_f"], v["of_g"]) for k, v in got.items()} == {
+        k: (min(a), max(a), min(b), max(b), *k) for k, (a, b, _) in want.items()
+    }
+    if "PAIRS" not in limits:
+        assert len(sent) == len(got) and counts == {k: len(v[2]) for k, v in want.items()}
+    else:  # what is sent on early may count a list again, never less
+        assert all(counts[k] >= len(v[2]) for k, v in want.items())
+
+
+def test_pairs_to_compare_are_staged_without_sets(spark, monkeypatch):
+    staged, whole = [], jaccard.materialise
+    monkeypatch.setattr(jaccard, "materialise", lambda df, purpose: staged.append((purpose, df.dtypes)) or whole(df, purpose))
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(words[:i] + [f"x{i}"] + words[i + 1 :])) for i in range(0, 200, 10)]
+    got = jaccard.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0}
+    asked = [dict(types) for purpose, types in staged if purpose == "asked"]
+    assert asked and all(set(types.values()) == {"bigint"} for types in asked)
